@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from roadpulse.schemas import ARCHIVE
 from roadpulse.sources.viewstore import read_if_exists
@@ -17,13 +18,18 @@ def latest_offsets(rows: DataFrame) -> DataFrame:
     )
 
 
-def saved_offsets(spark: SparkSession, archive_path: str) -> dict[str, dict[int, int]]:
+def saved_offsets(
+    spark: SparkSession, path: str, schema: StructType | str = ARCHIVE
+) -> dict[str, dict[int, int]]:
     """``{topic: {partition: next offset}}`` of an archive, empty if there is no
-    archive yet.  One row per topic partition comes to the driver."""
-    archive = read_if_exists(spark, archive_path, ARCHIVE)
-    if archive is None:
+    archive yet.  One row per topic partition comes to the driver.
+
+    With ``schema=schemas.LEDGER`` the path is the log of the job's ledger, which holds a
+    row per batch instead of one per event."""
+    rows = read_if_exists(spark, path, schema)
+    if rows is None:
         return {}
     offsets: dict[str, dict[int, int]] = {}
-    for row in latest_offsets(archive).collect():
+    for row in latest_offsets(rows).collect():
         offsets.setdefault(row.topic, {})[row.kafka_partition] = row.until_offset
     return offsets

@@ -16,8 +16,9 @@ from roadpulse.sources.viewstore import latest_per_key
 
 # Cells of the many-points join are 2**level degrees wide.
 MIN_LEVEL, MAX_LEVEL = -7, 9
-# Points up to this number are broadcast (some 100 bytes each, at most 4 cells
-# per point); above it both sides are shuffled.
+CELLS_PER_POINT = 4
+# Points up to this number are broadcast (some 100 bytes per cell); above it
+# both sides are shuffled.
 BROADCAST_POINTS = 100_000
 # Tasks that share one cell when both sides are shuffled.
 SALTS = 32
@@ -126,32 +127,25 @@ def near_points(
     ``salts`` tasks, so a crowded cell does not end up in one.
     """
     cells = _covering_cells(pois)
-    # at most MAX_LEVEL - MIN_LEVEL + 1 values
-    levels = sorted(r.level for r in cells.select("level").distinct().collect())
-    few = pois.limit(broadcast_points + 1).count() <= broadcast_points
+    # at most MAX_LEVEL - MIN_LEVEL + 1 rows
+    per_level = cells.groupBy("level").agg(F.count("*").alias("n")).collect()
+    levels = sorted(r.level for r in per_level)
+    few = sum(r.n for r in per_level) <= CELLS_PER_POINT * broadcast_points
 
     lat = F.col("latitude").cast("double")
     lon = F.col("longitude").cast("double")
     wrapped = lon - 360.0 * F.floor((lon + 180.0) / 360.0)
     lon_in_range = F.when((lon >= -180) & (lon <= 180), lon).otherwise(wrapped)
     keys = ["level", "cell_y", "cell_x"]
-    per_level = [
+    places = [
         F.struct(
             F.lit(level).alias("level"),
             F.floor(lat / 2.0**level).alias("cell_y"),
             F.floor(lon_in_range / 2.0**level).alias("cell_x"),
         )
-        for level in levels
+        for level in levels or [0]
     ]
-    if not per_level:
-        per_level = [
-            F.struct(
-                F.lit(0).alias("level"),
-                F.floor(lat).alias("cell_y"),
-                F.floor(lon_in_range).alias("cell_x"),
-            )
-        ]
-    placed = events.withColumn("cell", F.explode(F.array(*per_level))).select(*events.columns, "cell.*")
+    placed = events.withColumn("cell", F.explode(F.array(*places))).select(*events.columns, "cell.*")
     if few:
         right = F.broadcast(cells)
     else:

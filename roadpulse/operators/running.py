@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadpulse.operators.sightings import IDLE_SECONDS
@@ -37,12 +37,14 @@ def running_totals(
     if reset not in ("idle", "daily"):
         raise ValueError(f"unknown reset {reset!r}: expected 'idle' or 'daily'")
     gap = F.make_dt_interval(secs=F.lit(idle_seconds))
+    # one struct for the key: structs compare equal where a field is null, so the
+    # join below keeps events without a route or type
     counts = counts_per_interval(events, every, keys).select(
-        *keys, F.col("interval.start").alias("bucket"), "n"
+        F.struct(*keys).alias("key"), F.col("interval.start").alias("bucket"), "n"
     )
     chunked = counts.withColumn("day", F.to_date("bucket"))
 
-    in_day = Window.partitionBy(*keys, "day").orderBy("bucket")
+    in_day = Window.partitionBy("key", "day").orderBy("bucket")
     running = in_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # "floor" is the sum up to the last reset of the day; sums only grow, so
     # the largest floor so far is the latest one
@@ -57,15 +59,15 @@ def running_totals(
     )
     if reset == "daily":
         total = F.col("day_sum") - F.coalesce("floor", F.lit(0))
-        return rows.select(*keys, "bucket", "n", total.alias("total_count"))
+        return _totals(rows, total)
 
-    days = rows.groupBy(*keys, "day").agg(
+    days = rows.groupBy("key", "day").agg(
         F.min("bucket").alias("first_bucket"),
         F.max("bucket").alias("last_bucket"),
         F.sum("n").alias("day_total"),
         F.max("floor").alias("day_floor"),
     )
-    over_days = Window.partitionBy(*keys).orderBy("day")
+    over_days = Window.partitionBy("key").orderBy("day")
     days_so_far = over_days.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     carried = (
         days.withColumn("sum_before", F.sum("day_total").over(days_so_far) - F.col("day_total"))
@@ -90,14 +92,15 @@ def running_totals(
                 F.col("sum_before") - F.col("floor_before")
             ),
         )
-        .select(*keys, "day", "carry")
+        .select("key", "day", "carry")
     )
     total = F.when(F.col("floor").isNull(), F.col("carry") + F.col("day_sum")).otherwise(
         F.col("day_sum") - F.col("floor")
     )
-    # null-safe, so that events without a route or type keep their totals
-    other = carried.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("day").alias("_day"), "carry")
-    same = F.col("day") == F.col("_day")
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    return rows.join(other, same).select(*keys, "bucket", "n", total.alias("total_count"))
+    # every row finds its day; as a left join it puts no filter on the rows, so
+    # both branches read the same shuffle instead of scanning the events twice
+    return _totals(rows.join(carried, ["key", "day"], "left"), total)
+
+
+def _totals(rows: DataFrame, total: Column) -> DataFrame:
+    return rows.select("key.*", "bucket", "n", total.alias("total_count"))

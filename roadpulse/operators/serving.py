@@ -55,14 +55,21 @@ def snapshot(views: dict[str, tuple[DataFrame, list[str]]], rows_per_page: int =
     """
     documents = None
     for name, (view, keys) in views.items():
-        pages = max(1, -(-view.count() // rows_per_page))
-        page = F.pmod(F.xxhash64(*keys), F.lit(pages)).cast("int")
-        rows = F.sort_array(F.collect_list(F.struct(*keys, *[c for c in view.columns if c not in keys])))
-        document = (
-            view.groupBy(page.alias("page"))
-            .agg(F.count("*").alias("rows"), F.to_json(rows).alias("payload"))
-            .select(F.lit(name).alias("view"), "page", "rows", "payload")
-        )
+        count = view.count()
+        if count == 0:
+            schema = "view string, page int, rows bigint, payload string"
+            document = view.sparkSession.createDataFrame([(name, 0, 0, "[]")], schema)
+        else:
+            page = F.pmod(F.xxhash64(*keys), F.lit(-(-count // rows_per_page))).cast("int")
+            row = F.struct(*keys, *[c for c in view.columns if c not in keys])
+            document = (
+                view.groupBy(page.alias("page"))
+                .agg(
+                    F.count("*").alias("rows"),
+                    F.to_json(F.sort_array(F.collect_list(row))).alias("payload"),
+                )
+                .select(F.lit(name).alias("view"), "page", "rows", "payload")
+            )
         documents = document if documents is None else documents.unionByName(document)
     return documents
 

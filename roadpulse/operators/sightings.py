@@ -36,14 +36,22 @@ def _silent_for(previous: Column, ts: Column, idle_seconds: int) -> Column:
     return previous.isNull() | (ts > previous + F.make_dt_interval(secs=F.lit(idle_seconds)))
 
 
-def first_sightings(events: DataFrame, idle_seconds: int = IDLE_SECONDS) -> DataFrame:
+def first_sightings(
+    events: DataFrame, idle_seconds: int = IDLE_SECONDS, carry: list[str] | None = None
+) -> DataFrame:
     """Events that follow more than ``idle_seconds`` of silence of their vehicle.
 
+    ``carry`` names the columns wanted besides vehicle and order; the rest is
+    not read, as an aggregated event cannot be pruned from outside.
+
     Two events in one bucket of ``idle_seconds`` are never that far apart, so
     only the earliest event of a bucket can qualify, and the event before it is
     the last one of the vehicle's previous bucket.  The window therefore sees
     one row per vehicle and bucket instead of every event.
     """
+    if carry is not None:
+        wanted = {"vehicle_id", *event_order(events), *carry}
+        events = events.select([c for c in events.columns if c in wanted])
     buckets = reduce_per_vehicle(events, f"{idle_seconds} seconds")
     w = Window.partitionBy("vehicle_id").orderBy("bucket")
     marked = buckets.withColumn("previous", F.lag("last_ts").over(w))

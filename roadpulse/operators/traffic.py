@@ -41,12 +41,13 @@ def daily_traffic(events: DataFrame, as_of: AsOf = None, include_last_day: bool
     """
     if not include_last_day:
         events = on_complete_days(events)
-    counts = events.groupBy(*KEYS, record_date(F.col("ts")).alias("record_date")).agg(
-        F.count("*").alias("total_count")
+    # events without a time belong to no day; the date is formatted once per
+    # result row instead of once per event
+    dated = events.filter(F.col("ts").isNotNull())
+    counts = dated.groupBy(*KEYS, F.to_date("ts").alias("day")).agg(F.count("*").alias("total_count"))
+    return _view(
+        counts.withColumns({"time_stamp": event_time(as_of), "record_date": record_date(F.col("day"))})
     )
-    # events without a time belong to no day
-    counts = counts.filter(F.col("record_date").isNotNull())
-    return _view(counts.withColumn("time_stamp", event_time(as_of)))
 
 
 def window_traffic(events: DataFrame, as_of: AsOf = None) -> DataFrame:

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from roadpulse.operators import heatmap, poi, serving, speed, traffic
+from roadpulse.operators.windows import newest_window
 from roadpulse.schemas import VIEW_KEYS
 from roadpulse.session import prepare
 from roadpulse.sources.archive import read_archive
@@ -82,12 +83,13 @@ def run_speed_model(
 def live_snapshot(
     spark: SparkSession, cfg: LiveConfig, day: str, as_of: str | None = None, rows_per_page: int = serving.ROWS_PER_PAGE
 ) -> DataFrame:
-    """The four live views as JSON documents: traffic of one day, the other two
-    whole."""
+    """The four live views as JSON documents: totals and the newest traffic
+    window of one day, the other two as they stand."""
     keys = VIEW_KEYS
+    windows = live_view(spark, cfg, "window_traffic", newest_only=False)
     views = {
         "totalTraffic": (serving.by_date(live_view(spark, cfg, "total_traffic"), day), keys["total_traffic"]),
-        "windowTraffic": (serving.by_date(live_view(spark, cfg, "window_traffic"), day), keys["window_traffic"]),
+        "windowTraffic": (newest_window(serving.by_date(windows, day)), keys["window_traffic"]),
         "poiTraffic": (live_view(spark, cfg, "poi_traffic", as_of), keys["poi_traffic"]),
         "heatMap": (live_view(spark, cfg, "heat_map"), keys["heat_map"]),
     }

@@ -126,7 +126,8 @@ def window_traffic_30s_10s(spark, sf_dir):
 
 @_query
 def window_traffic_of_sightings(spark, sf_dir):
-    return traffic.window_traffic(sightings.first_sightings(vehicle_events(spark, sf_dir)), AS_OF)
+    events = sightings.first_sightings(vehicle_events(spark, sf_dir), carry=running.KEYS)
+    return traffic.window_traffic(events, AS_OF)
 
 
 @_query
@@ -156,7 +157,7 @@ def heatmap_120s_10s(spark, sf_dir):
 
 @_query
 def heatmap_of_sightings_degree(spark, sf_dir):
-    events = sightings.first_sightings(vehicle_events(spark, sf_dir))
+    events = sightings.first_sightings(vehicle_events(spark, sf_dir), carry=["latitude", "longitude"])
     return heatmap.heatmap_window(events, grid="degree", as_of=AS_OF)
 
 
@@ -224,7 +225,8 @@ def first_per_vehicle_batch(spark, sf_dir):
 
 @_query
 def total_traffic_running(spark, sf_dir):
-    return running.running_totals(sightings.first_sightings(vehicle_events(spark, sf_dir)))
+    events = sightings.first_sightings(vehicle_events(spark, sf_dir), carry=running.KEYS)
+    return running.running_totals(events)
 
 
 @_query
@@ -408,10 +410,16 @@ def window_view_by_date(spark, sf_dir):
     return serving.by_date(view, DAY)
 
 
+def _stored(spark: SparkSession, rows: DataFrame, path: str) -> DataFrame:
+    """A view as readers find it: written once, then scanned."""
+    viewstore.write_view(rows, path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 @_query
 def window_view_newest(spark, sf_dir):
     view = traffic.window_traffic(vehicle_events(spark, sf_dir), AS_OF)
-    return newest_window(view)
+    return newest_window(_stored(spark, view, workspace(spark, "window-view")))
 
 
 @_query
@@ -450,15 +458,21 @@ def route37_slice(spark, sf_dir):
 
 
 def _snapshot(spark: SparkSession, sf_dir: str, rows_per_page: int = serving.ROWS_PER_PAGE) -> DataFrame:
+    """Snapshot of stored views: they are written first, as a dashboard reads
+    them, so counting and packing their rows does not recompute them."""
     events = vehicle_events(spark, sf_dir)
-    near = poi.latest_per_vehicle(poi.near_point(events, poi.LIVE_POI))
-    totals = _total_view(spark, sf_dir)
-    window = traffic.window_traffic(events, AS_OF)
+    root = workspace(spark, "views")
+
+    nearby = poi.latest_per_vehicle(poi.near_point(events, poi.LIVE_POI))
+    total = _stored(spark, _total_view(spark, sf_dir), f"{root}/total")
+    window = _stored(spark, traffic.window_traffic(events, AS_OF), f"{root}/window")
+    near = _stored(spark, nearby, f"{root}/poi")
+    heat = _stored(spark, heatmap.heatmap_daily(events), f"{root}/heat")
     views = {
-        "totalTraffic": (serving.by_date(totals, DAY), VIEW_KEYS["total_traffic"]),
+        "totalTraffic": (serving.by_date(total, DAY), VIEW_KEYS["total_traffic"]),
         "windowTraffic": (serving.by_date(window, DAY), VIEW_KEYS["window_traffic"]),
         "poiTraffic": (near, VIEW_KEYS["poi_traffic"]),
-        "heatMap": (heatmap.heatmap_daily(events), ["latitude", "longitude", "time_stamp"]),
+        "heatMap": (heat, ["latitude", "longitude", "time_stamp"]),
     }
     return serving.snapshot(views, rows_per_page)
 

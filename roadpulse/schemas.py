@@ -67,6 +67,16 @@ ARCHIVE = T.StructType(
     ]
 )
 
+# Consumed offsets per batch and topic partition.
+LEDGER = T.StructType(
+    [
+        T.StructField("topic", T.StringType()),
+        T.StructField("kafka_partition", T.IntegerType()),
+        T.StructField("from_offset", T.LongType()),
+        T.StructField("until_offset", T.LongType()),
+    ]
+)
+
 POI = T.StructType(
     [
         T.StructField("poi_id", T.StringType()),

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from roadpulse.schemas import ARCHIVE, ARCHIVE_PARTITIONS
 
+BROADCAST_RANGES = 10_000
+
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """Batch scan.  Filters on the partition columns skip whole folders."""
@@ -37,12 +39,17 @@ def offset_range(rows: DataFrame) -> DataFrame:
     )
 
 
-def attach_offset_range(rows: DataFrame) -> DataFrame:
+def attach_offset_range(rows: DataFrame, broadcast_rows: int = BROADCAST_RANGES) -> DataFrame:
     """Stamp every row of a batch with the batch's range per topic partition.
 
-    The ranges are aggregated first, one row per topic partition, and joined
-    back; AQE broadcasts them when their measured size allows it."""
+    The ranges are one row per topic partition.  Up to ``broadcast_rows`` of
+    them go through the driver into a broadcast, so the events, of which one
+    partition may hold much, are not shuffled; more than that are joined by a
+    shuffle."""
     ranges = offset_range(rows)
+    found = ranges.limit(broadcast_rows + 1).collect()
+    if len(found) <= broadcast_rows:
+        ranges = F.broadcast(rows.sparkSession.createDataFrame(found, ranges.schema))
     return rows.drop("from_offset", "until_offset").join(ranges, ["topic", "kafka_partition"])
 
 

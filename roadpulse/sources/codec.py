@@ -24,12 +24,14 @@ def decode(records: DataFrame, source_tz: str | None = None) -> DataFrame:
     """
     text = F.col("value").cast("string")
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_FIELD}
+    # exploding an array of one keeps later filters above the parser; pushed
+    # below, they would parse every message once per column they look at
     parsed = records.select(
         "topic",
         F.col("partition").alias("kafka_partition"),
         "offset",
         text.alias("raw_value"),
-        F.from_json(text, MESSAGE, options).alias("m"),
+        F.explode(F.array(F.from_json(text, MESSAGE, options))).alias("m"),
     )
     m = F.col("m")
     typed = parsed.select(
