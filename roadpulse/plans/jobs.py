@@ -3,18 +3,23 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from roadpulse.operators import heatmap, poi, serving, speed, traffic
 from roadpulse.operators.windows import newest_window
-from roadpulse.schemas import VIEW_KEYS
+from roadpulse.schemas import TRAFFIC_VIEW, VIEW_KEYS
 from roadpulse.session import prepare
 from roadpulse.sources.archive import read_archive
 from roadpulse.sources.codec import good
 from roadpulse.sources.viewstore import write_view
 from roadpulse.streaming.pipeline import LiveConfig, live_view
 
+# Fixed value: seconds between two snapshots.
+SNAPSHOT_SECONDS = 15
+
 
 @dataclass
 class BatchConfig:
@@ -80,6 +85,24 @@ def run_speed_model(
     return metrics, scored.select("features", "label", "prediction")
 
 
+def start_snapshots(
+    spark: SparkSession, cfg: LiveConfig, path: str, day: str | None = None, as_of: str | None = None
+) -> StreamingQuery:
+    """Write a new snapshot when the totals have changed, every 15 seconds at
+    most.  ``day`` defaults to the current one."""
+    changes = spark.readStream.schema(TRAFFIC_VIEW).parquet(f"{cfg.table('total_traffic')}/log")
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        shown = day or date.today().isoformat()
+        live_snapshot(spark, cfg, shown, as_of).write.mode("overwrite").json(f"{path}/batch_id={batch_id}")
+
+    writer = changes.writeStream.foreachBatch(publish)
+    writer = writer.option("checkpointLocation", cfg.checkpoint("snapshots"))
+    if cfg.available_now:
+        return writer.trigger(availableNow=True).start()
+    return writer.trigger(processingTime=f"{SNAPSHOT_SECONDS} seconds").start()
+
+
 def live_snapshot(
     spark: SparkSession, cfg: LiveConfig, day: str, as_of: str | None = None, rows_per_page: int = serving.ROWS_PER_PAGE
 ) -> DataFrame:

@@ -73,10 +73,10 @@ pairs as (select ve.*, poi_id, {km} as km, radius from ve join p
 select event_id, vehicle_id, vehicle_type, poi_id, {_NEAR_COLUMNS} from pairs where km <= radius"""
 
 
-def _latest_near(where: str = "true") -> str:
+def _latest_near(where: str = "true", point: PointOfInterest = LIVE_POI) -> str:
     return f"""select vehicle_id, vehicle_type, {_NEAR_COLUMNS}, ts as time_stamp from (
   select *, row_number() over (partition by vehicle_id order by ts desc, event_id desc) as rn
-  from ({_near(LIVE_POI)}) where {where}) where rn = 1"""
+  from ({_near(point)}) where {where}) where rn = 1"""
 
 
 def _windows(source: str, keys: str, length: int, slide: int) -> str:
@@ -265,6 +265,12 @@ def oracle() -> dict[str, str]:
         "stream_ledger": f"""{VE} select {_PLACE}, min({_OFFSET}) as from_offset,
             max({_OFFSET}) + 1 as until_offset from ve group by all""",
         "stream_word_count": f"{_WORDS} select word, count(*) as count from words group by word",
+        "batch_job_views": f"""{VE}, views as (
+            select 'heat_map' as view, total_count as amount from ({_heat_days(CELL)})
+            union all select 'poi_traffic', distance from ({_latest_near(point=TEST_POI)})
+            union all select 'total_traffic', total_count from ({_total()})
+            union all select 'window_traffic', total_count from ({_daily()}))
+            select view, count(*) as rows, cast(sum(amount) as bigint) as amount from views group by view""",
         "speed_features": f"""{VE} select ts, event_id, vehicle_id, speed as label,
             cast(trunc(latitude) as integer) as lat, cast(trunc(longitude) as integer) as long,
             cast(isodow(ts) as integer) as "dayOfWeek" from ve""",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,7 @@ from roadpulse.operators import (
 )
 from roadpulse.operators.windows import newest_window
 from roadpulse.plans import stream_runs
+from roadpulse.plans.jobs import BatchConfig, run_batch
 from roadpulse.schemas import VIEW_KEYS
 from roadpulse.session import prepare, workspace
 from roadpulse.sources import archive, codec, delimited, topic, viewstore
@@ -539,6 +541,27 @@ def stream_word_count(spark, sf_dir):
     return stream_runs.text_counts(spark, sf_dir)
 
 
+# --- batch job -------------------------------------------------------------
+
+
+@_query
+def batch_job_views(spark, sf_dir):
+    """The whole batch job over an archive of JSON messages: rows and sum of
+    every view it stores."""
+    root = workspace(spark, "batch-job")
+    cfg = BatchConfig(_written_archive(spark, sf_dir), root, TEST_POI, as_of=AS_OF)
+    parts = []
+    for name, path in sorted(run_batch(spark, cfg).items()):
+        view = spark.read.parquet(path)
+        amount = "distance" if name == "poi_traffic" else "total_count"
+        parts.append(
+            view.agg(F.count("*").alias("rows"), F.sum(amount).alias("amount")).select(
+                F.lit(name).alias("view"), "rows", "amount"
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
 # --- speed model -----------------------------------------------------------
 
 

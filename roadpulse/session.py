@@ -7,7 +7,13 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# State on local disk instead of the heap; commits upload what changed.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def build_session(app: str = "roadpulse", master: str | None = None, **conf: str) -> SparkSession:
@@ -20,8 +26,9 @@ def build_session(app: str = "roadpulse", master: str | None = None, **conf: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     )
+    for key, value in STATE_STORE.items():
+        builder = builder.config(key, value)
     if master:
         builder = builder.master(master)
     for key, value in conf.items():
@@ -32,7 +39,8 @@ def build_session(app: str = "roadpulse", master: str | None = None, **conf: str
 def prepare(spark: SparkSession) -> SparkSession:
     """Settings the operators rely on, for a session somebody else built."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    for key, value in STATE_STORE.items():
+        spark.conf.set(key, value)
     return spark
 
 

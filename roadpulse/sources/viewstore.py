@@ -19,6 +19,17 @@ from roadpulse.functions.times import event_time
 POI_TTL_SECONDS = 120
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Any error but a missing path is raised."""
+    try:
+        spark.read.text(path)
+        return True
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+
+
 def read_if_exists(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
     """The table at ``path``, or None if the path does not exist.  Any other
     error is raised."""
@@ -96,8 +107,11 @@ def unexpired(rows: DataFrame, as_of: datetime | str | None = None) -> DataFrame
 
 def write_view(rows: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Store a recomputed view.  With ``partition_by`` only the partitions the
-    rows belong to are replaced."""
-    writer = rows.write.mode("overwrite")
-    if partition_by:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
-    writer.parquet(path)
+    rows belong to are replaced; the rebalance hint keeps every task from writing
+    a file into every partition and splits partitions that are large."""
+    if not partition_by:
+        rows.write.mode("overwrite").parquet(path)
+        return
+    packed = rows.hint("rebalance", *[F.col(c) for c in partition_by])
+    writer = packed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partition_by).parquet(path)

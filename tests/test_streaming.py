@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import random
 from datetime import timedelta
 from types import SimpleNamespace
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from conftest import at
 from roadpulse.operators import heatmap, offsets, poi, running, sightings, textops, traffic
-from roadpulse.plans.jobs import live_snapshot
+from roadpulse.plans.jobs import live_snapshot, start_snapshots
 from roadpulse.schemas import LEDGER
 from roadpulse.session import prepare
 from roadpulse.sources import archive, codec, topic
@@ -192,7 +193,9 @@ def test_whole_job_with_restart(spark, events_of, tmp_path):
         return pipeline.run_stream(spark, records, cfg)
 
     send(rows[:60], 0)
+    assert not pipeline.has_checkpoint(spark, cfg)
     queries = run()
+    assert pipeline.has_checkpoint(spark, cfg)
     assert [q.name for q in queries] == cfg.stages
     # the job goes on from its checkpoints
     send([(500, "x", 0)], 1, "{bad")
@@ -242,7 +245,14 @@ def test_whole_job_with_restart(spark, events_of, tmp_path):
         assert newest.select("window_start").distinct().count() == 1
 
     documents = live_snapshot(spark, cfg, "2024-01-03", at(last))
-    assert {r.view for r in documents.collect()} >= {"totalTraffic", "windowTraffic", "poiTraffic", "heatMap"}
+    documents = {r.view: json.loads(r.payload) for r in documents.collect()}
+    assert set(documents) == {"totalTraffic", "windowTraffic", "poiTraffic", "heatMap"}
+    assert len(documents["totalTraffic"]) == totals.filter("record_date = '2024-01-03'").count()
+    assert all(documents.values())
+
+    start_snapshots(spark, cfg, str(tmp_path / "snapshots"), "2024-01-03", at(last)).awaitTermination()
+    published = spark.read.json(str(tmp_path / "snapshots"))
+    assert {r.view: json.loads(r.payload) for r in published.collect()} == documents
 
 
 def test_text_stream_results_per_batch(spark, tmp_path):
