@@ -70,6 +70,13 @@ def near_point(events: DataFrame, poi: PointOfInterest) -> DataFrame:
     )
 
 
+def _cell_key(level: Column, cell_y: Column, cell_x: Column) -> Column:
+    """One number per level and cell, which joins faster than three columns.
+    The finest level has 2 * 11520 rows and 2 * 23040 columns of cells."""
+    row = (level - MIN_LEVEL).cast("bigint") * 32768 + cell_y + 16384
+    return row * 65536 + cell_x + 32768
+
+
 def _covering_cells(pois: DataFrame) -> DataFrame:
     """The cells each point's bounding box touches, at the level whose cells are
     at least as large as the box: four cells at most."""
@@ -101,8 +108,7 @@ def _covering_cells(pois: DataFrame) -> DataFrame:
         .withColumn("cell_x", F.explode(span("lon_min", "lon_max")))
         .select(
             "level",
-            "cell_y",
-            "cell_x",
+            _cell_key(F.col("level"), F.col("cell_y"), F.col("cell_x")).alias("cell"),
             "poi_id",
             "radius_km",
             F.col("vehicle").alias("poi_vehicle"),
@@ -136,16 +142,14 @@ def near_points(
     lon = F.col("longitude").cast("double")
     wrapped = lon - 360.0 * F.floor((lon + 180.0) / 360.0)
     lon_in_range = F.when((lon >= -180) & (lon <= 180), lon).otherwise(wrapped)
-    keys = ["level", "cell_y", "cell_x"]
+    keys = ["cell"]
     places = [
-        F.struct(
-            F.lit(level).alias("level"),
-            F.floor(lat / 2.0**level).alias("cell_y"),
-            F.floor(lon_in_range / 2.0**level).alias("cell_x"),
-        )
+        _cell_key(F.lit(level), F.floor(lat / 2.0**level), F.floor(lon_in_range / 2.0**level))
         for level in levels or [0]
     ]
-    placed = events.withColumn("cell", F.explode(F.array(*places))).select(*events.columns, "cell.*")
+    on_earth = events.filter((lat >= -90) & (lat <= 90))
+    placed = on_earth.withColumn("cell", F.explode(F.array(*places)))
+    cells = cells.drop("level")
     if few:
         right = F.broadcast(cells)
     else:

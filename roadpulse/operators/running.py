@@ -5,22 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadpulse.operators.sightings import IDLE_SECONDS
+from roadpulse.operators.sightings import IDLE_SECONDS, bucket_of
 
 KEYS = ["route_id", "vehicle_type"]
 
 
-def counts_per_interval(events: DataFrame, every: str = "5 seconds", keys: list[str] = KEYS) -> DataFrame:
-    """Events per key and batch interval; batch or streaming."""
-    return events.groupBy(*keys, F.window("ts", every).alias("interval")).agg(
-        F.count("*").alias("n")
-    )
+def counts_per_interval(events: DataFrame, every_seconds: int = 5, keys: list[str] = KEYS) -> DataFrame:
+    """Events per key and batch interval: ``keys, bucket, n``."""
+    timed = events.filter(F.col("ts").isNotNull())
+    bucket = bucket_of(F.col("ts"), every_seconds).alias("bucket")
+    counts = timed.groupBy(*keys, bucket).agg(F.count("*").alias("n"))
+    return counts.withColumn("bucket", F.timestamp_seconds("bucket"))
 
 
 def running_totals(
     events: DataFrame,
     idle_seconds: int = IDLE_SECONDS,
-    every: str = "5 seconds",
+    every_seconds: int = 5,
     reset: str = "idle",
     keys: list[str] = KEYS,
 ) -> DataFrame:
@@ -39,8 +40,8 @@ def running_totals(
     gap = F.make_dt_interval(secs=F.lit(idle_seconds))
     # one struct for the key: structs compare equal where a field is null, so the
     # join below keeps events without a route or type
-    counts = counts_per_interval(events, every, keys).select(
-        F.struct(*keys).alias("key"), F.col("interval.start").alias("bucket"), "n"
+    counts = counts_per_interval(events, every_seconds, keys).select(
+        F.struct(*keys).alias("key"), "bucket", "n"
     )
     chunked = counts.withColumn("day", F.to_date("bucket"))
 

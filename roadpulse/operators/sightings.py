@@ -14,22 +14,36 @@ def event_order(events: DataFrame) -> list[str]:
     return ["ts"] + [c for c in _TIE_BREAKERS if c in events.columns]
 
 
-def reduce_per_vehicle(events: DataFrame, every: str) -> DataFrame:
+def bucket_of(ts: Column, seconds: int) -> Column:
+    """Start of the time bucket, in epoch seconds; cheaper to group on than a
+    window struct."""
+    instant = F.unix_seconds(ts)
+    return instant - F.pmod(instant, F.lit(seconds))
+
+
+def reduce_per_vehicle(events: DataFrame, bucket: Column) -> DataFrame:
     """Earliest event and last time per vehicle and time bucket.
 
     Works on batch and streaming input.  The reduction runs before the shuffle
     as well as after it, so a vehicle that sends a third of all events costs one
-    row per input task and bucket, not a third of the data in one task.
+    row per input task and bucket, not a third of the data in one task.  Map
+    columns have no order and cannot be carried along.
     """
-    earliest = F.min_by(F.struct(*events.columns), F.struct(*event_order(events)))
-    return events.groupBy("vehicle_id", F.window("ts", every).alias("bucket")).agg(
-        earliest.alias("first"), F.max("ts").alias("last_ts")
+    order = event_order(events)
+    rest = [c for c in events.columns if c not in order]
+    return events.groupBy("vehicle_id", bucket.alias("bucket")).agg(
+        F.min(F.struct(*order, *rest)).alias("first"), F.max("ts").alias("last_ts")
     )
 
 
-def first_per_vehicle(events: DataFrame, every: str = "5 seconds") -> DataFrame:
+def _reduced(events: DataFrame, seconds: int) -> DataFrame:
+    timed = events.filter(F.col("ts").isNotNull())
+    return reduce_per_vehicle(timed, bucket_of(F.col("ts"), seconds))
+
+
+def first_per_vehicle(events: DataFrame, every_seconds: int = 5) -> DataFrame:
     """One event per vehicle and batch interval, the earliest."""
-    return reduce_per_vehicle(events, every).select("first.*")
+    return _reduced(events, every_seconds).select([f"first.{c}" for c in events.columns])
 
 
 def _silent_for(previous: Column, ts: Column, idle_seconds: int) -> Column:
@@ -52,8 +66,8 @@ def first_sightings(
     if carry is not None:
         wanted = {"vehicle_id", *event_order(events), *carry}
         events = events.select([c for c in events.columns if c in wanted])
-    buckets = reduce_per_vehicle(events, f"{idle_seconds} seconds")
+    buckets = _reduced(events, idle_seconds)
     w = Window.partitionBy("vehicle_id").orderBy("bucket")
     marked = buckets.withColumn("previous", F.lag("last_ts").over(w))
     new = _silent_for(F.col("previous"), F.col("first.ts"), idle_seconds)
-    return marked.filter(new).select("first.*")
+    return marked.filter(new).select([f"first.{c}" for c in events.columns])

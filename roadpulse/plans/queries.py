@@ -243,8 +243,7 @@ def total_traffic_running_daily(spark, sf_dir):
 
 @_query
 def counts_per_batch(spark, sf_dir):
-    counts = running.counts_per_interval(vehicle_events(spark, sf_dir))
-    return counts.select("route_id", "vehicle_type", F.col("interval.start").alias("bucket"), "n")
+    return running.counts_per_interval(vehicle_events(spark, sf_dir))
 
 
 # --- messages, archive, offsets --------------------------------------------

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roadpulse.operators.running import KEYS, counts_per_interval
+from roadpulse.operators.running import KEYS
 from roadpulse.operators.sightings import IDLE_SECONDS, reduce_per_vehicle
 from roadpulse.streaming.state import FirstSighting, RunningTotal
 
@@ -31,7 +29,8 @@ def first_sightings_stream(
     time order because they are emitted by the watermark, so the result does not
     depend on how the input was cut into files or batches.
     """
-    reduced = reduce_per_vehicle(events.withWatermark("ts", watermark), f"{every_seconds} seconds")
+    bucket = F.window("ts", f"{every_seconds} seconds")
+    reduced = reduce_per_vehicle(events.withWatermark("ts", watermark), bucket)
     columns = [f for f in events.schema.fields]
     out = [T.StructField("ts_us", T.LongType()) if f.name == "ts" else f for f in columns]
     flat = reduced.select(
@@ -66,17 +65,12 @@ def running_totals_stream(
 
     Spark counts each bucket first, so the few and busy keys reach the state as
     one row per bucket."""
-    counts = counts_per_interval(sightings.withWatermark("ts", watermark), f"{every_seconds} seconds")
-    flat = counts.select(
+    interval = F.window("ts", f"{every_seconds} seconds").alias("interval")
+    counts = sightings.withWatermark("ts", watermark).groupBy(*KEYS, interval)
+    flat = counts.agg(F.count("*").alias("n")).select(
         *KEYS, F.unix_micros("interval.start").alias("bucket_us"), "n"
     )
     out = "route_id string, vehicle_type string, bucket_us bigint, n bigint, total_count bigint"
     processor = RunningTotal(idle_seconds * 1_000_000, every_seconds * 1_000_000, KEYS)
     totals = flat.groupBy(*KEYS).transformWithState(processor, out, "append", "EventTime")
     return totals.select(*KEYS, F.timestamp_micros("bucket_us").alias("bucket"), "n", "total_count")
-
-
-def seconds(duration: str) -> int:
-    """Seconds of ``"10 minutes"`` and the like."""
-    number, unit = re.fullmatch(r"(\d+) (second|minute|hour|day)s?", duration).groups()
-    return int(number) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit]
