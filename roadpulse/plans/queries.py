@@ -599,7 +599,7 @@ def speed_model_reloaded(spark, sf_dir):
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = spark.read.schema("text string").parquet(f"{sf_dir}/documents.parquet")
-    return textops.lines(texts, "text")
+    return textops.lines(textops.over_all_cores(texts), "text")
 
 
 def _words(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -397,6 +397,14 @@ def test_words_match_brute_force(spark, lines):
     assert longest == (min(want, key=lambda w: (-len(w), w)) if want else None)
 
 
+def test_only_small_tables_are_spread(spark):
+    cores = spark.sparkContext.defaultParallelism
+    small = spark.range(10, numPartitions=1).select(F.lit("a b").alias("value"))
+    large = spark.range(10, numPartitions=cores + 1).select(F.lit("a b").alias("value"))
+    assert "RoundRobin" in plan_of(textops.over_all_cores(small))
+    assert "RoundRobin" not in plan_of(textops.over_all_cores(large))
+
+
 def test_order_of_counts(spark):
     rows = spark.createDataFrame([("hello you hello me",)], "value string")
     words = textops.words(rows)

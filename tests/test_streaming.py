@@ -110,6 +110,26 @@ def test_first_sighting_state():
     assert feed((9000 * s, 9000 * s, "d")) == ["d"]
 
 
+def test_first_sighting_state_takes_buckets_in_any_order():
+    rng = random.Random(2)
+    for _ in range(200):
+        processor, _ = started(FirstSighting(100, 5, ["n"]))
+        clock, last, want, got = 0, None, [], []
+        for _ in range(3):  # calls follow each other in time
+            rows = []
+            for _ in range(rng.randrange(12)):
+                clock += rng.choice([5, 50, 100, 101, 200])
+                row = BucketRow(first_us=clock, last_us=clock + rng.randrange(4), n=clock)
+                if last is None or row.first_us - last > 100:
+                    want.append(row.n)
+                last = row.last_us
+                clock = last
+                rows.append(row)
+            rng.shuffle(rows)
+            got += [r.n for r in processor.handleInputRows(("a",), iter(rows), None)]
+        assert got == want
+
+
 def test_running_total_state():
     processor, handle = started(RunningTotal(3600_000_000, 5_000_000, ["k"]))
 
