@@ -150,6 +150,7 @@ _PLACE = f"'{TOPIC}' as topic, cast(event_id % 4 as integer) as kafka_partition"
 _OFFSET = "event_id // 4"
 _ARCHIVE = f"""{VE} select vehicle_id, vehicle_type, route_id, latitude, longitude, ts, speed, fuel_level,
   {_PLACE}, cast(ts as date) as event_date, cast(isodow(ts) as integer) as day_of_week from ve"""
+_FAULTY = "(vehicle_type = 'Small Truck' or (vehicle_type = 'Taxi' and route_id = 'Route-37'))"
 _NEXT_OFFSETS = f"select {_PLACE}, max({_OFFSET}) + 1 as until_offset from ve group by all"
 
 _LINES = r"""with lines as (
@@ -217,10 +218,10 @@ def oracle() -> dict[str, str]:
             fuel_level, cast(event_id % 4 as integer) as kafka_partition,
             {_OFFSET} as from_offset, {_OFFSET} + 1 as until_offset from ve""",
         "dead_letter_split": f"""{VE} select {_PLACE}, {_OFFSET} as "offset",
-            case {_OFFSET} % 25 when 0 then 'bad_json' when 1 then 'bad_timestamp'
-              when 2 then 'bad_coordinate' else 'bad_number' end as error
-            from ve where {_OFFSET} % 25 < 4""",
-        "good_after_faults": f"{VE} {_total(_OFFSET + ' % 25 >= 4')}",
+            case when vehicle_type = 'Taxi' then 'bad_number' when route_id = 'Route-37' then 'bad_json'
+              when route_id = 'Route-43' then 'bad_timestamp' else 'bad_coordinate' end as error
+            from ve where {_FAULTY}""",
+        "good_after_faults": f"{VE} {_total(f'not ({_FAULTY})')}",
         "weekday_flatten": f"""{VE} select vehicle_id, {_OFFSET} as "offset", {_PLACE},
             min({_OFFSET}) over p as from_offset, max({_OFFSET}) over p + 1 as until_offset,
             cast(isodow(ts) as integer) as day_of_week

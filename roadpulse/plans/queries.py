@@ -277,14 +277,20 @@ def json_roundtrip(spark, sf_dir):
 
 
 def _with_faults(records: DataFrame) -> DataFrame:
-    """Damage messages the way senders do, by their offset."""
+    """Damage messages as if all small trucks, and taxis on one route, had
+    faulty senders."""
     text = F.col("value").cast("string")
-    fault = F.col("offset") % 25
+    kind = F.get_json_object(text, "$.vehicleType")
+    route = F.get_json_object(text, "$.routeId")
+    truck = kind == "Small Truck"
     damaged = (
-        F.when(fault == 0, F.lit("{bad"))
-        .when(fault == 1, F.regexp_replace(text, '"timestamp":"[^"]*"', '"timestamp":"soon"'))
-        .when(fault == 2, F.regexp_replace(text, '"latitude":"[^"]*"', '"latitude":"north"'))
-        .when(fault == 3, F.regexp_replace(text, '"speed":[0-9.]+', '"speed":"fast"'))
+        F.when(truck & (route == "Route-37"), F.lit("{bad"))
+        .when(truck & (route == "Route-43"), F.regexp_replace(text, '"timestamp":"[^"]*"', '"timestamp":"soon"'))
+        .when(truck, F.regexp_replace(text, '"latitude":"[^"]*"', '"latitude":"north"'))
+        .when(
+            (kind == "Taxi") & (route == "Route-37"),
+            F.regexp_replace(text, '"speed":[0-9.]+', '"speed":"fast"'),
+        )
         .otherwise(text)
     )
     return records.withColumn("value", damaged.cast("binary"))
