@@ -22,12 +22,12 @@ result each; further columns are ignored.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.llm.textbytes import SLICE, mix
-from roadpulse.llm.substrings import same_place
-from roadpulse.llm.work import map_batches, text_hash, texts
+from roadpulse.llm.work import map_batches, small_batches, texts
 
 BUCKETS = 1 << 16
 SCRIPT_SHARE = 0.01
@@ -196,55 +196,59 @@ def best_paths(scores: np.ndarray, doc: np.ndarray, n_docs: int, penalty: float)
     return path
 
 
-def identify(docs: DataFrame, model: dict, penalty: float = PENALTY) -> DataFrame:
-    """``doc_id, text_hash, lang_pred, score`` (share of the letters that the
-    path gives to it) and ``spans`` (language, first word, number of words)."""
+def reader(model: dict, penalty: float):
+    """Function from texts to (language, score, spans) of each."""
     names, logs, uses = model["names"], model["logs"], model["uses"]
+    letters = Letters()
+
+    def read(texts: list[str]):
+        n = len(texts)
+        pred, score, spans = ["und"] * n, np.zeros(n), [[] for _ in range(n)]
+        bucket, doc, words, script = letters.of(texts)
+        if not len(words) or not names:
+            return pred, score, spans
+        of = doc[words]
+        scores = np.stack([np.add.reduceat(row[bucket], words, dtype=np.float64) for row in logs], axis=1)
+        size = np.diff(np.append(words, len(bucket)))
+        scores = np.where(uses[script], scores, scores.min(axis=1, keepdims=True) + BARRED)
+        path = best_paths(scores, of, n, penalty)
+        share = np.zeros((n, len(names)))
+        np.add.at(share, (of, path), size)
+        total, top = share.sum(axis=1), share.argmax(axis=1)
+        new = np.ones(len(of), dtype=bool)
+        new[1:] = (of[1:] != of[:-1]) | (path[1:] != path[:-1])
+        head = np.flatnonzero(new)
+        count = np.diff(np.append(head, len(of)))
+        begin = np.searchsorted(of, np.arange(n))
+        for h, c in zip(head.tolist(), count.tolist()):
+            spans[of[h]].append({"lang": names[path[h]], "first": h - int(begin[of[h]]), "number": c})
+        for d in np.flatnonzero(total).tolist():
+            pred[d] = names[top[d]]
+            score[d] = share[d, top[d]] / total[d]
+        return pred, score, spans
+
+    return read
+
+
+def identify(docs: DataFrame, model: dict, penalty: float = PENALTY) -> DataFrame:
+    """``doc_id, lang_pred, score`` (share of the letters that the path gives to
+    it) and ``spans`` (language, first word, number of words)."""
 
     def make():
-        letters = Letters()
+        read = reader(model, penalty)
 
         def step(batch):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             for low, high in chunks(texts):
-                n = high - low
-                pred, score, spans = ["und"] * n, np.zeros(n), [[] for _ in range(n)]
-                bucket, doc, words, script = letters.of(texts[low:high])
-                if len(words) and names:
-                    of = doc[words]
-                    scores = np.stack([np.add.reduceat(row[bucket], words, dtype=np.float64) for row in logs], axis=1)
-                    size = np.diff(np.append(words, len(bucket)))
-                    scores = np.where(uses[script], scores, scores.min(axis=1, keepdims=True) + BARRED)
-                    path = best_paths(scores, of, n, penalty)
-                    share = np.zeros((n, len(names)))
-                    np.add.at(share, (of, path), size)
-                    total = share.sum(axis=1)
-                    top = share.argmax(axis=1)
-                    new = np.ones(len(of), dtype=bool)
-                    new[1:] = (of[1:] != of[:-1]) | (path[1:] != path[:-1])
-                    head = np.flatnonzero(new)
-                    count = np.diff(np.append(head, len(of)))
-                    begin = np.searchsorted(of, np.arange(n))
-                    for h, c in zip(head.tolist(), count.tolist()):
-                        d = int(of[h])
-                        spans[d].append({"lang": names[path[h]], "first": h - int(begin[d]), "number": c})
-                    for d in np.flatnonzero(total).tolist():
-                        pred[d] = names[top[d]]
-                        score[d] = share[d, top[d]] / total[d]
-                yield {
-                    "doc_id": batch.column("doc_id").slice(low, n),
-                    "text_hash": batch.column("text_hash").slice(low, n),
-                    "lang_pred": pred,
-                    "score": score,
-                    "spans": spans,
-                }
+                pred, score, spans = read(texts[low:high])
+                yield {"doc_id": batch.column("doc_id").slice(low, high - low), "lang_pred": pred, "score": score, "spans": spans}
 
         return step
 
     return map_batches(
-        docs.select("doc_id", "text", "text_hash"),
+        docs.select("doc_id", "text"),
         make,
-        "doc_id long, text_hash long, lang_pred string, score double, spans array<struct<lang string, first long, number long>>",
+        "doc_id long, lang_pred string, score double, spans array<struct<lang string, first long, number long>>",
     )
 
 
@@ -253,22 +257,32 @@ def fold(folds: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
 
 
-def learned_and_identified(docs: DataFrame) -> DataFrame:
-    """Learn from the documents that aren't held out, identify all."""
-    rows = texts(docs, F.col("lang").cast("string").alias("lang"), text_hash(docs))
-    model = learn(rows.filter((fold(4) != 2) & F.col("lang").isNotNull() & F.col("text").isNotNull()))
-    return identify(rows, model)
+def learned(docs: DataFrame) -> dict:
+    """Model of the documents that aren't held out and have a language."""
+    rows = texts(docs, F.col("lang").cast("string").alias("lang"))
+    return learn(rows.filter((fold(4) != 2) & F.col("lang").isNotNull() & F.col("text").isNotNull()))
 
 
-def accepted(docs: DataFrame, least: float = 0.5) -> DataFrame:
-    """The documents whose language is found; out go those without a letter and
-    those where no language has the share ``least`` of the letters."""
-    found = learned_and_identified(docs).filter((F.col("lang_pred") != "und") & (F.col("score") >= least))
-    found = found.select("doc_id", "text_hash").distinct()
-    kept = same_place(docs.withColumn("text_hash", text_hash(docs)), found, "left_semi")
-    return kept.select(*docs.columns)
+def accepted(docs: DataFrame, least: float = 0.5, penalty: float = PENALTY) -> DataFrame:
+    """The documents whose language is found, as they are; out go those without
+    a letter and those where no language has the share ``least`` of the letters."""
+    model = learned(docs)
+    small_batches(docs.sparkSession)
+
+    def run(batches):
+        read = reader(model, penalty)
+        for batch in batches:
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            keep: list[bool] = []
+            for low, high in chunks(texts):
+                pred, score, _ = read(texts[low:high])
+                keep += [p != "und" and s >= least for p, s in zip(pred, score)]
+            yield batch.filter(pa.array(keep, type=pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op10_language_id(spark, sf_dir: str) -> DataFrame:
-    found = learned_and_identified(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    found = identify(texts(docs), learned(docs))
     return found.select("doc_id", F.coalesce(fold(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")

@@ -133,7 +133,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
 
 def without_leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents in which no window of an item occurs."""
-    hit = window_hits(docs, items, window).select(*PLACE).distinct()
+    hit = written(window_hits(docs, items, window).select(*PLACE).distinct(), "hit")
     kept = same_place(docs.withColumn("text_hash", text_hash(docs)), hit, "left_anti")
     return kept.select(*docs.columns)
 

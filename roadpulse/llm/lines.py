@@ -45,10 +45,10 @@ def windows(docs: DataFrame, run: int) -> DataFrame:
 
 def later_windows(docs: DataFrame, run: int) -> DataFrame:
     """``doc_id, text_hash, low`` of the windows whose lines stand earlier too."""
-    found = written(windows(docs.select(*PLACE, "text").dropDuplicates(PLACE), run), "line_windows")
+    found = written(windows(docs, run), "line_windows")
     prints = found.select(*PLACE, "mark", (F.col("low") + F.col("shift")).alias("line")).distinct()
     shared = prints.groupBy("mark").agg(F.count("*").alias("n")).filter("n > 1").select("mark")
-    near = written(found.join(shared, "mark"), "line_matches")
+    near = written(found.join(shared, "mark").distinct(), "line_matches")
     key = ["mark", "shift", "whole"]
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", "low")
     first = near.groupBy(*key).agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1")
