@@ -12,11 +12,10 @@ A document is its set of ``size``-word shingles; two are linked if
    below the threshold are dropped.
 3. Every class of a band's group is compared with the group's least class only
    (linear in the group).  Candidates are confirmed on the full shingle sets.
-4. Groups whose classes are then not all in one component are cut into tiles;
-   pairs of tiles are compared by bit counts, and pairs of *different*
-   components go on to the confirmation: first a spanning forest of the most
-   similar, then, with the components it gave, all that is left.  Pairs inside
-   a component need no confirmation, since they can't change it.
+4. Groups whose classes are then not all in one component are cut into tiles.
+   Two tiles at a time, pairs of *different* components are compared by bit
+   counts and the likely ones confirmed on the sets, which travel with the tiles.
+   Pairs inside a component need no confirmation, since they can't change it.
 
 So no group is expanded into all its pairs in a table, none is gathered in a
 task, and no link between components is lost to a cap.
@@ -126,6 +125,15 @@ def estimate(left: str, right: str):
     return F.expr(f"1 - ({apart}) / {ROWS * BANDS}D / (1 - 1 / {1 << BITS}D)")
 
 
+def similar(x: pa.Scalar, y: pa.Scalar, percent: int) -> bool:
+    """The exact test on two sets of shingle hashes."""
+    x, y = np.frombuffer(x.as_buffer(), dtype=np.uint64), np.frombuffer(y.as_buffer(), dtype=np.uint64)
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    both = len(x) + len(y) - len(np.unique(np.concatenate((x, y))))
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs ``a, b`` whose full shingle sets reach the threshold."""
 
@@ -134,9 +142,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             left, right = batch.column("left"), batch.column("right")
             good = []
             for x, y in zip(left, right):
-                x, y = np.frombuffer(x.as_buffer(), dtype=np.uint64), np.frombuffer(y.as_buffer(), dtype=np.uint64)
-                both = len(x) + len(y) - len(np.unique(np.concatenate((x, y))))
-                good.append(100 * both >= percent * (len(x) + len(y) - both))
+                good.append(similar(x, y, percent))
             keep = pa.array(good, type=pa.bool_())
             yield {"a": batch.column("a").filter(keep), "b": batch.column("b").filter(keep)}
 
@@ -147,53 +153,82 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return map_batches(pairs.select("a", "b").join(left, "a").join(right, "b"), make, "a long, b long")
 
 
-def tile_pairs(members: DataFrame, cut: float, forest: bool) -> DataFrame:
-    """Likely pairs of different components within the groups of ``members``
-    (``key, n, node, component, packed``).  A group of n classes is cut into
-    tiles by hash, each pair of tiles is one task's work.  With ``forest`` only
-    the pairs of a spanning forest of the components, most similar first."""
-
-    def compare(key, table):
-        node = table.column("node").to_numpy()
-        component = table.column("component").to_numpy()
-        tile = table.column("tile").to_numpy()
-        bits = np.stack(table.column("packed").combine_chunks().flatten().to_numpy().reshape(len(node), LONGS)).view(np.uint64)
-        first = np.flatnonzero(tile == int(key[1].as_py()))
-        second = np.flatnonzero(tile == int(key[2].as_py()))
-        rows, cols, scores = [], [], []
-        for i in first.tolist():
-            x = bits[second] ^ bits[i]
-            x = (x | (x >> np.uint64(1)) | (x >> np.uint64(2)) | (x >> np.uint64(3))) & np.uint64(NIBBLES)
-            score = 1 - np.bitwise_count(x).sum(axis=1) / (ROWS * BANDS) / (1 - 1 / (1 << BITS))
-            good = np.flatnonzero((score >= cut) & (component[second] != component[i]))
-            rows.append(np.full(len(good), i))
-            cols.append(second[good])
-            scores.append(score[good])
-        rows, cols, scores = (np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in (rows, cols, scores))
-        if forest:
-            root: dict[int, int] = {}
-
-            def find(c):
-                while root.get(c, c) != c:
-                    c = root[c]
-                return c
-
-            taken = []
-            for k in np.argsort(-scores, kind="stable").tolist():
-                x, y = find(int(component[rows[k]])), find(int(component[cols[k]]))
-                if x != y:
-                    root[max(x, y)] = min(x, y)
-                    taken.append(k)
-            rows, cols = rows[taken], cols[taken]
-        a, b = node[rows.astype(np.int64)], node[cols.astype(np.int64)]
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+def likely(table: pa.Table, tiles: tuple[int, int], key: int, cut: float):
+    """Rows, columns and estimates of the likely pairs of two tiles: of different
+    components, similar by their bits, and sharing no earlier group (so a pair
+    is looked at in one group only)."""
+    n = table.num_rows
+    tile, component = table.column("tile").to_numpy(), table.column("component").to_numpy()
+    bits = table.column("packed").combine_chunks().flatten().to_numpy().reshape(n, LONGS).view(np.uint64)
+    shared = table.column("groups").combine_chunks()
+    size, pairs = np.diff(shared.offsets.to_numpy()), shared.flatten()
+    slots, at = np.zeros((n, BANDS), dtype=np.int64), np.repeat(np.arange(n), size)
+    slots[at, pairs.field("band").to_numpy()] = pairs.field("key").to_numpy()
+    band = int(np.flatnonzero(slots[0] == key)[0])
+    # a slot without a group agrees with nothing
+    empty = slots == 0
+    first, second = np.flatnonzero(tile == tiles[0]), np.flatnonzero(tile == tiles[1])
+    rows, cols, scores = [first[:0]], [first[:0]], [np.zeros(0)]
+    for i in first.tolist():
+        others = second[component[second] != component[i]]
+        if tiles[0] == tiles[1]:
+            others = others[others > i]
+        x = bits[others] ^ bits[i]
+        x = (x | (x >> np.uint64(1)) | (x >> np.uint64(2)) | (x >> np.uint64(3))) & np.uint64(NIBBLES)
+        score = 1 - np.bitwise_count(x).sum(axis=1) / (ROWS * BANDS) / (1 - 1 / (1 << BITS))
+        good = score >= cut
+        others, score = others[good], score[good]
+        known = ((slots[others, :band] == slots[i, :band]) & ~empty[i, :band]).any(axis=1)
+        rows.append(np.full((~known).sum(), i))
+        cols.append(others[~known])
+        scores.append(score[~known])
+    return np.concatenate(rows), np.concatenate(cols), np.concatenate(scores)
+
+
+def links_in_groups(members: DataFrame, sets: DataFrame, percent: int, cut: float) -> DataFrame:
+    """Links between classes of different components that share a group.
+
+    ``members``: ``key, n, node, component, packed, groups``.  A group is cut into
+    tiles by hash, and a pair of tiles is one task's work.  The bits alone tell
+    which classes have a likely partner; those are joined with their sets, and
+    the pairs are confirmed most similar first.  A link found makes one component
+    of two, so at most as many links leave a task as it has classes."""
+    cell = ["key", "i", "j"]
+
+    def involved(key, table):
+        rows, cols, _ = likely(table, (key[1].as_py(), key[2].as_py()), key[0].as_py(), cut)
+        return table.take(pa.array(np.union1d(rows, cols))).select([*cell, "tile", "node", "component", "packed", "groups"])
+
+    def confirm(key, table):
+        rows, cols, scores = likely(table, (key[1].as_py(), key[2].as_py()), key[0].as_py(), cut)
+        node, component = table.column("node").to_numpy(), table.column("component").to_numpy()
+        held = table.column("set").combine_chunks()
+        root: dict[int, int] = {}
+
+        def find(c):
+            while root.get(c, c) != c:
+                c = root[c]
+            return c
+
+        links = []
+        for k in np.argsort(-scores, kind="stable").tolist():
+            x, y = rows[k], cols[k]
+            a, b = find(int(component[x])), find(int(component[y]))
+            if a != b and similar(held[int(x)], held[int(y)], percent):
+                root[max(a, b)] = min(a, b)
+                links.append((int(node[x]), int(node[y])))
+        return pa.table({"a": [x for x, _ in links], "b": [y for _, y in links]}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
     tiles = F.ceil(F.col("n") / F.lit(TILE))
-    cells = members.withColumn("tile", F.pmod(F.xxhash64("node", F.lit(1)), tiles)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), tiles - 1)))
+    cells = members.withColumn("tile", F.pmod(F.xxhash64("node", F.lit(1)), tiles)).withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("long"), tiles - 1))
+    )
     cells = cells.select(
-        "key", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "node", "component", "packed"
+        "key", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "node", "component", "packed", "groups"
     )
-    return cells.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+    some = cells.repartition(*cell).groupBy(*cell).applyInArrow(involved, cells.schema)
+    some = written(some, "involved")
+    return some.join(sets, "node").repartition(*cell).groupBy(*cell).applyInArrow(confirm, "a long, b long")
 
 
 def components_of(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
@@ -207,34 +242,30 @@ def components_of(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) ->
     # one row per class; the bits are a function of the set
     classes = held.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("packed").alias("packed"), F.first("bands").alias("bands"))
     classes = written(classes, "classes")
-    keyed = written(classes.select("node", F.explode("bands").alias("key")), "bands")
-    groups = keyed.groupBy("key").agg(F.min("node").alias("least"), F.count("*").alias("n"), F.sum(F.xxhash64("node") % 1000003).alias("sum"))
+    keyed = written(classes.select("node", F.posexplode("bands").alias("band", "key")), "bands")
+    groups = keyed.groupBy("key").agg(F.min("node").alias("least"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("sum"))
     groups = groups.filter("n > 1")
     # bands with the same members are one group
     groups = written(groups.groupBy("least", "n", "sum").agg(F.min("key").alias("key")), "groups")
     members = written(
-        keyed.join(groups, "key").select("key", "n", "least", "node").join(classes.select("node", "packed"), "node"), "members"
+        keyed.join(groups, "key").select("key", "band", "n", "least", "node").join(classes.select("node", "packed"), "node"), "members"
     )
     known = classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "doc_id")
     sets = written(full_sets(docs, known, size), "sets")
 
     bits = members.filter("node = least").select("key", F.col("packed").alias("their"))
     star = members.filter("node != least").join(bits, "key").filter(estimate("packed", "their") >= cut)
-    asked = written(star.select(F.col("least").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
-    links = written(confirmed(asked, sets, percent), "confirmed")
+    pairs = star.select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
+    links = written(confirmed(pairs, sets, percent), "confirmed")
     found = components(links)
-    for forest in (True, False):
-        labelled = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        open_groups = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x != y")
-        pairs = tile_pairs(labelled.join(open_groups.select("key"), "key", "left_semi"), cut, forest)
-        pairs = written(pairs.join(asked, ["a", "b"], "left_anti"), "pairs")
-        if pairs.isEmpty():
-            break
-        more = written(confirmed(pairs, sets, percent), "confirmed")
-        asked = asked.unionByName(pairs)
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            found = components(links)
+    labelled = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    labelled = written(labelled.select("key", "band", "n", "node", "component", "packed"), "labelled")
+    open_groups = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x != y")
+    slots = labelled.groupBy("node").agg(F.collect_list(F.struct("band", "key")).alias("groups"))
+    rest = labelled.join(open_groups.select("key"), "key", "left_semi").drop("band").join(slots, "node")
+    more = written(links_in_groups(rest, sets, percent, cut), "confirmed")
+    if not more.isEmpty():
+        found = components(links.unionByName(more))
     named = classes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = named.join(names, "component").select("node", "component_id")
@@ -274,15 +305,18 @@ def full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """The documents less all but one (the least id) of each component; of rows
     equal in id and text one stays.  Columns stay as they are."""
-    judged = components_of(docs, size, percent).filter("kept").select(
-        F.col("doc_id").alias("kept_id_"), F.col("text_hash").alias("kept_hash_")
+    judged = components_of(docs, size, percent).select(
+        F.col("doc_id").alias("their_id_"), F.col("text_hash").alias("their_hash_"), "kept"
     )
-    place = Window.partitionBy("doc_id", "hash_").orderBy("all_")
-    one = docs.withColumns({"hash_": text_hash(docs), "all_": F.xxhash64(*docs.columns)})
-    # the limit of one is applied before the shuffle as well
-    one = one.withColumn("row_", F.row_number().over(place)).filter("row_ = 1")
-    same = F.col("doc_id").eqNullSafe(F.col("kept_id_")) & (F.col("hash_") == F.col("kept_hash_"))
-    return one.join(judged.distinct(), same, "left_semi").select(*docs.columns)
+    judged = written(judged.groupBy("their_id_", "their_hash_", "kept").agg(F.count("*").alias("n")), "judged")
+    rows = docs.withColumn("hash_", text_hash(docs))
+    same = F.col("doc_id").eqNullSafe(F.col("their_id_")) & F.col("hash_").eqNullSafe(F.col("their_hash_"))
+    out = rows.join(judged.filter("not kept").select("their_id_", "their_hash_"), same, "left_anti")
+    if not judged.filter("kept and n > 1").isEmpty():
+        place = Window.partitionBy("doc_id", "hash_").orderBy("all_")
+        # the limit of one is applied before the shuffle as well
+        out = out.withColumn("all_", F.xxhash64(*docs.columns)).withColumn("row_", F.row_number().over(place)).filter("row_ = 1")
+    return out.select(*docs.columns)
 
 
 def op1_near_dedup(spark, sf_dir: str) -> DataFrame:
