@@ -13,7 +13,7 @@ from roadpulse.llm.language import accepted
 from roadpulse.llm.leaks import without_leaks
 from roadpulse.llm.lines import without_repeated_lines
 from roadpulse.llm.neardup import near_duplicates
-from roadpulse.llm.packing import pack_digest
+from roadpulse.llm.packing import pack
 from roadpulse.llm.work import written
 
 
@@ -39,7 +39,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of at most 4096 tokens."""
-    return pack_digest(docs)
+    return pack(docs, with_ids=False)
 
 
 STAGES = [

@@ -12,7 +12,7 @@ where ``SEQUENCE`` is a small price per sequence, so that long ones are preferre
 Padding of a sequence shorter than ``LENGTH`` is ``LENGTH - (i - j)``, so the
 minimum runs over ``cost[j] + j`` in a sliding window: a monotone queue gives it
 without a search.  A sequence whose length is a power of two needs no padding;
-these lengths are looked up one by one.  Cuts inside a sentence are only
+such lengths from an eighth of ``LENGTH`` up are looked up one by one.  Cuts inside a sentence are only
 considered where no sentence ends for ``STRIDE`` tokens.
 
 The stream is planned ``HORIZON`` tokens at a time; the last few sequences of a
@@ -28,13 +28,13 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import os
 import sys
 import types
 import zlib
 from collections import deque
 
 import numpy as np
-import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
@@ -46,7 +46,8 @@ CLOSE = 2
 STRIDE = 64
 SEQUENCE, SENTENCE, INSIDE = 16, 4, 48
 HORIZON = 256 * LENGTH
-CACHED = 600_000
+CACHED = 1_200_000
+TEXTS = 2 << 20
 
 
 def default_tokenizer() -> str:
@@ -58,45 +59,74 @@ def default_tokenizer() -> str:
 class WordIds:
     """Token ids of texts, word by word: the tokenizer never joins letters over
     white space and ignores the case of A-Z, so a word (a run without 0x20 and
-    0x09-0x0D) is tokenized once and kept under its hash."""
+    0x09-0x0D) is tokenized once and kept under its hash, in sorted arrays."""
 
     def __init__(self, path: str):
+        # tasks share the cores; threads in each of them only add overhead
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
         self.words = Tokeniser("space", True)
+        special = sorted(self.model.get_added_tokens_decoder().items())
+        self.marks = [t.content.encode() for _, t in special]
+        # a special token between words keeps their ids apart
+        self.mark = special[-1] if special else None
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[int, int] = {}
-        self.size = np.zeros(1024, dtype=np.int64)
-        self.start = np.zeros(1024, dtype=np.int64)
-        self.flat, self.used = np.zeros(4096, dtype=np.uint32), 0
-
-    def add(self, hashes: list[int], found: list[bytes]) -> None:
-        for h, e in zip(hashes, self.model.encode_batch([w.decode() for w in found], add_special_tokens=False)):
-            k, ids = len(self.known), e.ids
-            if k == len(self.size):
-                self.size, self.start = np.append(self.size, np.zeros_like(self.size)), np.append(self.start, np.zeros_like(self.start))
-            while self.used + len(ids) > len(self.flat):
-                self.flat = np.append(self.flat, np.zeros_like(self.flat))
-            self.known[h] = k
-            self.size[k], self.start[k] = len(ids), self.used
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.used += len(ids)
+        self.hashes = np.zeros(0, dtype=np.uint64)
+        self.size, self.start = np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64)
+        self.flat, self.used = np.zeros(1 << 16, dtype=np.uint32), 0
+
+    def tokenized(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words, one after the other, and how many each has."""
+        joined = b" ".join(found)
+        if self.mark and not any(m in joined for m in self.marks):
+            number, token = self.mark[0], self.mark[1].content
+            between = f" {token} "
+            parts = []
+            for k in range(0, len(found), 500):
+                text = between.join([w.decode() for w in found[k : k + 500]]) + between
+                parts.append(np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.uint32))
+            ids = np.concatenate(parts)
+            ends = np.flatnonzero(ids == number)
+            return ids[ids != number], np.diff(np.concatenate(([-1], ends))) - 1
+        all_ids = [e.ids for e in self.model.encode_batch_fast([w.decode() for w in found], add_special_tokens=False)]
+        return np.array([i for ids in all_ids for i in ids], dtype=np.uint32), np.array([len(ids) for ids in all_ids])
+
+    def add(self, hashes: np.ndarray, found: list[bytes]) -> None:
+        """``hashes`` are sorted and new."""
+        ids, size = self.tokenized(found)
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.append(self.flat, np.zeros_like(self.flat))
+        self.flat[self.used : self.used + len(ids)] = ids
+        at = np.searchsorted(self.hashes, hashes)
+        self.hashes = np.insert(self.hashes, at, hashes)
+        self.size = np.insert(self.size, at, size)
+        self.start = np.insert(self.start, at, self.used + np.cumsum(size) - size)
+        self.used += len(ids)
+
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        """Place of each hash, -1 if it isn't known."""
+        if not len(self.hashes):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, at, -1)
 
     def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a slice, and where each text's ids begin and end."""
         words = self.words.words(data, offsets)
         distinct, at, back = np.unique(words.hashes, return_index=True, return_inverse=True)
-        if len(self.known) + len(distinct) > max(CACHED, 2 * len(distinct)):
+        if len(self.hashes) + len(distinct) > max(CACHED, 2 * len(distinct)):
             self.clear()
-        keys = distinct.tolist()
-        new = [k for k, h in enumerate(keys) if h not in self.known]
-        if new:
-            self.add([keys[k] for k in new], [words.text(int(at[k])) for k in new])
-        place = np.array([self.known[h] for h in keys], dtype=np.int64)
-        size, start = self.size[place][back], self.start[place][back]
+        new = np.flatnonzero(self.places(distinct) < 0)
+        if len(new):
+            raw = words.data.tobytes()
+            low, high = words.starts[at[new]].tolist(), words.ends[at[new]].tolist()
+            self.add(distinct[new], [raw[x:y] for x, y in zip(low, high)])
+        place = self.places(distinct)
+        size, start = self.size[place][back].astype(np.int64), self.start[place][back]
         ends = np.cumsum(size)
         index = np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - (ends - size), size)
         return self.flat[index], np.concatenate(([0], ends))[words.first]
@@ -142,7 +172,7 @@ def plan(places: np.ndarray, penalty: np.ndarray, length: int) -> list[int]:
     """Cuts of the cheapest packing from 0 to the last place."""
     spots, prices = [0, *places.tolist()], [0, *penalty.tolist()]
     index = {p: k for k, p in enumerate(spots)}
-    powers = [1 << k for k in range(length.bit_length()) if 1 << k < length]
+    powers = [1 << k for k in range(length.bit_length()) if length // 8 <= 1 << k < length]
     cost, came = [0] * len(spots), [0] * len(spots)
     queue: deque[tuple[int, int]] = deque([(0, 0)])
     for i in range(1, len(spots)):
@@ -170,9 +200,10 @@ def powers_of(n: int) -> list[int]:
     return [1 << k for k in range(n.bit_length() - 1, -1, -1) if n >> k & 1]
 
 
-def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH) -> DataFrame:
-    """One row per piece of a document: ``doc_id, start, length, doc_tokens,
-    sequence_id, offset, ids`` (the piece's token ids)."""
+def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, with_ids: bool = True) -> DataFrame:
+    """One row per piece of a document: ``doc_id, start, length, ids_crc32``
+    (checksum of the ids, little-endian and unsigned), ``doc_tokens, sequence_id,
+    offset`` and, if asked for, ``ids`` (the piece's token ids)."""
     path = tokenizer or default_tokenizer()
 
     def make():
@@ -184,13 +215,15 @@ def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH) ->
 
         def emit(sizes: list[int]):
             """Rows of the next sequences, of these sizes."""
-            rows = {k: [] for k in ("doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids")}
+            rows = {k: [] for k in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids")}
             for size in sizes:
                 offset = 0
                 while offset < size:
                     doc_id, ids, done = waiting[0]
                     n = min(len(ids) - done, size - offset)
-                    for k, v in zip(rows, (doc_id, done, n, len(ids), part + state["sequence"], offset, ids[done : done + n])):
+                    own = ids[done : done + n]
+                    crc = zlib.crc32(own.astype("<u4").tobytes())
+                    for k, v in zip(rows, (doc_id, done, n, crc, len(ids), part + state["sequence"], offset, own)):
                         rows[k].append(v)
                     offset += n
                     if done + n == len(ids):
@@ -217,7 +250,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH) ->
 
         def step(batch):
             names = batch.column("doc_id").to_pylist()
-            for low, high, data, offsets in slices(batch.column("text")):
+            for low, high, data, offsets in slices(batch.column("text"), TEXTS):
                 ids, edges = lookup.ids(data, offsets)
                 for k in range(high - low):
                     own = np.append(ids[edges[k] : edges[k + 1]], np.uint32(CLOSE))
@@ -233,32 +266,9 @@ def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH) ->
         step.finish = finish
         return step
 
-    return map_batches(
-        texts(docs),
-        make,
-        "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids array<int>",
-    )
-
-
-def pack_digest(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH) -> DataFrame:
-    """``pack`` with the checksum of each piece's ids (little-endian, unsigned)."""
-    packed = pack(docs, tokenizer, length)
-
-    def make():
-        def step(batch):
-            ids = batch.column("ids")
-            flat, edges = ids.flatten().to_numpy(zero_copy_only=False).astype("<u4"), np.concatenate(([0], np.cumsum(batch.column("length").to_numpy())))
-            crc = [zlib.crc32(flat[a:b].tobytes()) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
-            yield {c: batch.column(c) for c in batch.schema.names if c != "ids"} | {"ids_crc32": crc}
-
-        return step
-
-    return map_batches(
-        packed,
-        make,
-        "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long",
-    )
+    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+    return map_batches(texts(docs), make, schema + ", ids array<int>" * with_ids)
 
 
 def op5_packing(spark, sf_dir: str) -> DataFrame:
-    return pack_digest(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return pack(spark.read.parquet(f"{sf_dir}/documents.parquet"), with_ids=False)
