@@ -263,7 +263,7 @@ def learned(docs: DataFrame) -> dict:
     return learn(rows.filter((fold(4) != 2) & F.col("lang").isNotNull() & F.col("text").isNotNull()))
 
 
-def accepted(docs: DataFrame, least: float = 0.5, penalty: float = PENALTY) -> DataFrame:
+def accepted(docs: DataFrame, least: float = 0.25, penalty: float = PENALTY) -> DataFrame:
     """The documents whose language is found, as they are; out go those without
     a letter and those where no language has the share ``least`` of the letters."""
     model = learned(docs)
