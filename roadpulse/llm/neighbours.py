@@ -1,6 +1,7 @@
 """Nearest neighbours by a block matrix join of int8 tiles.
 
-Vectors are packed into blocks of at most ``BLOCK`` rows where they are read.
+Vectors are packed into blocks of at most ``BLOCK`` rows where they are read
+(``QUERY_BLOCK`` for queries).
 Every block of queries meets every block of candidates (a stated query set
 against all rows): blocks, not rows, are dealt out to ``groups`` keys, query
 blocks to each of them.
@@ -15,7 +16,8 @@ bound.  A candidate survives if its upper bound reaches the k-th largest lower
 bound known for its query; survivors are computed in float64 from the original
 vectors, added component by component in order, and kept in a heap per query.
 The result is exact, ties going to the smaller id.  The heaps of the groups
-are merged at the end: at most ``k`` rows per query and group.
+are merged at the end: at most ``k`` rows per query and group, so the number of
+groups is fixed; more machines share out the blocks of queries.
 
 Vectors that are null, empty or zero, or hold a null or a non-finite component
 take no part, nor do rows with a null id.  Only vectors of equal length are
@@ -38,8 +40,9 @@ from pyspark.sql import functions as F
 from roadpulse.llm.work import map_batches
 
 BLOCK = 1024
+QUERY_BLOCK = 256
 K = 20
-GROUPS = 64
+GROUPS = 8
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -49,8 +52,8 @@ def usable(vectors: DataFrame) -> DataFrame:
     return rows.filter(F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & finite & F.exists("embedding", lambda x: x != 0))
 
 
-def blocks(rows: DataFrame) -> DataFrame:
-    """``block, width, ids, data``: up to ``BLOCK`` vectors of one length."""
+def blocks(rows: DataFrame, most: int) -> DataFrame:
+    """``block, width, ids, data``: up to ``most`` vectors of one length."""
 
     def make():
         part = TaskContext.get().partitionId() << 33
@@ -73,7 +76,7 @@ def blocks(rows: DataFrame) -> DataFrame:
             ends = np.cumsum(size)
             for vec_id, width, end in zip(batch.column("vec_id").to_pylist(), size.tolist(), ends.tolist()):
                 open_blocks.setdefault(width, []).append((vec_id, flat[end - width : end]))
-                if len(open_blocks[width]) == BLOCK:
+                if len(open_blocks[width]) == most:
                     yield closed(width)
 
         def finish():
@@ -122,12 +125,12 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, groups: int = GROU
     rows = usable(vectors)
     queries = rows.filter(is_query).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
     keys = F.sequence(F.lit(0), F.lit(groups - 1))
-    left = blocks(queries).select(
+    left = blocks(queries, QUERY_BLOCK).select(
         F.col("block").alias("query_block"), "width", F.col("ids").alias("query_ids"), F.col("data").alias("query_data"), F.explode(keys).alias("key")
     )
-    right = blocks(rows).withColumn("key", F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int"))
+    right = blocks(rows, BLOCK).withColumn("key", F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int"))
     # of a key, tiles of one query block follow each other
-    tiles = left.join(right, ["key", "width"]).sortWithinPartitions("key", "query_block")
+    tiles = left.join(right, ["key", "width"]).repartition("key", "query_block").sortWithinPartitions("key", "query_block")
 
     def make():
         current: dict = {"block": None}
