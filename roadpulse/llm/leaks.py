@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.llm.substrings import same_place
-from roadpulse.llm.work import text_hash, texts, written
+from roadpulse.llm.work import text_hash, texts, whole_rows, written
 
 WINDOW = 10
 BROADCAST = 100_000
@@ -134,8 +134,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
 def without_leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents in which no window of an item occurs."""
     hit = written(window_hits(docs, items, window).select(*PLACE).distinct(), "hit")
-    kept = same_place(docs.withColumn("text_hash", text_hash(docs)), hit, "left_anti")
-    return kept.select(*docs.columns)
+    return same_place(whole_rows(docs).select(*PLACE, "row"), hit, "left_anti").select("row.*")
 
 
 def op3_decontamination(spark, sf_dir: str) -> DataFrame:

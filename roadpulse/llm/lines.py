@@ -25,7 +25,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.llm.work import text_hash, texts, written
+from roadpulse.llm.substrings import same_place
+from roadpulse.llm.work import text_hash, texts, whole_rows, written
 
 RUN = 2
 PLACE = ["doc_id", "text_hash"]
@@ -55,54 +56,60 @@ def later_windows(docs: DataFrame, run: int) -> DataFrame:
     return near.join(first, key).filter(~place.eqNullSafe(F.col("first"))).select(*PLACE, "low")
 
 
-def remove_repeated_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
-    """``docs`` with ``text`` less its later repeated runs, and the columns
-    ``n_lines``, ``n_removed`` and ``removed`` (first line, number of lines)
-    in place of any of these names."""
+def cleaned(docs: DataFrame, run: int) -> DataFrame:
+    """``row`` (the columns of ``docs``), ``text`` less its later repeated runs,
+    ``n_lines``, ``n_removed`` and ``removed`` (first line, number of lines)."""
     places = later_windows(texts(docs, text_hash(docs)), run)
-    cut = places.groupBy(*PLACE).agg(F.array_sort(F.collect_set("low")).alias("lows_"))
+    cut = places.groupBy(*PLACE).agg(F.array_sort(F.collect_set("low")).alias("lows"))
     # a run begins where the window before doesn't reach, and ends likewise
-    cut = cut.withColumn("heads_", F.filter("lows_", lambda x, i: (i == 0) | (x - F.get("lows_", i - 1) > run)))
+    cut = cut.withColumn("heads", F.filter("lows", lambda x, i: (i == 0) | (x - F.get("lows", i - 1) > run)))
     cut = cut.withColumn(
-        "ends_",
-        F.transform(F.filter("lows_", lambda x, i: (i == F.size("lows_") - 1) | (F.get("lows_", i + 1) - x > run)), lambda x: x + run),
-    ).drop("lows_")
-    cut = cut.withColumnsRenamed({"doc_id": "place_id_", "text_hash": "place_hash_"})
-    kept = docs.drop("n_lines", "n_removed", "removed").withColumn("hash_", text_hash(docs))
-    same = F.col("doc_id").eqNullSafe(F.col("place_id_")) & (F.col("hash_") == F.col("place_hash_"))
-    lines = kept.join(cut, same, "left").withColumn("lines_", F.split("text", "\n"))
+        "ends",
+        F.transform(F.filter("lows", lambda x, i: (i == F.size("lows") - 1) | (F.get("lows", i + 1) - x > run)), lambda x: x + run),
+    ).drop("lows")
+    lines = same_place(whole_rows(docs), cut, "left").withColumn("lines", F.split("text", "\n"))
     pieces = F.transform(
-        F.sequence(F.lit(0), F.size("heads_")),
+        F.sequence(F.lit(0), F.size("heads")),
         lambda k: F.slice(
-            "lines_",
-            F.coalesce(F.get("ends_", k - 1), F.lit(0)) + 1,
-            F.coalesce(F.get("heads_", k), F.size("lines_")) - F.coalesce(F.get("ends_", k - 1), F.lit(0)),
+            "lines",
+            F.coalesce(F.get("ends", k - 1), F.lit(0)) + 1,
+            F.coalesce(F.get("heads", k), F.size("lines")) - F.coalesce(F.get("ends", k - 1), F.lit(0)),
         ),
     )
-    text = F.when(F.col("heads_").isNull(), F.col("text")).otherwise(F.array_join(F.flatten(pieces), "\n"))
-    removed = F.when(F.col("heads_").isNull(), F.array().cast("array<struct<first:int,number:int>>")).otherwise(
-        F.zip_with("heads_", "ends_", lambda a, b: F.struct(a.alias("first"), (b - a).alias("number")))
+    whole = F.col("heads").isNull()
+    removed = F.when(whole, F.array().cast("array<struct<first:int,number:int>>")).otherwise(
+        F.zip_with("heads", "ends", lambda a, b: F.struct(a.alias("first"), (b - a).alias("number")))
     )
-    out = lines.withColumns({"text": text, "n_lines": F.coalesce(F.size(F.col("lines_")), F.lit(0)).cast("long"), "removed": removed})
-    out = out.withColumn("n_lines", F.when(F.col("lines_").isNull(), F.lit(0)).otherwise(F.col("n_lines")).cast("long"))
-    out = out.withColumn("n_removed", F.aggregate("removed", F.lit(0), lambda s, r: s + r["number"]).cast("long"))
-    return out.select(*kept.drop("hash_").columns, "n_lines", "n_removed", "removed")
+    return lines.select(
+        "row",
+        F.when(whole, F.col("text")).otherwise(F.array_join(F.flatten(pieces), "\n")).alias("text"),
+        F.when(F.col("lines").isNull(), F.lit(0)).otherwise(F.size("lines")).cast("long").alias("n_lines"),
+        removed.alias("removed"),
+    ).withColumn("n_removed", F.aggregate("removed", F.lit(0), lambda s, r: s + r["number"]).cast("long"))
+
+
+def remove_repeated_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
+    """``docs`` with ``text`` less its later repeated runs, and the columns
+    ``n_lines``, ``n_removed`` and ``removed`` in place of any of these names."""
+    added = ["n_lines", "n_removed", "removed"]
+    kept = [c for c in docs.columns if c not in added]
+    return cleaned(docs, run).select(*[F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in kept], *added)
 
 
 def without_repeated_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
     """The documents with their later repeated runs deleted, ``n_chars``
     following the text; documents of which nothing is left go."""
-    cleaned = remove_repeated_lines(docs, run)
-    cleaned = cleaned.filter((F.col("n_removed") == 0) | (F.trim(F.col("text")) != ""))
-    if "n_chars" in docs.columns:
-        changed = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-        cleaned = cleaned.withColumn("n_chars", changed)
-    return cleaned.select(*docs.columns)
+    changed = F.col("n_removed") > 0
+    left = cleaned(docs, run).filter(~changed | (F.trim("text") != ""))
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return left.select(
+        *[F.when(changed, new[c]).otherwise(F.col("row")[c]).alias(c) if c in new else F.col("row")[c].alias(c) for c in docs.columns]
+    )
 
 
 def op4_line_dedup(spark, sf_dir: str) -> DataFrame:
-    cleaned = remove_repeated_lines(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+    found = remove_repeated_lines(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
 OP4_SQL = """

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.llm.graph import components
 from roadpulse.llm.textbytes import BASE2, Powers, Tokeniser, mix, run_hashes, slices
-from roadpulse.llm.work import map_batches, text_hash, texts, written
+from roadpulse.llm.work import map_batches, text_hash, texts, whole_rows, written
 
 SIZE = 5
 PERCENT = 80
@@ -309,14 +309,14 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -
         F.col("doc_id").alias("their_id_"), F.col("text_hash").alias("their_hash_"), "kept"
     )
     judged = written(judged.groupBy("their_id_", "their_hash_", "kept").agg(F.count("*").alias("n")), "judged")
-    rows = docs.withColumn("hash_", text_hash(docs))
-    same = F.col("doc_id").eqNullSafe(F.col("their_id_")) & F.col("hash_").eqNullSafe(F.col("their_hash_"))
+    rows = whole_rows(docs).select("doc_id", "text_hash", "row")
+    same = F.col("doc_id").eqNullSafe(F.col("their_id_")) & F.col("text_hash").eqNullSafe(F.col("their_hash_"))
     out = rows.join(judged.filter("not kept").select("their_id_", "their_hash_"), same, "left_anti")
     if not judged.filter("kept and n > 1").isEmpty():
-        place = Window.partitionBy("doc_id", "hash_").orderBy("all_")
+        place = Window.partitionBy("doc_id", "text_hash").orderBy("order")
         # the limit of one is applied before the shuffle as well
-        out = out.withColumn("all_", F.xxhash64(*docs.columns)).withColumn("row_", F.row_number().over(place)).filter("row_ = 1")
-    return out.select(*docs.columns)
+        out = out.withColumn("order", F.xxhash64("row")).withColumn("number", F.row_number().over(place)).filter("number = 1")
+    return out.select("row.*")
 
 
 def op1_near_dedup(spark, sf_dir: str) -> DataFrame:

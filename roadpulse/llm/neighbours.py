@@ -96,9 +96,9 @@ def quantised(vectors: np.ndarray):
     # a denormal scale can't be divided by; such a vector is all rest
     whole = np.where(scale[:, None] > 1e-300, np.rint(vectors / np.maximum(scale, 1e-300)[:, None]), 0)
     near = whole * scale[:, None]
-    # a little more than the norms, for their own rounding
-    up = 1 + 1e-9
-    return whole.astype(np.float32), scale, np.linalg.norm(near, axis=1) * up, np.linalg.norm(vectors - near, axis=1) * up
+    # a little more than the norms, for their own rounding and underflow
+    up, least = 1 + 1e-9, 1e-150
+    return whole.astype(np.float32), scale, np.linalg.norm(near, axis=1) * up + least, np.linalg.norm(vectors - near, axis=1) * up + least
 
 
 def tile_bounds(queries, candidates) -> tuple[np.ndarray, np.ndarray]:

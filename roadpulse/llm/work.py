@@ -31,6 +31,11 @@ def texts(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more)
 
 
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """``row`` (all columns, whatever their names), ``doc_id``, ``text``, ``text_hash``."""
+    return texts(docs, F.struct(*[docs[c] for c in docs.columns]).alias("row"), text_hash(docs))
+
+
 def text_hash(docs: DataFrame) -> Column:
     """With the id it tells documents apart; rows equal in both are alike."""
     return F.xxhash64(docs["text"].cast("string")).alias("text_hash")
