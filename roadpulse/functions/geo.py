@@ -12,6 +12,14 @@ EARTH_RADIUS_KM = 6371.0
 BOX_UNITS = 5
 UNITS_PER_DEGREE = 10000
 _SLACK_DEGREES = 1e-9
+MOST_DEGREES = 360.0
+
+
+def on_globe(latitude: Column, longitude: Column) -> Column:
+    """Is it a place: latitude within 90, longitude within 360 degrees?  False
+    for null, NaN and infinite values."""
+    place = (F.abs(latitude) <= 90.0) & (F.abs(longitude) <= MOST_DEGREES)
+    return F.coalesce(place, F.lit(False))
 
 
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
@@ -47,8 +55,11 @@ def round_half_up(x: Column) -> Column:
 
 def cell_index(degrees: Column) -> Column:
     """Number of the 0.0005-degree box a coordinate falls in.  Group on this
-    whole number and turn it back into degrees afterwards."""
-    return round_half_up(degrees.cast("double") * UNITS_PER_DEGREE / BOX_UNITS)
+    whole number and turn it back into degrees afterwards.  Null for what is no
+    coordinate (not finite, or beyond ``MOST_DEGREES``)."""
+    value = degrees.cast("double")
+    # NaN is larger than any number
+    return F.when(F.abs(value) <= MOST_DEGREES, round_half_up(value * UNITS_PER_DEGREE / BOX_UNITS))
 
 
 def cell_to_degrees(index: Column, grid: str = "box") -> Column:

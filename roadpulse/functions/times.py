@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 # is optional, so whole seconds and microseconds both parse.
 MESSAGE_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 DATE_FORMAT = "yyyy-MM-dd"
+# Milliseconds of the first and last instant of the years 1 to 9999.
+EPOCH_MILLIS = (-62_135_596_800_000, 253_402_300_799_999)
 
 
 def iso_weekday(ts: Column) -> Column:
@@ -41,7 +43,10 @@ def parse_event_time(text: Column, source_tz: str | None = None) -> Column:
     written = F.try_to_timestamp(text, F.lit(MESSAGE_TIME_FORMAT))
     if source_tz:
         written = F.to_utc_timestamp(written, source_tz)
-    millis = F.timestamp_millis(text.try_cast("bigint"))
+    number = text.try_cast("bigint")
+    first, last = EPOCH_MILLIS
+    # converting a number outside the range of timestamps would end the job
+    millis = F.when(number.between(first, last), F.timestamp_millis(number))
     return F.coalesce(written, millis)
 
 

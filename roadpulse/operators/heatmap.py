@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.functions.geo import cell_index, cell_to_degrees, degree_index
+from roadpulse.functions.geo import cell_index, cell_to_degrees, degree_index, on_globe
 from roadpulse.functions.times import day_start, event_time
 from roadpulse.operators.traffic import AsOf, on_complete_days
 from roadpulse.operators.windows import sliding_counts, sliding_counts_stream
@@ -24,6 +24,11 @@ def measurements(events: DataFrame) -> DataFrame:
     )
 
 
+def _placed(points: DataFrame) -> DataFrame:
+    """Points on the globe; the others have no cell."""
+    return points.filter(on_globe(F.col("latitude"), F.col("longitude")))
+
+
 def _cells(grid: str) -> list[Column]:
     """Grouping columns: whole numbers, which hash faster than coordinates."""
     lat, lon = cell_index(F.col("latitude")), cell_index(F.col("longitude"))
@@ -50,7 +55,7 @@ def heatmap_daily(
         raise ValueError(f"unknown bounds {bounds!r}: expected 'half_open' or 'open'")
     if not include_last_day:
         events = on_complete_days(events)
-    points = measurements(events.filter(F.col("ts").isNotNull()))
+    points = _placed(measurements(events.filter(F.col("ts").isNotNull())))
     day = day_start(F.col("ts"))
     if bounds == "open":
         points = points.filter(F.col("ts") > day)
@@ -62,12 +67,12 @@ def heatmap_daily(
 
 def heatmap_window(events: DataFrame, grid: str = "box", as_of: AsOf = None) -> DataFrame:
     """Events per cell in 120-second windows every 10 seconds."""
-    counts = sliding_counts(measurements(events), _cells(grid), WINDOW_SECONDS, SLIDE_SECONDS)
+    counts = sliding_counts(_placed(measurements(events)), _cells(grid), WINDOW_SECONDS, SLIDE_SECONDS)
     return window_rows(counts, grid, as_of)
 
 
 def heatmap_window_stream(events: DataFrame, grid: str = "box") -> DataFrame:
-    points = events.select("latitude", "longitude", "ts")
+    points = _placed(events.select("latitude", "longitude", "ts"))
     return sliding_counts_stream(points, _cells(grid), WINDOW_SECONDS, SLIDE_SECONDS)
 
 

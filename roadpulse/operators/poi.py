@@ -70,6 +70,10 @@ def near_point(events: DataFrame, poi: PointOfInterest) -> DataFrame:
     )
 
 
+# Longitudes up to this many degrees are turned back into range.
+MOST_TURNED = 1e9
+
+
 def _cell_key(level: Column, cell_y: Column, cell_x: Column) -> Column:
     """One number per level and cell, which joins faster than three columns.
     The finest level has 2 * 11520 rows and 2 * 23040 columns of cells."""
@@ -130,7 +134,9 @@ def near_points(
     decides.  Every point lives on one level, so an event meets it in one cell
     only and no pair comes out twice.  Up to ``broadcast_points`` points the
     events are not shuffled at all; beyond that events of a cell are spread over
-    ``salts`` tasks, so a crowded cell does not end up in one.
+    ``salts`` tasks, so a crowded cell does not end up in one.  Events without a
+    place on the globe are near nothing.  Points as wide as the globe meet every
+    event: that many rows are the result.
     """
     cells = _covering_cells(pois)
     # at most MAX_LEVEL - MIN_LEVEL + 1 rows
@@ -147,7 +153,8 @@ def near_points(
         _cell_key(F.lit(level), F.floor(lat / 2.0**level), F.floor(lon_in_range / 2.0**level))
         for level in levels or [0]
     ]
-    on_earth = events.filter((lat >= -90) & (lat <= 90))
+    # turns around the globe are taken off; NaN is larger than any number
+    on_earth = events.filter((lat >= -90) & (lat <= 90) & (F.abs(lon) <= MOST_TURNED))
     placed = on_earth.withColumn("cell", F.explode(F.array(*places)))
     cells = cells.drop("level")
     if few:

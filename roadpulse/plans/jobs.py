@@ -37,6 +37,7 @@ class BatchConfig:
 
 def run_batch(spark: SparkSession, cfg: BatchConfig) -> dict[str, str]:
     """Recompute the four batch views from the archive; returns their paths.
+    A view replaces its earlier table whole: days the archive no longer has go.
 
     Three scans, each of the columns it needs only: the totals are summed from
     the daily view that was just written.  Totals cover every event, so with
@@ -55,13 +56,14 @@ def run_batch(spark: SparkSession, cfg: BatchConfig) -> dict[str, str]:
         heat.withColumn("record_date", heat["time_stamp"].cast("date")),
         paths["heat_map"],
         ["record_date"],
+        whole=True,
     )
 
     near = poi.near_point(events, cfg.poi)
     write_view(poi.latest_per_vehicle(near), paths["poi_traffic"])
 
     daily = traffic.daily_traffic(events, cfg.as_of, cfg.include_last_day)
-    write_view(daily, paths["window_traffic"], ["record_date"])
+    write_view(daily, paths["window_traffic"], ["record_date"], whole=True)
 
     if cfg.include_last_day:
         written = spark.read.parquet(paths["window_traffic"])

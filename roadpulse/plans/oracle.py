@@ -150,7 +150,7 @@ _PLACE = f"'{TOPIC}' as topic, cast(event_id % 4 as integer) as kafka_partition"
 _OFFSET = "event_id // 4"
 _ARCHIVE = f"""{VE} select vehicle_id, vehicle_type, route_id, latitude, longitude, ts, speed, fuel_level,
   {_PLACE}, cast(ts as date) as event_date, cast(isodow(ts) as integer) as day_of_week from ve"""
-_FAULTY = "(vehicle_type = 'Small Truck' or (vehicle_type = 'Taxi' and route_id = 'Route-37'))"
+_FAULTY = "(vehicle_type in ('Small Truck', 'Taxi') or (vehicle_type = 'Bus' and route_id <> 'Route-82'))"
 _NEXT_OFFSETS = f"select {_PLACE}, max({_OFFSET}) + 1 as until_offset from ve group by all"
 
 _LINES = r"""with lines as (
@@ -182,9 +182,9 @@ def oracle() -> dict[str, str]:
         "event_time_span": f"""{VE} select min(ts) as min_ts, max(ts) as max_ts,
             cast(floor((epoch_ms(max(ts)) - epoch_ms(min(ts))) / 86400000) as bigint) as span_days from ve""",
         "events_in_interval": f"""{VE} select event_id, vehicle_id, ts from ve
-            where ts >= timestamp '{start}' and ts < timestamp '{end}'""",
+            where ts >= (select min(ts) from ve where ts >= timestamp '{start}') and ts < timestamp '{end}'""",
         "events_in_open_interval": f"""{VE} select event_id, vehicle_id, ts from ve
-            where ts > timestamp '{start}' and ts < timestamp '{end}'""",
+            where ts > (select min(ts) from ve where ts >= timestamp '{start}') and ts < timestamp '{end}'""",
         "window_traffic_30s_10s": f"{VE} {_traffic_windows('ve')}",
         "window_traffic_of_sightings": f"{SIGHTINGS} {_traffic_windows('sightings')}",
         "measurements": f"{VE} select latitude, longitude, ts from ve",
@@ -218,7 +218,9 @@ def oracle() -> dict[str, str]:
             fuel_level, cast(event_id % 4 as integer) as kafka_partition,
             {_OFFSET} as from_offset, {_OFFSET} + 1 as until_offset from ve""",
         "dead_letter_split": f"""{VE} select {_PLACE}, {_OFFSET} as "offset",
-            case when vehicle_type = 'Taxi' then 'bad_number' when route_id = 'Route-37' then 'bad_json'
+            case when vehicle_type = 'Bus' and route_id = 'Route-37' then 'bad_key'
+              when vehicle_type = 'Bus' then 'future_timestamp'
+              when vehicle_type = 'Taxi' and route_id = 'Route-37' then 'bad_number' when route_id = 'Route-37' then 'bad_json'
               when route_id = 'Route-43' then 'bad_timestamp' else 'bad_coordinate' end as error
             from ve where {_FAULTY}""",
         "good_after_faults": f"{VE} {_total(f'not ({_FAULTY})')}",
@@ -279,6 +281,7 @@ def oracle() -> dict[str, str]:
         "word_lengths": f"{_LINES} select cast(length(value) as integer) as length from lines",
         "words": f"{_WORDS} select word from words",
         "words_not_hello": f"{_WORDS} select word from words where word <> 'hello'",
+        "words_not_the": f"{_WORDS} select word from words where word <> 'the'",
         "longest_word": f"{_WORDS} select word from words order by length(word) desc, word limit 1",
         "word_count": f"{_WORDS} select word, count(*) as count from words group by word",
         "word_count_by_value": f"{_WORDS} select word, count(*) as count from words group by word",

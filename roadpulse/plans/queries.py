@@ -108,16 +108,23 @@ def event_time_span(spark, sf_dir):
     return traffic.event_time_span(vehicle_events(spark, sf_dir))
 
 
+def _interval(events: DataFrame) -> tuple:
+    """``INTERVAL`` from its first event on, so that one lies on the bound."""
+    first = events.filter(F.col("ts") >= F.lit(INTERVAL[0]).cast("timestamp")).agg(F.min("ts")).first()[0]
+    return first, INTERVAL[1]
+
+
 @_query
 def events_in_interval(spark, sf_dir):
     events = vehicle_events(spark, sf_dir)
-    return events.filter(in_interval(F.col("ts"), *INTERVAL)).select("event_id", "vehicle_id", "ts")
+    kept = events.filter(in_interval(F.col("ts"), *_interval(events)))
+    return kept.select("event_id", "vehicle_id", "ts")
 
 
 @_query
 def events_in_open_interval(spark, sf_dir):
     events = vehicle_events(spark, sf_dir)
-    kept = events.filter(in_interval(F.col("ts"), *INTERVAL, bounds="open"))
+    kept = events.filter(in_interval(F.col("ts"), *_interval(events), bounds="open"))
     return kept.select("event_id", "vehicle_id", "ts")
 
 
@@ -277,8 +284,8 @@ def json_roundtrip(spark, sf_dir):
 
 
 def _with_faults(records: DataFrame) -> DataFrame:
-    """Damage messages as if all small trucks, and taxis on one route, had
-    faulty senders."""
+    """Damage messages as if all small trucks and taxis, and buses on two routes,
+    had faulty senders."""
     text = F.col("value").cast("string")
     kind = F.get_json_object(text, "$.vehicleType")
     route = F.get_json_object(text, "$.routeId")
@@ -291,6 +298,16 @@ def _with_faults(records: DataFrame) -> DataFrame:
             (kind == "Taxi") & (route == "Route-37"),
             F.regexp_replace(text, '"speed":[0-9.]+', '"speed":"fast"'),
         )
+        .when(
+            (kind == "Taxi") & (route == "Route-43"),
+            F.regexp_replace(text, '"timestamp":"[^"]*"', '"timestamp":"99999999999999999"'),
+        )
+        .when(kind == "Taxi", F.regexp_replace(text, '"longitude":"[^"]*"', '"longitude":"Infinity"'))
+        .when((kind == "Bus") & (route == "Route-37"), F.regexp_replace(text, '"vehicleId":"[^"]*",', ""))
+        .when(
+            (kind == "Bus") & (route == "Route-43"),
+            F.regexp_replace(text, '"timestamp":"[^"]*"', '"timestamp":"2099-01-01 00:00:00"'),
+        )
         .otherwise(text)
     )
     return records.withColumn("value", damaged.cast("binary"))
@@ -633,6 +650,12 @@ def words_not_hello(spark, sf_dir):
     return textops.words_except(_words(spark, sf_dir))
 
 
+@_query
+def words_not_the(spark, sf_dir):
+    """The same for a word that occurs."""
+    return textops.words_except(_words(spark, sf_dir), "the")
+
+
 @_query
 def longest_word(spark, sf_dir):
     return textops.longest_word(_words(spark, sf_dir))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roadpulse.functions.geo import on_globe
 from roadpulse.functions.times import iso_weekday, parse_event_time
 from roadpulse.schemas import ARCHIVE, CORRUPT_FIELD, MESSAGE
 
@@ -12,12 +13,22 @@ OK = "ok"
 DEAD = "dead"
 
 
-def decode(records: DataFrame, source_tz: str | None = None) -> DataFrame:
+# An event may be this much later than its arrival at the topic; a clock further
+# ahead would carry the watermark of the live views away.
+MAX_AHEAD_SECONDS = 3600
+
+
+def decode(
+    records: DataFrame, source_tz: str | None = None, max_ahead_seconds: int = MAX_AHEAD_SECONDS
+) -> DataFrame:
     """Topic records to archive rows (``schemas.ARCHIVE``).
 
     Good and bad messages travel in one DataFrame, told apart by ``status``, so
     a stream is read and parsed once.  ``error`` says why a row is dead.  A
-    missing speed or fuel level counts as 0.  Offsets are kept per record:
+    missing speed or fuel level counts as 0; a missing vehicle, route or type, a
+    number that isn't finite, a place off the globe, and an event more than
+    ``max_ahead_seconds`` later than its record's timestamp make a row dead.  No
+    value ends the job.  Offsets are kept per record:
     ``[from_offset, until_offset)`` is the record's own range, so the minimum
     and maximum over any set of rows are the range of that set, however the
     input was cut into micro-batches.
@@ -30,6 +41,7 @@ def decode(records: DataFrame, source_tz: str | None = None) -> DataFrame:
         "topic",
         F.col("partition").alias("kafka_partition"),
         "offset",
+        F.col("timestamp").alias("arrived"),
         text.alias("raw_value"),
         F.explode(F.array(F.from_json(text, MESSAGE, options))).alias("m"),
     )
@@ -38,6 +50,7 @@ def decode(records: DataFrame, source_tz: str | None = None) -> DataFrame:
         "topic",
         "kafka_partition",
         "offset",
+        "arrived",
         "raw_value",
         m["vehicleId"].alias("vehicle_id"),
         m["vehicleType"].alias("vehicle_type"),
@@ -52,9 +65,11 @@ def decode(records: DataFrame, source_tz: str | None = None) -> DataFrame:
     checked = typed.withColumn(
         "error",
         F.when(F.col("unreadable"), "bad_json")
+        .when(F.col("vehicle_id").isNull() | F.col("vehicle_type").isNull() | F.col("route_id").isNull(), "bad_key")
         .when(F.col("ts").isNull(), "bad_timestamp")
-        .when(F.col("latitude").isNull() | F.col("longitude").isNull(), "bad_coordinate")
-        .when(F.col("speed").isNull() | F.col("fuel_level").isNull(), "bad_number"),
+        .when(F.col("ts") > F.col("arrived") + F.make_dt_interval(secs=F.lit(max_ahead_seconds)), "future_timestamp")
+        .when(~on_globe(F.col("latitude"), F.col("longitude")), "bad_coordinate")
+        .when(~(_finite("speed") & _finite("fuel_level")), "bad_number"),
     )
     dead = F.col("error").isNotNull()
     return checked.select(
@@ -83,6 +98,11 @@ def _number_or_zero(text: Column) -> Column:
     return F.when(text.isNull(), F.lit(0.0)).otherwise(text.try_cast("double"))
 
 
+def _finite(name: str) -> Column:
+    """False for null, NaN and infinite numbers."""
+    return F.coalesce(F.abs(name) < float("inf"), F.lit(False))
+
+
 def good(rows: DataFrame) -> DataFrame:
     return rows.filter(F.col("status") == OK)
 

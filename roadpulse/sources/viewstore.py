@@ -1,8 +1,9 @@
 """Keyed views as Parquet: an idempotent change log, read as latest row per key.
 
 A micro-batch writes its rows under ``log/batch_id=N`` and overwrites that
-folder when it is replayed.  ``compact`` folds the log into ``base/upto=N``;
-readers start from the newest base and prune the older part of the log.
+folder when it is replayed.  ``compact`` folds the log into ``base/upto=N`` and
+then notes N in ``commits``; readers start from the newest base noted there and
+prune the older part of the log.
 """
 
 from __future__ import annotations
@@ -63,21 +64,26 @@ def latest_per_key_ranked(changes: DataFrame, keys: list[str], order: list[str])
 
 
 def read_changes(spark: SparkSession, path: str) -> DataFrame:
-    """Newest base plus the log written after it, with ``batch_id``."""
-    base = read_if_exists(spark, f"{path}/base")
+    """Newest finished base plus the log written after it, with ``batch_id``."""
+    upto = _finished(spark, path)
     log = read_if_exists(spark, f"{path}/log")
-    if base is None:
+    if upto is None:
         if log is None:
             raise FileNotFoundError(f"no view at {path}")
         return log
-    # one value, from the folder names
-    upto = base.agg(F.max("upto")).first()[0]
-    rows = base.filter(F.col("upto") == upto).withColumnRenamed("upto", "batch_id")
+    rows = spark.read.parquet(f"{path}/base/upto={upto}").withColumn("batch_id", F.lit(upto).cast("int"))
     if log is None:
         return rows
     return rows.unionByName(log.filter(F.col("batch_id") > upto))
 
 
+def _finished(spark: SparkSession, path: str) -> int | None:
+    """Batch number of the newest base whose writing has ended, if any."""
+    commits = read_if_exists(spark, f"{path}/commits", "upto int")
+    # one value
+    return None if commits is None else commits.agg(F.max("upto")).first()[0]
+
+
 def read_view(spark: SparkSession, path: str, keys: list[str], time_column: str = "time_stamp") -> DataFrame:
     """Current rows of a view: one per key, last batch wins, then last time."""
     changes = read_changes(spark, path)
@@ -86,12 +92,17 @@ def read_view(spark: SparkSession, path: str, keys: list[str], time_column: str
 
 def compact(spark: SparkSession, path: str, keys: list[str], time_column: str = "time_stamp") -> int:
     """Fold everything written so far into a new base; returns its batch number.
-    Batches written meanwhile stay in the log."""
+    Batches written meanwhile stay in the log.  A base counts once its commit is
+    written, so an interrupted run changes nothing, and a finished base is never
+    written again."""
     changes = read_changes(spark, path)
     upto = changes.agg(F.max("batch_id")).first()[0]
+    if upto == _finished(spark, path):
+        return upto
     seen = changes.filter(F.col("batch_id") <= upto)
     rows = latest_per_key(seen, keys, ["batch_id", time_column]).drop("batch_id")
     rows.write.mode("overwrite").parquet(f"{path}/base/upto={upto}")
+    spark.range(1).select(F.lit(upto).cast("int").alias("upto")).write.mode("append").parquet(f"{path}/commits")
     return upto
 
 
@@ -105,13 +116,14 @@ def unexpired(rows: DataFrame, as_of: datetime | str | None = None) -> DataFrame
     return rows.filter(F.col("expires_at") > event_time(as_of))
 
 
-def write_view(rows: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
+def write_view(rows: DataFrame, path: str, partition_by: list[str] | None = None, whole: bool = False) -> None:
     """Store a recomputed view.  With ``partition_by`` only the partitions the
-    rows belong to are replaced; the rebalance hint keeps every task from writing
+    rows belong to are replaced, or with ``whole`` all there are, so none stays
+    that the view no longer has; the rebalance hint keeps every task from writing
     a file into every partition and splits partitions that are large."""
     if not partition_by:
         rows.write.mode("overwrite").parquet(path)
         return
     packed = rows.hint("rebalance", *[F.col(c) for c in partition_by])
-    writer = packed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer = packed.write.mode("overwrite").option("partitionOverwriteMode", "static" if whole else "dynamic")
     writer.partitionBy(*partition_by).parquet(path)

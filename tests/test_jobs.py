@@ -52,6 +52,26 @@ def test_batch_job(spark, stored, tmp_path, include_last_day):
     assert near.count() > 0
 
 
+def test_batch_job_follows_its_archive(spark, tmp_path):
+    """Days the archive no longer has are gone after the next run."""
+    events = vehicle_events(spark, SMALL)
+    full, part = str(tmp_path / "full"), str(tmp_path / "part")
+    records = topic_records(spark, SMALL)
+    archive.write_archive(codec.decode(records), full)
+    early = F.col("timestamp") < "2024-01-10"
+    archive.write_archive(codec.decode(records.filter(early)), part)
+    for include_last_day in (True, False):
+        for source, kept in ((full, events), (part, events.filter(F.col("ts") < "2024-01-10"))):
+            cfg = BatchConfig(source, str(tmp_path / "out"), NEAR, as_of=AS_OF, include_last_day=include_last_day)
+            paths = run_batch(spark, cfg)
+            same(spark.read.parquet(paths["total_traffic"]), traffic.total_traffic(kept, AS_OF))
+            daily = spark.read.parquet(paths["window_traffic"])
+            same(
+                daily.withColumn("record_date", F.col("record_date").cast("string")),
+                traffic.daily_traffic(kept, AS_OF, include_last_day),
+            )
+
+
 def elastic_net(x, y, reg, alpha, rounds=2000):
     """Coordinate descent on standardised features and label, where the penalty
     is divided by the label's deviation."""

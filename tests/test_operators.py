@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from conftest import MIDDAY, at
 from roadpulse.operators import heatmap, poi, running, serving, sightings, textops, traffic
 from roadpulse.operators.windows import newest_window, sliding_counts
+from roadpulse.schemas import POI
 from roadpulse.sources.viewstore import latest_per_key, latest_per_key_ranked
 
 PROPERTY = settings(
@@ -405,6 +406,18 @@ def test_only_small_tables_are_spread(spark):
     assert "RoundRobin" not in plan_of(textops.over_all_cores(large))
 
 
+def test_places_off_the_globe_are_left_out(spark, events_of):
+    inf, nan = float("inf"), float("nan")
+    odd = [(53.0, inf), (nan, -7.0), (1e300, -7.0), (None, -7.0), (53.0, 1e15)]
+    events = events_of([(1, "a", 0, "Route-37", "Bus", 53.0, -7.0)])
+    events = events.unionByName(
+        events_of([(2 + k, "b", k, "Route-37", "Bus", *place) for k, place in enumerate(odd)])
+    )
+    assert [r.total_count for r in heatmap.heatmap_daily(events).collect()] == [1]
+    points = spark.createDataFrame([("p", 53.0, -7.0, 5.0, None, None)], POI)
+    assert [r.event_id for r in poi.near_points(events, points).collect()] == [1]
+
+
 def test_order_of_counts(spark):
     rows = spark.createDataFrame([("hello you hello me",)], "value string")
     words = textops.words(rows)

@@ -67,6 +67,18 @@ def test_good_message(records_of):
         (message(latitude="north"), "bad_coordinate"),
         (message(longitude=None), "bad_coordinate"),
         (message(speed="fast"), "bad_number"),
+        (message(speed="NaN"), "bad_number"),
+        (message(timestamp=99999999999999999), "bad_timestamp"),
+        (message(timestamp=-99999999999999999), "bad_timestamp"),
+        (message(timestamp="2024-01-03 13:00:01"), "future_timestamp"),
+        (message(timestamp="2099-01-01 00:00:00"), "future_timestamp"),
+        (message(latitude="Infinity"), "bad_coordinate"),
+        (message(longitude="NaN"), "bad_coordinate"),
+        (message(latitude="90.5"), "bad_coordinate"),
+        (message(longitude=1e15), "bad_coordinate"),
+        (message(vehicleId=...), "bad_key"),
+        (message(routeId=None), "bad_key"),
+        (message(vehicleType=...), "bad_key"),
     ],
 )
 def test_bad_message_becomes_a_dead_letter(records_of, text, error):
@@ -249,6 +261,27 @@ def test_only_touched_days_are_replaced(spark, tmp_path):
     assert sorted(r.n for r in spark.read.parquet(path).collect()) == [1, 3]
 
 
+def test_whole_view_is_replaced(spark, tmp_path):
+    path = str(tmp_path / "view")
+    for rows in ([(1, "2024-01-03"), (2, "2024-01-04")], [(3, "2024-01-04")]):
+        viewstore.write_view(spark.createDataFrame(rows, "n int, record_date string"), path, ["record_date"], whole=True)
+    assert [r.n for r in spark.read.parquet(path).collect()] == [3]
+
+
+def test_interrupted_compaction_changes_nothing(spark, tmp_path):
+    path, keys = str(tmp_path), VIEW_KEYS["total_traffic"]
+    viewstore.upsert_batch(totals(spark, ("a", 1, 0)), path, 0)
+    (tmp_path / "base" / "upto=0" / "_temporary").mkdir(parents=True)
+    assert current(spark, path) == {"a": 1}
+    # a base without its commit is no base, even with files in it
+    totals(spark, ("a", 9, 9)).write.mode("overwrite").parquet(f"{path}/base/upto=0")
+    assert current(spark, path) == {"a": 1}
+    assert viewstore.compact(spark, path, keys) == 0
+    assert viewstore.compact(spark, path, keys) == 0
+    viewstore.upsert_batch(totals(spark, ("b", 2, 1)), path, 1)
+    assert current(spark, path) == {"a": 1, "b": 2}
+
+
 def test_workspace_needs_a_shared_folder_on_a_cluster(spark):
     class Conf:
         def get(self, key, default=None):
