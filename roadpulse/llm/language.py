@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.llm.textbytes import SLICE, mix
+from roadpulse.llm.textbytes import mix
 from roadpulse.llm.work import map_batches, small_batches, texts
 
 BUCKETS = 1 << 16
@@ -34,6 +34,8 @@ SCRIPT_SHARE = 0.01
 PENALTY = 12.0
 SMOOTHING = 0.05
 BARRED = -50.0
+# characters looked at together; a text is never cut
+CHUNK = 1 << 18
 # Code point ranges of scripts (first, last).
 SCRIPTS = {
     "latin": [(0x41, 0x24F), (0x1E00, 0x1EFF)],
@@ -92,11 +94,11 @@ class Letters:
 
 
 def chunks(texts: list[str | None]):
-    """Runs of whole texts of about ``SLICE`` characters: (first, after last)."""
+    """Runs of whole texts of about ``CHUNK`` characters: (first, after last)."""
     low, size = 0, 0
     for i, t in enumerate(texts):
         size += len(t or "")
-        if size >= SLICE or i + 1 == len(texts):
+        if size >= CHUNK or i + 1 == len(texts):
             yield low, i + 1
             low, size = i + 1, 0
 

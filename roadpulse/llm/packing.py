@@ -46,8 +46,8 @@ CLOSE = 2
 STRIDE = 64
 SEQUENCE, SENTENCE, INSIDE = 16, 4, 48
 HORIZON = 256 * LENGTH
-CACHED = 1_200_000
-TEXTS = 2 << 20
+CACHED = 700_000
+TEXTS = 1 << 20
 
 
 def default_tokenizer() -> str:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.session import workspace
 
-ARROW_BATCH_BYTES = "16m"
+ARROW_BATCH_BYTES = "4m"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
