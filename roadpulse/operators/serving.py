@@ -45,22 +45,24 @@ def heatmap_points(view: DataFrame) -> DataFrame:
 
 
 def snapshot(views: dict[str, tuple[DataFrame, list[str]]], rows_per_page: int = ROWS_PER_PAGE) -> DataFrame:
-    """All views as JSON documents: ``view, page, rows, payload``, the payload
-    being an array of row objects.
+    """All views as JSON documents: ``view, page, pages, rows, payload``, the
+    payload being an array of row objects.
 
     ``views`` maps a name to the view and its key columns.  A view is one
     document while it is small.  A larger one is cut into pages by a hash of its
     unique key, so pages are even and no array grows with the data; the number
-    of pages comes from a count per view.
+    of pages comes from a count per view.  ``pages`` is that number; a page no
+    key falls into has no document.
     """
     documents = None
     for name, (view, keys) in views.items():
         count = view.count()
         if count == 0:
-            schema = "view string, page int, rows bigint, payload string"
-            document = view.sparkSession.createDataFrame([(name, 0, 0, "[]")], schema)
+            schema = "view string, page int, pages int, rows bigint, payload string"
+            document = view.sparkSession.createDataFrame([(name, 0, 1, 0, "[]")], schema)
         else:
-            page = F.pmod(F.xxhash64(*keys), F.lit(-(-count // rows_per_page))).cast("int")
+            pages = -(-count // rows_per_page)
+            page = F.pmod(F.xxhash64(*keys), F.lit(pages)).cast("int")
             row = F.struct(*keys, *[c for c in view.columns if c not in keys])
             document = (
                 view.groupBy(page.alias("page"))
@@ -68,7 +70,7 @@ def snapshot(views: dict[str, tuple[DataFrame, list[str]]], rows_per_page: int =
                     F.count("*").alias("rows"),
                     F.to_json(F.sort_array(F.collect_list(row))).alias("payload"),
                 )
-                .select(F.lit(name).alias("view"), "page", "rows", "payload")
+                .select(F.lit(name).alias("view"), "page", F.lit(pages).cast("int").alias("pages"), "rows", "payload")
             )
         documents = document if documents is None else documents.unionByName(document)
     return documents

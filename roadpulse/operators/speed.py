@@ -41,9 +41,13 @@ def speed_features(events: DataFrame) -> DataFrame:
 
 def split(features: DataFrame, training_share: float = TRAINING_SHARE, seed: int = SEED):
     """Training and test rows.  A hash of the event decides, so the split stays
-    the same whatever the partitioning, and in reruns of lost tasks."""
+    the same whatever the partitioning, and in reruns of lost tasks.  It is the
+    first 32 bits of the MD5 of seed and keys (times in microseconds), joined by
+    ``|``, which any other engine can compute as well."""
     keys = [c for c in ("vehicle_id", *event_order(features)) if c in features.columns]
-    draw = F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(1_000_000))
+    text = [F.unix_micros(c) if c == "ts" else F.col(c) for c in keys]
+    digest = F.md5(F.concat_ws("|", F.lit(seed), *[c.cast("string") for c in text]).cast("binary"))
+    draw = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 1_000_000
     limit = int(training_share * 1_000_000)
     return features.filter(draw < limit), features.filter(draw >= limit)
 

@@ -10,18 +10,6 @@ from pyspark.sql import functions as F
 from roadpulse.functions.words import split_lines, split_words
 
 
-def over_all_cores(texts: DataFrame) -> DataFrame:
-    """Spread a table that is scanned by fewer tasks than there are cores.
-
-    Splitting text is work for the processor, and a file of one row group is one
-    task.  A table large enough to keep the cores busy is left alone, so nothing
-    of size is ever shuffled here."""
-    cores = texts.sparkSession.sparkContext.defaultParallelism
-    if texts.rdd.getNumPartitions() >= cores:
-        return texts
-    return texts.repartition(cores)
-
-
 def lines(texts: DataFrame, column: str = "value") -> DataFrame:
     """One row per line of multi-line texts."""
     return texts.select(F.explode(split_lines(F.col(column))).alias("value"))

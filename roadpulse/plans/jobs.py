@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
 
@@ -88,34 +89,54 @@ def run_speed_model(
 
 
 def start_snapshots(
-    spark: SparkSession, cfg: LiveConfig, path: str, day: str | None = None, as_of: str | None = None
+    spark: SparkSession,
+    cfg: LiveConfig,
+    path: str,
+    day: str | None = None,
+    as_of: str | None = None,
+    every_seconds: int = SNAPSHOT_SECONDS,
 ) -> StreamingQuery:
-    """Write a new snapshot when the totals have changed, every 15 seconds at
-    most.  ``day`` defaults to the current one."""
-    changes = spark.readStream.schema(TRAFFIC_VIEW).parquet(f"{cfg.table('total_traffic')}/log")
+    """Write a new snapshot every 15 seconds, whichever view has changed, also
+    before the first row of any.  ``day`` defaults to the current one.  With
+    ``available_now`` there is no clock: a snapshot is written if the totals have
+    changed since the last run."""
 
     def publish(batch: DataFrame, batch_id: int) -> None:
         shown = day or date.today().isoformat()
         live_snapshot(spark, cfg, shown, as_of).write.mode("overwrite").json(f"{path}/batch_id={batch_id}")
 
-    writer = changes.writeStream.foreachBatch(publish)
-    writer = writer.option("checkpointLocation", cfg.checkpoint("snapshots"))
     if cfg.available_now:
+        changes = spark.readStream.schema(TRAFFIC_VIEW).parquet(f"{cfg.table('total_traffic')}/log")
+        writer = changes.writeStream.foreachBatch(publish)
+        writer = writer.option("checkpointLocation", cfg.checkpoint("snapshots"))
         return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=f"{SNAPSHOT_SECONDS} seconds").start()
+    # one row a second: no batch is empty, so each trigger fires
+    clock = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    writer = clock.writeStream.foreachBatch(publish)
+    writer = writer.option("checkpointLocation", cfg.checkpoint("snapshot_clock"))
+    return writer.trigger(processingTime=f"{every_seconds} seconds").start()
 
 
 def live_snapshot(
     spark: SparkSession, cfg: LiveConfig, day: str, as_of: str | None = None, rows_per_page: int = serving.ROWS_PER_PAGE
 ) -> DataFrame:
     """The four live views as JSON documents: totals and the newest traffic
-    window of one day, the other two as they stand."""
-    keys = VIEW_KEYS
-    windows = live_view(spark, cfg, "window_traffic", newest_only=False)
+    window of one day, the other two as they stand.  A view that no batch has
+    been written to yet is an empty document."""
+
+    def shown(name: str, change: Callable[[DataFrame], DataFrame] | None = None, **how) -> tuple[DataFrame, list[str]]:
+        try:
+            rows = live_view(spark, cfg, name, **how)
+        except FileNotFoundError:
+            return spark.createDataFrame([], "nothing int"), []
+        return change(rows) if change else rows, VIEW_KEYS[name]
+
     views = {
-        "totalTraffic": (serving.by_date(live_view(spark, cfg, "total_traffic"), day), keys["total_traffic"]),
-        "windowTraffic": (newest_window(serving.by_date(windows, day)), keys["window_traffic"]),
-        "poiTraffic": (live_view(spark, cfg, "poi_traffic", as_of), keys["poi_traffic"]),
-        "heatMap": (live_view(spark, cfg, "heat_map"), keys["heat_map"]),
+        "totalTraffic": shown("total_traffic", lambda rows: serving.by_date(rows, day)),
+        "windowTraffic": shown(
+            "window_traffic", lambda rows: newest_window(serving.by_date(rows, day)), newest_only=False
+        ),
+        "poiTraffic": shown("poi_traffic", as_of=as_of),
+        "heatMap": shown("heat_map"),
     }
     return serving.snapshot(views, rows_per_page)

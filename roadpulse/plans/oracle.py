@@ -8,7 +8,17 @@ joins for the points of interest.
 from __future__ import annotations
 
 from roadpulse.operators.poi import BATCH_POI, LIVE_POI, PointOfInterest
-from roadpulse.plans.queries import AS_OF, DAY, INTERVAL, POINTS, TEST_POI, VIEW_TIME, VIEW_TTL_SECONDS
+from roadpulse.operators.speed import SEED, TRAINING_SHARE
+from roadpulse.plans.queries import (
+    AS_OF,
+    DAY,
+    INTERVAL,
+    POINTS,
+    TEST_POI,
+    TOPIC_PARTITIONS,
+    VIEW_TIME,
+    VIEW_TTL_SECONDS,
+)
 from roadpulse.schemas import ROUTES, VEHICLE_TYPES
 from roadpulse.sources.testdata import VEHICLE_EVENTS_SQL
 from roadpulse.sources.topic import TOPIC
@@ -233,9 +243,10 @@ def oracle() -> dict[str, str]:
             cast(ts as date) as event_date, count(*) as n, round(avg(speed), 6) as avg_speed
             from ve where isodow(ts) = 3 group by all""",
         "latest_offsets": f"{VE} {_NEXT_OFFSETS}",
-        "starting_offsets": f"""{VE}, o as ({_NEXT_OFFSETS}) select '{{"{TOPIC}":{{' ||
-            string_agg('"' || kafka_partition || '":' || until_offset, ',' order by kafka_partition)
-            || '}}}}' as offsets from o""",
+        "starting_offsets": f"""{VE}, o as ({_NEXT_OFFSETS}),
+            p as (select cast(unnest(range({TOPIC_PARTITIONS})) as integer) as number)
+            select '{{"{TOPIC}":{{' || string_agg('"' || number || '":' || coalesce(until_offset, -2), ',' order by number)
+            || '}}}}' as offsets from p left join o on number = kafka_partition""",
         "delimited_rows": f"""{VE} select vehicle_id, vehicle_type, route_id, latitude, longitude,
             date_trunc('day', ts)::timestamp as ts, speed, fuel_level from ve""",
         "view_latest_per_key": f"{_VIEW} {_VIEW_COLUMNS}",
@@ -276,7 +287,13 @@ def oracle() -> dict[str, str]:
             select view, count(*) as rows, cast(sum(amount) as bigint) as amount from views group by view""",
         "speed_features": f"""{VE} select ts, event_id, vehicle_id, speed as label,
             cast(trunc(latitude) as integer) as lat, cast(trunc(longitude) as integer) as long,
-            cast(isodow(ts) as integer) as "dayOfWeek" from ve""",
+            cast(isodow(ts) as integer) as "dayOfWeek",
+            cast(latitude as varchar) || '|' || cast(longitude as varchar) as grid from ve""",
+        "speed_split": f"""{VE}, draws as (select event_id, speed as label,
+            cast('0x' || substr(md5(concat_ws('|', {SEED}, vehicle_id, epoch_us(ts), event_id)), 1, 8) as bigint)
+              % 1000000 as draw from ve)
+            select event_id, label, case when draw < {int(TRAINING_SHARE * 1_000_000)} then 'training' else 'test' end as part
+            from draws""",
         "text_lines": f"{_LINES} select value from lines",
         "word_lengths": f"{_LINES} select cast(length(value) as integer) as length from lines",
         "words": f"{_WORDS} select word from words",

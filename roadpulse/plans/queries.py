@@ -39,6 +39,7 @@ INTERVAL = ("2024-01-10 00:00:00", "2024-01-20 00:00:00")
 DAY = "2024-01-15"
 VIEW_TIME = "2024-01-15 12:00:00"
 VIEW_TTL_SECONDS = 86_400
+TOPIC_PARTITIONS = 6
 
 TEST_POI = poi.PointOfInterest(53.877495, -6.50238, 100.0, "Truck", "Route-37", "test_filtered")
 POINTS = [
@@ -369,9 +370,13 @@ def latest_offsets(spark, sf_dir):
 
 @_query
 def starting_offsets(spark, sf_dir):
-    """Start position of a new streaming query, recovered from an archive."""
-    saved = offsets.saved_offsets(spark, _written_archive(spark, sf_dir))
-    return spark.createDataFrame([(topic.starting_offsets_json(saved),)], "offsets string")
+    """Start position of a new streaming query, recovered from an archive of two
+    topics; two partitions of the subscribed one have no records yet."""
+    path = workspace(spark, "archive")
+    rows = _decoded(spark, sf_dir)
+    archive.write_archive(rows.unionByName(rows.withColumn("topic", F.lit("another-topic"))), path)
+    start = topic.start_of(offsets.saved_offsets(spark, path), partitions=TOPIC_PARTITIONS)
+    return spark.createDataFrame([(topic.starting_offsets_json(start),)], "offsets string")
 
 
 @_query
@@ -589,7 +594,15 @@ def batch_job_views(spark, sf_dir):
 
 @_query
 def speed_features(spark, sf_dir):
-    return speed.speed_features(vehicle_events(spark, sf_dir)).drop("grid")
+    return speed.speed_features(vehicle_events(spark, sf_dir))
+
+
+@_query
+def speed_split(spark, sf_dir):
+    """Every event with the part it falls into."""
+    training, test = speed.split(speed.speed_features(vehicle_events(spark, sf_dir)))
+    parts = training.withColumn("part", F.lit("training")).unionByName(test.withColumn("part", F.lit("test")))
+    return parts.select("event_id", "label", "part")
 
 
 @_query
@@ -622,7 +635,7 @@ def speed_model_reloaded(spark, sf_dir):
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = spark.read.schema("text string").parquet(f"{sf_dir}/documents.parquet")
-    return textops.lines(textops.over_all_cores(texts), "text")
+    return textops.lines(texts, "text")
 
 
 def _words(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,6 +11,8 @@ from roadpulse.schemas import TOPIC_RECORD
 
 # Fixed value: name of the topic vehicles send to.
 TOPIC = "iot-data-event"
+# Fixed value: the offset that stands for a partition's earliest record.
+EARLIEST = -2
 
 
 def topic_options(
@@ -18,16 +20,18 @@ def topic_options(
     topic: str = TOPIC,
     saved_offsets: dict[str, dict[int, int]] | None = None,
     max_records: int | None = None,
+    partitions: int | None = None,
 ) -> dict[str, str]:
     """Options of the Kafka source.  The group is named after the topic, a
     first start reads from the earliest record, and ``saved_offsets`` (from
-    ``operators.offsets``) starts from those instead.  Neither matters once the
-    query has a checkpoint."""
+    ``operators.offsets``) starts from those instead, see ``start_of``.  Neither
+    matters once the query has a checkpoint."""
+    start = start_of(saved_offsets or {}, topic, partitions)
     options = {
         "kafka.bootstrap.servers": brokers,
         "kafka.group.id": topic,
         "subscribe": topic,
-        "startingOffsets": starting_offsets_json(saved_offsets) if saved_offsets else "earliest",
+        "startingOffsets": starting_offsets_json(start) if start else "earliest",
         "failOnDataLoss": "true",
     }
     if max_records:
@@ -35,6 +39,21 @@ def topic_options(
     return options
 
 
+def start_of(
+    saved: dict[str, dict[int, int]], topic: str = TOPIC, partitions: int | None = None
+) -> dict[str, dict[int, int]]:
+    """Start of every partition of one topic; empty if none of it is saved.
+
+    The source refuses offsets that leave out a partition of the topic.
+    ``partitions`` is their number; those without a saved offset start from
+    their earliest record.  Without it only saved partitions are named, which
+    holds if each of them has archived records.  Other topics are left out."""
+    own = saved.get(topic)
+    if not own:
+        return {}
+    return {topic: {p: own.get(p, EARLIEST) for p in {*own, *range(partitions or 0)}}}
+
+
 def starting_offsets_json(offsets: dict[str, dict[int, int]]) -> str:
     """``{"topic": {"partition": next offset}}`` as the source expects it."""
     text = {t: {str(p): o for p, o in sorted(parts.items())} for t, parts in sorted(offsets.items())}

@@ -13,13 +13,15 @@ from roadpulse.streaming.state import FirstSighting, RunningTotal
 WATERMARK = "10 minutes"
 # Fixed value: length of the live micro-batches, in seconds.
 BATCH_SECONDS = 5
+# Much longer than a vehicle's sending interval and short beside the watermark.
+SIGHTING_SECONDS = 60
 
 
 def first_sightings_stream(
     events: DataFrame,
     idle_seconds: int = IDLE_SECONDS,
     watermark: str = WATERMARK,
-    every_seconds: int = BATCH_SECONDS,
+    every_seconds: int = SIGHTING_SECONDS,
 ) -> DataFrame:
     """Each vehicle's first event, and its next one after more than
     ``idle_seconds`` of silence.
@@ -27,8 +29,11 @@ def first_sightings_stream(
     Events are reduced per vehicle and bucket inside Spark; the state only sees
     the earliest event and last time of each bucket.  Buckets arrive in event
     time order because they are emitted by the watermark, so the result does not
-    depend on how the input was cut into files or batches.
+    depend on how the input was cut into files or batches.  Buckets may have any
+    length up to the idle time; it delays a sighting by as much.
     """
+    if every_seconds > idle_seconds:
+        raise ValueError("a bucket longer than the idle time hides silences")
     bucket = F.window("ts", f"{every_seconds} seconds")
     reduced = reduce_per_vehicle(events.withWatermark("ts", watermark), bucket)
     columns = [f for f in events.schema.fields]

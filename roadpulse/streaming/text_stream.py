@@ -27,19 +27,21 @@ def run_text_stream(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
-        words = textops.words(batch)
-        counts = textops.count_by_value(words)
-        results = {
-            "lengths": textops.line_lengths(batch),
-            "words": words,
-            "words_not_hello": textops.words_except(words),
-            "longest": textops.longest_word(words),
-            "counts": textops.word_count(words),
-            "sorted": textops.swap(textops.by_count_descending(counts)),
-        }
-        for name, rows in results.items():
-            rows.write.mode("overwrite").parquet(f"{root}/{name}/batch_id={batch_id}")
-        batch.unpersist()
+        try:
+            words = textops.words(batch)
+            counts = textops.count_by_value(words)
+            results = {
+                "lengths": textops.line_lengths(batch),
+                "words": words,
+                "words_not_hello": textops.words_except(words),
+                "longest": textops.longest_word(words),
+                "counts": textops.word_count(words),
+                "sorted": textops.swap(textops.by_count_descending(counts)),
+            }
+            for name, rows in results.items():
+                rows.write.mode("overwrite").parquet(f"{root}/{name}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     writer = lines.writeStream.foreachBatch(write)
     writer = writer.option("checkpointLocation", f"{root}/checkpoints/text")

@@ -190,6 +190,14 @@ def test_topic_options():
     assert resumed["maxOffsetsPerTrigger"] == "10"
 
 
+def test_start_names_every_partition_of_the_topic():
+    saved = {"iot-data-event": {1: 7}, "other": {0: 9}}
+    assert topic.start_of(saved, partitions=3) == {"iot-data-event": {0: -2, 1: 7, 2: -2}}
+    assert topic.start_of(saved) == {"iot-data-event": {1: 7}}
+    assert topic.start_of({"other": {0: 9}}, partitions=3) == {}
+    assert topic.topic_options("k:1", saved_offsets={"other": {0: 9}}, partitions=3)["startingOffsets"] == "earliest"
+
+
 def test_delimited_rows(spark, tmp_path):
     (tmp_path / "good.csv").write_text("2024-01-03,v1,Bus,Route-37,53.5,-7.25,80.0,20.0\n")
     row = delimited.read_delimited(spark, str(tmp_path / "good.csv")).first()
@@ -237,6 +245,28 @@ def test_compaction_keeps_the_view(spark, tmp_path):
     assert viewstore.read_changes(spark, path).count() == 2
 
 
+def test_folding_bounds_the_folders(spark, tmp_path):
+    path, keys = str(tmp_path), VIEW_KEYS["total_traffic"]
+    for batch in range(12):
+        viewstore.upsert_batch(totals(spark, (f"r{batch % 2}", batch, batch)), path, batch)
+        if batch % 3 == 2:
+            viewstore.compact(spark, path, keys)
+    assert current(spark, path) == {"r0": 10, "r1": 11}
+    assert sorted(p.name for p in tmp_path.glob("log/batch_id=*")) == ["batch_id=10", "batch_id=11", "batch_id=9"]
+    assert sorted(p.name for p in tmp_path.glob("base/*")) == ["upto=11", "upto=8"]
+
+
+def test_an_empty_batch_leaves_no_folder(spark, tmp_path):
+    path, keys = str(tmp_path), VIEW_KEYS["total_traffic"]
+    viewstore.upsert_batch(totals(spark), path, 0)
+    assert current(spark, path) == {}
+    assert viewstore.compact(spark, path, keys) is None
+    viewstore.upsert_batch(totals(spark, ("a", 1, 0)), path, 1)
+    viewstore.upsert_batch(totals(spark), path, 2)
+    assert sorted(p.name for p in tmp_path.glob("log/*")) == ["batch_id=0", "batch_id=1"]
+    assert current(spark, path) == {"a": 1}
+
+
 def test_missing_view_raises(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         viewstore.read_view(spark, str(tmp_path / "none"), ["k"])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import random
+import time
 from datetime import timedelta
 from types import SimpleNamespace
 
@@ -275,6 +276,23 @@ def test_whole_job_with_restart(spark, events_of, tmp_path):
     assert {r.view: json.loads(r.payload) for r in published.collect()} == documents
 
 
+def test_snapshots_do_not_wait_for_a_view(spark, tmp_path):
+    """The clock fires before any view has rows."""
+    cfg = pipeline.LiveConfig(str(tmp_path / "job"))
+    out = str(tmp_path / "snapshots")
+    query = start_snapshots(spark, cfg, out, "2024-01-03", every_seconds=1)
+    try:
+        for _ in range(120):
+            if list((tmp_path / "snapshots").glob("batch_id=*/_SUCCESS")):
+                break
+            time.sleep(0.5)
+    finally:
+        query.stop()
+    rows = spark.read.json(out).filter("batch_id = 1 or batch_id = 0").collect()
+    assert {r.view for r in rows} == {"totalTraffic", "windowTraffic", "poiTraffic", "heatMap"}
+    assert {(r.payload, r.pages) for r in rows} == {("[]", 1)}
+
+
 def test_text_stream_results_per_batch(spark, tmp_path):
     source = tmp_path / "in"
     source.mkdir()
