@@ -12,6 +12,12 @@
 4. The first occurrence of a window stays, in the order of doc_id, text hash
    and line; lines covered by a later one are deleted.
 
+With ``long`` given, a line of that many characters or more is a window of its
+own as well, whatever stands beside it, and its own fingerprint: a passage
+planted as one line goes although its neighbours differ, and so does a document
+that is nothing else.  The pipeline takes ``LONG``; ``op4_line_dedup`` is held
+to its SQL, which knows runs of ``RUN`` lines only.
+
 Nothing is paired: a window's occurrences are compared with the first one, so a
 line held by a third of all documents costs its occurrences.  All windows are
 judged on the input.  Lines are what stands between line feeds; an empty line
@@ -29,44 +35,56 @@ from roadpulse.llm.substrings import same_place
 from roadpulse.llm.work import text_hash, texts, whole_rows, written
 
 RUN = 2
+# characters from which a single line is a run
+LONG = 200
 PLACE = ["doc_id", "text_hash"]
 
 
-def windows(docs: DataFrame, run: int) -> DataFrame:
-    """``doc_id, text_hash, low`` (first line), ``mark`` (the selected line's
-    hash), ``shift`` (its place) and ``whole`` (hash of the window's lines)."""
-    hashed = docs.select(*PLACE, F.transform(F.split("text", "\n"), lambda x: F.xxhash64(x)).alias("hashes")).filter(F.size("hashes") >= run)
-    starts = hashed.select(*PLACE, "hashes", F.explode(F.sequence(F.lit(0), F.size("hashes") - run)).alias("low"))
-    cut = starts.select(*PLACE, "low", F.slice("hashes", F.col("low") + 1, run).alias("lines"))
+def windows(docs: DataFrame, run: int, long: int | None = None) -> DataFrame:
+    """``doc_id, text_hash, low`` (first line), ``number`` (of lines), ``mark``
+    (the selected line's hash), ``shift`` (its place) and ``whole`` (hash of the
+    window's lines)."""
+    span = "array<struct<low:int,number:int>>"
+    lines = docs.select(*PLACE, F.split("text", "\n").alias("lines"))
+    runs = F.transform(F.sequence(F.lit(0), F.size("lines") - run), lambda x: F.struct(x.alias("low"), F.lit(run).alias("number")))
+    spans = F.when(F.size("lines") >= run, runs.cast(span)).otherwise(F.array().cast(span))
+    if long is not None:
+        each = F.transform("lines", lambda x, i: F.struct(F.when(F.length(x) >= long, i).alias("low"), F.lit(1).alias("number")))
+        spans = F.concat(spans, F.filter(each, lambda x: x["low"].isNotNull()).cast(span))
+    hashed = lines.select(*PLACE, spans.alias("spans"), F.transform("lines", lambda x: F.xxhash64(x)).alias("hashes"))
+    starts = hashed.select(*PLACE, "hashes", F.inline("spans"))
+    cut = starts.select(*PLACE, "low", "number", F.slice("hashes", F.col("low") + 1, F.col("number")).alias("lines"))
     least = cut.withColumn("mark", F.array_min("lines"))
     return least.select(
-        *PLACE, "low", "mark", F.array_position("lines", F.col("mark")).cast("int").alias("shift"), F.xxhash64("lines").alias("whole")
+        *PLACE, "low", "number", "mark", F.array_position("lines", F.col("mark")).cast("int").alias("shift"), F.xxhash64("lines").alias("whole")
     )
 
 
-def later_windows(docs: DataFrame, run: int) -> DataFrame:
-    """``doc_id, text_hash, low`` of the windows whose lines stand earlier too."""
-    found = written(windows(docs, run), "line_windows")
+def later_windows(docs: DataFrame, run: int, long: int | None = None) -> DataFrame:
+    """``doc_id, text_hash, low, number`` of the windows whose lines stand earlier too."""
+    found = written(windows(docs, run, long), "line_windows")
     prints = found.select(*PLACE, "mark", (F.col("low") + F.col("shift")).alias("line")).distinct()
     shared = prints.groupBy("mark").agg(F.count("*").alias("n")).filter("n > 1").select("mark")
     near = written(found.join(shared, "mark").distinct(), "line_matches")
-    key = ["mark", "shift", "whole"]
+    key = ["mark", "shift", "whole", "number"]
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", "low")
     first = near.groupBy(*key).agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    return near.join(first, key).filter(~place.eqNullSafe(F.col("first"))).select(*PLACE, "low")
+    return near.join(first, key).filter(~place.eqNullSafe(F.col("first"))).select(*PLACE, "low", "number")
 
 
-def cleaned(docs: DataFrame, run: int) -> DataFrame:
+def cleaned(docs: DataFrame, run: int, long: int | None = None) -> DataFrame:
     """``row`` (the columns of ``docs``), ``text`` less its later repeated runs,
     ``n_lines``, ``n_removed`` and ``removed`` (first line, number of lines)."""
-    places = later_windows(texts(docs, text_hash(docs)), run)
-    cut = places.groupBy(*PLACE).agg(F.array_sort(F.collect_set("low")).alias("lows"))
-    # a run begins where the window before doesn't reach, and ends likewise
-    cut = cut.withColumn("heads", F.filter("lows", lambda x, i: (i == 0) | (x - F.get("lows", i - 1) > run)))
+    places = later_windows(texts(docs, text_hash(docs)), run, long)
+    cut = places.groupBy(*PLACE).agg(F.collect_set(F.struct("low", "number")).alias("spans"))
+    covered = F.flatten(F.transform("spans", lambda x: F.sequence(x["low"], x["low"] + x["number"] - 1)))
+    cut = cut.select(*PLACE, F.array_sort(F.array_distinct(covered)).alias("gone"))
+    # a run begins where the line before stays, and ends likewise
+    cut = cut.withColumn("heads", F.filter("gone", lambda x, i: (i == 0) | (x - F.get("gone", i - 1) > 1)))
     cut = cut.withColumn(
         "ends",
-        F.transform(F.filter("lows", lambda x, i: (i == F.size("lows") - 1) | (F.get("lows", i + 1) - x > run)), lambda x: x + run),
-    ).drop("lows")
+        F.transform(F.filter("gone", lambda x, i: (i == F.size("gone") - 1) | (F.get("gone", i + 1) - x > 1)), lambda x: x + 1),
+    ).drop("gone")
     lines = same_place(whole_rows(docs), cut, "left").withColumn("lines", F.split("text", "\n"))
     pieces = F.transform(
         F.sequence(F.lit(0), F.size("heads")),
@@ -88,19 +106,19 @@ def cleaned(docs: DataFrame, run: int) -> DataFrame:
     ).withColumn("n_removed", F.aggregate("removed", F.lit(0), lambda s, r: s + r["number"]).cast("long"))
 
 
-def remove_repeated_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
+def remove_repeated_lines(docs: DataFrame, run: int = RUN, long: int | None = None) -> DataFrame:
     """``docs`` with ``text`` less its later repeated runs, and the columns
     ``n_lines``, ``n_removed`` and ``removed`` in place of any of these names."""
     added = ["n_lines", "n_removed", "removed"]
     kept = [c for c in docs.columns if c not in added]
-    return cleaned(docs, run).select(*[F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in kept], *added)
+    return cleaned(docs, run, long).select(*[F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in kept], *added)
 
 
-def without_repeated_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
-    """The documents with their later repeated runs deleted, ``n_chars``
+def without_repeated_lines(docs: DataFrame, run: int = RUN, long: int | None = LONG) -> DataFrame:
+    """The documents with their later repeated runs and long lines deleted, ``n_chars``
     following the text; documents of which nothing is left go."""
     changed = F.col("n_removed") > 0
-    left = cleaned(docs, run).filter(~changed | (F.trim("text") != ""))
+    left = cleaned(docs, run, long).filter(~changed | (F.trim("text") != ""))
     new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
     return left.select(
         *[F.when(changed, new[c]).otherwise(F.col("row")[c]).alias(c) if c in new else F.col("row")[c].alias(c) for c in docs.columns]
