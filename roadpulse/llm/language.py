@@ -13,6 +13,13 @@ gains more than half a penalty over its best single language needs no search:
 a path of s spans changes language s - 1 times at least, so that language
 throughout is the best path.
 
+Every language fits a text somehow, so ``accepted`` asks for evidence as well:
+letters in scripts that no learned language uses are at most ``FOREIGN`` of the
+text's, and the mean log probability per letter of the others, each under its
+span's language, falls short of the mean of that language's learned texts by at
+most ``SHORTFALL`` (in nats; ``SPREAD`` over the root of the number of letters
+is added, as few letters vary more).  A clean mixed text fits span by span.
+
 Null texts and texts without a letter are ``und`` with score 0; so is every
 text if nothing could be learned.  Rows whose language or id is null are not
 learned from.  Ties go to the language that sorts first.  Repeated rows get a
@@ -34,6 +41,8 @@ SCRIPT_SHARE = 0.01
 PENALTY = 12.0
 SMOOTHING = 0.05
 BARRED = -50.0
+FOREIGN = 0.5
+SHORTFALL, SPREAD = 1.5, 10.0
 # characters looked at together; a text is never cut
 CHUNK = 1 << 18
 # Code point ranges of scripts (first, last).
@@ -142,9 +151,12 @@ def learn(labelled: DataFrame) -> dict:
     grams, scripts = sums[:, :BUCKETS] + SMOOTHING, sums[:, BUCKETS:]
     logs = np.log(grams / grams.sum(axis=1, keepdims=True)).astype(np.float32)
     uses = scripts >= SCRIPT_SHARE * np.maximum(scripts.sum(axis=1, keepdims=True), 1)
+    known = uses.any(axis=0)
     # a script that no language uses narrows nothing
-    uses |= ~uses.any(axis=0)
-    return {"names": names, "logs": logs, "uses": uses.T.copy()}
+    uses |= ~known
+    counts = sums[:, :BUCKETS]
+    typical = (counts * logs).sum(axis=1) / np.maximum(counts.sum(axis=1), 1)
+    return {"names": names, "logs": logs, "uses": uses.T.copy(), "known": known, "typical": typical}
 
 
 def viterbi(scores: np.ndarray, first: np.ndarray, penalty: float) -> np.ndarray:
@@ -199,24 +211,29 @@ def best_paths(scores: np.ndarray, doc: np.ndarray, n_docs: int, penalty: float)
 
 
 def reader(model: dict, penalty: float):
-    """Function from texts to (language, score, spans) of each."""
-    names, logs, uses = model["names"], model["logs"], model["uses"]
+    """Function from texts to (language, score, spans, whether the letters are
+    such as the learned texts have) of each."""
+    names, logs, uses, known, typical = (model[k] for k in ("names", "logs", "uses", "known", "typical"))
     letters = Letters()
 
     def read(texts: list[str]):
         n = len(texts)
-        pred, score, spans = ["und"] * n, np.zeros(n), [[] for _ in range(n)]
+        pred, score, spans, fits = ["und"] * n, np.zeros(n), [[] for _ in range(n)], np.zeros(n, dtype=bool)
         bucket, doc, words, script = letters.of(texts)
         if not len(words) or not names:
-            return pred, score, spans
+            return pred, score, spans, fits
         of = doc[words]
         scores = np.stack([np.add.reduceat(row[bucket], words, dtype=np.float64) for row in logs], axis=1)
         size = np.diff(np.append(words, len(bucket)))
-        scores = np.where(uses[script], scores, scores.min(axis=1, keepdims=True) + BARRED)
-        path = best_paths(scores, of, n, penalty)
+        barred = np.where(uses[script], scores, scores.min(axis=1, keepdims=True) + BARRED)
+        path = best_paths(barred, of, n, penalty)
         share = np.zeros((n, len(names)))
         np.add.at(share, (of, path), size)
         total, top = share.sum(axis=1), share.argmax(axis=1)
+        short = np.where(known[script], typical[path] * size - scores[np.arange(len(of)), path], 0.0)
+        inside = np.bincount(of, weights=size * known[script], minlength=n)
+        most = SHORTFALL * inside + SPREAD * np.sqrt(inside)
+        fits = (total > 0) & (total - inside <= FOREIGN * total) & (np.bincount(of, weights=short, minlength=n) <= most)
         new = np.ones(len(of), dtype=bool)
         new[1:] = (of[1:] != of[:-1]) | (path[1:] != path[:-1])
         head = np.flatnonzero(new)
@@ -227,7 +244,7 @@ def reader(model: dict, penalty: float):
         for d in np.flatnonzero(total).tolist():
             pred[d] = names[top[d]]
             score[d] = share[d, top[d]] / total[d]
-        return pred, score, spans
+        return pred, score, spans, fits
 
     return read
 
@@ -242,7 +259,7 @@ def identify(docs: DataFrame, model: dict, penalty: float = PENALTY) -> DataFram
         def step(batch):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             for low, high in chunks(texts):
-                pred, score, spans = read(texts[low:high])
+                pred, score, spans, _ = read(texts[low:high])
                 yield {"doc_id": batch.column("doc_id").slice(low, high - low), "lang_pred": pred, "score": score, "spans": spans}
 
         return step
@@ -267,7 +284,8 @@ def learned(docs: DataFrame) -> dict:
 
 def accepted(docs: DataFrame, least: float = 0.25, penalty: float = PENALTY) -> DataFrame:
     """The documents whose language is found, as they are; out go those without
-    a letter and those where no language has the share ``least`` of the letters."""
+    a letter, those where no language has the share ``least`` of the letters and
+    those whose letters aren't such as the learned texts have."""
     model = learned(docs)
     small_batches(docs.sparkSession)
 
@@ -277,8 +295,8 @@ def accepted(docs: DataFrame, least: float = 0.25, penalty: float = PENALTY) ->
             texts = [t or "" for t in batch.column("text").to_pylist()]
             keep: list[bool] = []
             for low, high in chunks(texts):
-                pred, score, _ = read(texts[low:high])
-                keep += [p != "und" and s >= least for p, s in zip(pred, score)]
+                pred, score, _, fits = read(texts[low:high])
+                keep += [p != "und" and s >= least and bool(f) for p, s, f in zip(pred, score, fits)]
             yield batch.filter(pa.array(keep, type=pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

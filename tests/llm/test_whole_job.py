@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 from collections import Counter
 
-from roadpulse.llm import lines
+from roadpulse.llm import language, lines
 
 DOCS = "doc_id long, text string, n_chars long"
 
@@ -43,3 +43,24 @@ def test_long_single_lines(spark):
             want[(i, left, len(left or ""))] += 1
     assert not {5, 13} & {i for i, _, _ in want} and sum(long in (t or "") for _, t, _ in want) == 1
     assert Counter(map(tuple, lines.without_repeated_lines(table(spark, rows)).collect())) == want
+
+
+def test_language_rejects(spark):
+    """Gibberish and unlearned scripts go; clean documents stay, mixed evenly or not."""
+    rng = random.Random(8)
+    syllables = {"aa": ["ka", "to", "mi", "ru"], "bb": ["sch", "pf", "tz", "ng"], "cc": ["ou", "ée", "ai", "vr"], "dd": ["ñe", "ll", "os", "ja"]}
+
+    def text(lang, words):
+        return " ".join("".join(rng.choices(syllables[lang], k=3)) for _ in range(words))
+
+    def noise(letters, words):
+        return " ".join("".join(rng.choices(letters, k=7)) for _ in range(words))
+
+    rows = [(i, text(list(syllables)[i % 4], 60), list(syllables)[i % 4]) for i in range(400)]
+    even = " ".join(text(k, 25) for k in syllables)
+    greek, latin = noise("αβγδεζηθικλμνξοπρ", 40), "abcdefghijklmnopqrstuvwxyz"
+    keep = [(500, even, None), (501, text("aa", 3), None), (502, f"{text('bb', 40)} {noise('αβγδ', 10)}", None), (503, text("cc", 30) + " 12 !?", None)]
+    gone = [(600, noise(latin, 60), None), (601, greek, None), (602, f"{greek} {text('aa', 5)}", None), (603, "漢字仮名交じり文" * 9, None), (604, noise(latin, 8), None)]
+    docs = spark.createDataFrame([*rows, *keep, *gone, (None, noise(latin, 60), None), (605, "12 !?", None)], "doc_id long, text string, lang string")
+    got = Counter(r["doc_id"] for r in language.accepted(docs).collect())
+    assert got == Counter([i for i, _, _ in rows + keep])
