@@ -233,7 +233,7 @@ def links_in_groups(members: DataFrame, sets: DataFrame, percent: int, cut: floa
 
 def components_of(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """One row per document: ``doc_id, text_hash, n_shingles, node`` (its class),
-    ``component_id`` (least doc_id of all linked with it, over any number of
+    ``component`` (a class of it, null without shingles), ``component_id`` (least doc_id of all linked with it, over any number of
     links) and ``kept`` (it is that document)."""
     docs = texts(docs, text_hash(docs))
     cut = percent / 100 - SLACK
@@ -268,10 +268,11 @@ def components_of(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) ->
         found = components(links.unionByName(more))
     named = classes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = named.join(names, "component").select("node", "component_id")
+    named = named.join(names, "component").select("node", "component", "component_id")
     out = signed.select("doc_id", "text_hash", "n_shingles", "node").join(named, "node", "left")
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "text_hash", "n_shingles", "node", own.alias("component_id")).withColumn(
+    linked = F.when(F.col("n_shingles") > 0, F.col("component")).alias("component")
+    return out.select("doc_id", "text_hash", "n_shingles", "node", linked, own.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
     )
 
@@ -303,16 +304,20 @@ def full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """The documents less all but one (the least id) of each component; of rows
-    equal in id and text one stays.  Columns stay as they are."""
-    judged = components_of(docs, size, percent).select(
-        F.col("doc_id").alias("their_id_"), F.col("text_hash").alias("their_hash_"), "kept"
-    )
-    judged = written(judged.groupBy("their_id_", "their_hash_", "kept").agg(F.count("*").alias("n")), "judged")
+    """The documents less all but one (the least id, then text hash; null ids
+    last) of each component; of rows equal in id and text one stays.  Columns
+    stay as they are."""
+    theirs = ["their_id_", "their_hash_"]
+    judged = components_of(docs, size, percent).select(F.col("doc_id").alias(theirs[0]), F.col("text_hash").alias(theirs[1]), "component")
+    judged = written(judged.groupBy(*theirs, "component").agg(F.count("*").alias("n")), "judged")
+    first = F.min(F.struct(F.col("their_id_").isNull().alias("last"), *theirs, "n")).alias("first")
+    one = judged.filter("component is not null").groupBy("component").agg(first).select("first.*")
+    # id and text hash tell a component's documents apart, and its own from others
+    stay = written(one.select(*theirs, "n").unionByName(judged.filter("component is null").select(*theirs, "n")), "survivors")
     rows = whole_rows(docs).select("doc_id", "text_hash", "row")
     same = F.col("doc_id").eqNullSafe(F.col("their_id_")) & F.col("text_hash").eqNullSafe(F.col("their_hash_"))
-    out = rows.join(judged.filter("not kept").select("their_id_", "their_hash_"), same, "left_anti")
-    if not judged.filter("kept and n > 1").isEmpty():
+    out = rows.join(stay.select(*theirs), same, "left_semi")
+    if not stay.filter("n > 1").isEmpty():
         place = Window.partitionBy("doc_id", "text_hash").orderBy("order")
         # the limit of one is applied before the shuffle as well
         out = out.withColumn("order", F.xxhash64("row")).withColumn("number", F.row_number().over(place)).filter("number = 1")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 from collections import Counter
 
-from roadpulse.llm import language, lines
+from roadpulse.llm import language, lines, neardup
 
 DOCS = "doc_id long, text string, n_chars long"
 
@@ -64,3 +64,17 @@ def test_language_rejects(spark):
     docs = spark.createDataFrame([*rows, *keep, *gone, (None, noise(latin, 60), None), (605, "12 !?", None)], "doc_id long, text string, lang string")
     got = Counter(r["doc_id"] for r in language.accepted(docs).collect())
     assert got == Counter([i for i, _, _ in rows + keep])
+
+
+def test_one_of_each_component(spark):
+    """Near copies that share the least id, or have no id at all, go but one."""
+    def copies(seed, number):
+        base = prose(seed, 60).split()
+        return [" ".join([*base[:-1], f"end{k}"]) for k in range(number)]
+
+    shared, nameless, named = copies(1, 3), copies(2, 3), copies(3, 2)
+    rows = [*((4, t) for t in shared), (5, shared[0]), *((None, t) for t in nameless), (None, named[0]), (9, named[1])]
+    rows += [(10, None), (10, None), (11, ""), (None, None), (12, prose(4, 60))]
+    kept = [(r["doc_id"], r["text"]) for r in neardup.near_duplicates(table(spark, rows), size=2).collect()]
+    assert sum((4, t) in kept for t in shared) == 1 and sum((None, t) in kept for t in nameless) == 1
+    assert Counter(i for i, _ in kept) == Counter([4, None, 9, 10, 11, None, 12])
