@@ -38,8 +38,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in sequences of at most 4096 tokens."""
-    return pack(docs, with_ids=False)
+    """Pieces of the documents in sequences of at most 4096 tokens, with their ids."""
+    return pack(docs)
 
 
 STAGES = [

@@ -271,4 +271,4 @@ def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, wi
 
 
 def op5_packing(spark, sf_dir: str) -> DataFrame:
-    return pack(spark.read.parquet(f"{sf_dir}/documents.parquet"), with_ids=False)
+    return pack(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("ids")

@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 import random
+import zlib
 from collections import Counter
 
-from roadpulse.llm import language, lines, neardup
+import numpy as np
+
+import corpus_pipeline
+from conftest import SMALL
+from roadpulse.llm import language, lines, neardup, packing
 
 DOCS = "doc_id long, text string, n_chars long"
 
@@ -78,3 +83,16 @@ def test_one_of_each_component(spark):
     kept = [(r["doc_id"], r["text"]) for r in neardup.near_duplicates(table(spark, rows), size=2).collect()]
     assert sum((4, t) in kept for t in shared) == 1 and sum((None, t) in kept for t in nameless) == 1
     assert Counter(i for i, _ in kept) == Counter([4, None, 9, 10, 11, None, 12])
+
+
+def test_pipeline_returns_tokens(spark):
+    """The last stage's rows hold the sequences; op5's are digests of the same rows."""
+    from tokenizers import Tokenizer
+
+    docs = table(spark, [(1, prose(5, 300)), (2, None), (3, prose(6, 20))])
+    out = corpus_pipeline.packing(spark, docs, SMALL).collect()
+    assert out and all(zlib.crc32(np.array(r["ids"], dtype="<u4").tobytes()) == r["ids_crc32"] for r in out)
+    assert sum(len(r["ids"]) for r in out) == sum({r["doc_id"]: r["doc_tokens"] for r in out}.values())
+    model = Tokenizer.from_file(packing.default_tokenizer())
+    ids = [i for r in sorted(out, key=lambda r: r["start"]) if r["doc_id"] == 1 for i in r["ids"]]
+    assert ids == [*model.encode(prose(5, 300), add_special_tokens=False).ids, packing.CLOSE]
