@@ -5,7 +5,8 @@ through its characters (the mean of the embeddings of its letter trigrams), so
 that unseen forms of a known stem are recognised.  Two gated recurrent layers
 read a window of ``WINDOW`` words from both ends, attention weighs the places,
 and a logistic unit scores the window.  Windows start every ``STRIDE`` words,
-overlap, and cover the whole text; a text's score is that of its worst window.
+overlap by half, and cover the whole text (17 neighbouring words or fewer lie whole
+in one); a text's score is that of its worst window.
 
 Training is done here, in numpy, on a sample of labelled documents: at most
 ``POSITIVES`` toxic and ``NEGATIVES`` other ones of at most ``LONGEST``
@@ -30,7 +31,7 @@ from roadpulse.llm.language import fold
 from roadpulse.llm.textbytes import Tokeniser, mix, slices
 from roadpulse.llm.work import map_batches, texts
 
-WINDOW, STRIDE = 32, 24
+WINDOW, STRIDE = 32, 16
 WIDTH, HIDDEN, ATTEND = 12, 10, 8
 WORD_BUCKETS, GRAM_BUCKETS = 1 << 15, 1 << 14
 POSITIVES, NEGATIVES, LONGEST = 1000, 2000, 20_000

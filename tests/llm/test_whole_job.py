@@ -10,7 +10,7 @@ import numpy as np
 
 import corpus_pipeline
 from conftest import SMALL
-from roadpulse.llm import language, lines, neardup, packing
+from roadpulse.llm import language, lines, neardup, packing, toxicity
 
 DOCS = "doc_id long, text string, n_chars long"
 
@@ -96,3 +96,12 @@ def test_pipeline_returns_tokens(spark):
     model = Tokenizer.from_file(packing.default_tokenizer())
     ids = [i for r in sorted(out, key=lambda r: r["start"]) if r["doc_id"] == 1 for i in r["ids"]]
     assert ids == [*model.encode(prose(5, 300), add_special_tokens=False).ids, packing.CLOSE]
+
+
+def test_a_passage_lies_whole_in_a_window():
+    """17 words at every offset of texts of several lengths."""
+    for n in (17, 31, 32, 33, 48, 49, 100, 161):
+        place, _ = toxicity.windows_of(np.array([0, n]))
+        held = [{*row[row >= 0].tolist()} for row in place]
+        assert all(any({*range(p, p + 17)} <= h for h in held) for p in range(n - 16))
+        assert len(set().union(*held)) == n
