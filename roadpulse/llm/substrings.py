@@ -1,4 +1,7 @@
-"""Repeated word runs by relative Lempel-Ziv factors.
+"""Repeated word runs by winnowing and exact counts of windows.
+
+This stands in for a relative Lempel-Ziv parse: blocks end at anchors, not where
+a longest match ends, and a "factor" is a group of equal blocks.
 
 A run of ``window`` words that starts anywhere else as well is removed, at all
 its places.  The reference is the whole table, indexed in blocks:
