@@ -1,8 +1,9 @@
 """Words of many texts at once, found and hashed on their UTF-8 bytes.
 
 An Arrow string column is one byte buffer with offsets.  Separators are single
-ASCII bytes, so words are found with a table look-up per byte, and a word's
-64-bit hash comes from prefix sums of a polynomial.  Texts are taken whole, in
+ASCII bytes, so words are found with a table look-up per byte.  A word's 64-bit
+hash is the sum over its bytes of a number mixed from byte and position, so no
+arrangement of two letters makes words agree by construction.  Texts are whole, in
 slices of about ``SLICE`` bytes (a longer text is a slice of its own), which
 bounds the memory of a task by the longest single text.
 """
@@ -94,7 +95,6 @@ class Tokeniser:
     def __init__(self, kind: str, lower: bool):
         self.separators = separator_table(kind)
         self.codes = byte_codes(lower)
-        self.powers = Powers()
 
     def words(self, data: np.ndarray, offsets: np.ndarray) -> Words:
         """``offsets``: where each text starts in ``data``, and the end of the last."""
@@ -109,11 +109,13 @@ class Tokeniser:
         after[:-1], after[-1:] = inside[1:], False
         after[edges[edges > 0] - 1] = False
         ends = np.flatnonzero(inside & ~after) + 1
-        up, down = self.powers.upto(n)
-        sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(self.codes[data] * up[:n], out=sums[1:])
-        hashes = (sums[ends] - sums[starts]) * down[starts]
-        hashes = mix(hashes + (ends - starts).astype(np.uint64) * np.uint64(BASE2))
+        size = ends - starts
+        head = np.cumsum(size) - size
+        hashes = size.astype(np.uint64) * np.uint64(BASE2)
+        if len(starts):
+            place = np.arange(head[-1] + size[-1]) - np.repeat(head, size)
+            parts = mix(self.codes[data[inside]] + place.astype(np.uint64) * np.uint64(BASE))
+            hashes = mix(hashes + np.add.reduceat(parts, head))
         return Words(data, starts, ends, hashes, np.searchsorted(starts, offsets))
 
 
