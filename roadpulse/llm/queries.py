@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from roadpulse.llm.audit import OP13_SQL, op13_filter_audit
 from roadpulse.llm.language import op10_language_id
 from roadpulse.llm.leaks import OP3_SQL, op3_decontamination
 from roadpulse.llm.licenses import op8_license_scan
@@ -9,6 +10,7 @@ from roadpulse.llm.lines import OP4_SQL, op4_line_dedup
 from roadpulse.llm.neardup import op1_near_dedup
 from roadpulse.llm.neighbours import OP9_SQL, op9_nearest
 from roadpulse.llm.packing import op5_packing
+from roadpulse.llm.resample import OP12_SQL, op12_resample
 from roadpulse.llm.substrings import op6_substring_dedup
 from roadpulse.llm.toxicity import op7_toxicity
 from roadpulse.llm.urls import OP2_SQL, op2_url_filter
@@ -26,6 +28,8 @@ QUERIES = {
         op8_license_scan,
         op9_nearest,
         op10_language_id,
+        op12_resample,
+        op13_filter_audit,
     )
 }
 ORACLE = {
@@ -33,4 +37,6 @@ ORACLE = {
     "op3_decontamination": OP3_SQL,
     "op4_line_dedup": OP4_SQL,
     "op9_nearest": OP9_SQL,
+    "op12_resample": OP12_SQL,
+    "op13_filter_audit": OP13_SQL,
 }
