@@ -7,6 +7,7 @@ from roadpulse.llm.language import op10_language_id
 from roadpulse.llm.leaks import OP3_SQL, op3_decontamination
 from roadpulse.llm.licenses import op8_license_scan
 from roadpulse.llm.lines import OP4_SQL, op4_line_dedup
+from roadpulse.llm.lm import op11_lm_score
 from roadpulse.llm.neardup import op1_near_dedup
 from roadpulse.llm.neighbours import OP9_SQL, op9_nearest
 from roadpulse.llm.packing import op5_packing
@@ -28,6 +29,7 @@ QUERIES = {
         op8_license_scan,
         op9_nearest,
         op10_language_id,
+        op11_lm_score,
         op12_resample,
         op13_filter_audit,
     )

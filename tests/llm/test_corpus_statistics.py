@@ -11,9 +11,10 @@ from collections import Counter
 from itertools import permutations
 
 import pytest
+from pyspark.sql import functions as F
 
-from roadpulse.llm import audit, resample
-from test_llm_operators import SCHEMA, corpus, plain, spaced
+from roadpulse.llm import audit, lm, resample
+from test_llm_operators import SCHEMA, UPPER, corpus, plain, spaced
 
 
 @pytest.fixture(scope="module")
@@ -104,3 +105,52 @@ def test_filter_audit(spark, docs, nothing):
     assert got == want
     assert audit.audit(nothing, labels).count() == 0
     assert audit.audit(docs, labels.filter("false")).filter("good_lost + toxic_lost > 0").count() == 0
+
+
+def model_scores(rows, order, pull):
+    """(tokens, known, N, base, score) of each (text, learned) by the definition."""
+    reads = [["<s>", *[w.translate(UPPER) for w in spaced(t)], "</s>"] for t, _ in rows]
+    counts = Counter()
+    for tokens, (_, learned) in zip(reads, rows):
+        for m in range(1, order + 1):
+            counts.update(tuple(tokens[i : i + m]) for i in range(len(tokens) - m + 1) if learned)
+    train = {w: c for w, c in counts.items() if len(w) == 1 and w != ("<s>",)}
+    size, kinds = sum(train.values()), len(train)
+
+    def chance(history, w):
+        if not history:
+            return (train.get((w,), 0) + 1) / (size + kinds + 1)
+        shorter = chance(history[1:], w)
+        if not counts[history]:
+            return shorter
+        return (counts[(*history, w)] + pull * shorter) / (counts[history] + pull)
+
+    for tokens in reads:
+        base = sum(math.log10(chance((), w)) for w in tokens[1:])
+        full = sum(math.log10(chance(tuple(tokens[max(0, i - order + 1) : i]), tokens[i])) for i in range(1, len(tokens)))
+        yield len(tokens) - 1, sum((w,) in train for w in tokens[1:]), size, base, full
+
+
+@pytest.mark.parametrize("order, block, bucket", [(1, 1 << 20, 1 << 20), (2, 2000, 100), (3, 5000, 1000)])
+def test_language_model(spark, docs, nothing, order, block, bucket):
+    learned = F.coalesce(F.col("doc_id") % 3 != 1, F.lit(False))
+    rows = [(r["doc_id"], r["text"], r["doc_id"] is not None and r["doc_id"] % 3 != 1) for r in docs.collect()]
+    table = docs.select("doc_id", "text", learned.alias("learned")).repartition(3)
+    got = lm.score(table, order, 1.5, block, bucket).collect()
+    want = [(i, *s) for (i, _, _), s in zip(rows, model_scores([r[1:] for r in rows], order, 1.5))]
+    key = lambda r: (r[0] is None, r[0] or 0, r[1], r[4])
+    for g, w in zip(sorted(map(tuple, got), key=key), sorted(want, key=key), strict=True):
+        assert g[:4] == w[:4] and g[4:] == pytest.approx(w[4:], rel=1e-9, abs=1e-9)
+    assert lm.score(nothing.select("doc_id", "text", learned.alias("learned"))).count() == 0
+
+
+def test_language_model_learns_nothing(spark, docs):
+    table = docs.select("doc_id", "text", F.lit(False).alias("learned"))
+    assert {tuple(r) for r in lm.score(table).select("n_known", "train_tokens", "base_score", "score").collect()} == {(0, 0, 0.0, 0.0)}
+
+
+def test_language_model_beats_its_base(spark):
+    from conftest import SMALL
+
+    held = lm.op11_lm_score(spark, SMALL).filter("held_out").agg(F.sum("base_score"), F.sum("score")).first()
+    assert held[1] > held[0]
