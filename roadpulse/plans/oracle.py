@@ -41,6 +41,17 @@ SIGHTINGS = f"""
 )"""
 
 
+# Events that come last count as late if their minute ended ten minutes or more
+# before the latest of the others.
+_LATE = f"""(select * from ve where event_id % 10 = 3 and time_bucket(interval 60 second, ts) + interval 60 second
+  <= (select max(ts) from ve where event_id % 10 <> 3) - interval 600 second)"""
+_ON_TIME = f"""
+{VE}, kept as (select * from ve where event_id not in (select event_id from {_LATE})
+), gaps as (
+  select *, lag(ts) over (partition by vehicle_id order by ts, event_id) as previous from kept
+) select {EVENT_COLUMNS} from gaps where previous is null or ts > previous + interval 3600 second"""
+
+
 def _distance(lat: str, lon: str) -> str:
     """Kilometres from an event to a point."""
     a = (
@@ -274,7 +285,15 @@ def oracle() -> dict[str, str]:
         "stream_total_traffic": f"{SIGHTINGS}{_running('sightings')} {_RUNNING_COLUMNS}",
         "stream_window_traffic": f"{SIGHTINGS} {_traffic_windows('sightings')}",
         "stream_heatmap": f"{SIGHTINGS} {_heat_windows('sightings', CELL)}",
+        "live_total_traffic": f"""{SIGHTINGS}{_running("sightings")}
+            select route_id, vehicle_type, total_count, bucket as time_stamp, {DATE.format("bucket")} as record_date
+            from totals qualify row_number() over (
+              partition by route_id, vehicle_type, {DATE.format("bucket")} order by bucket desc) = 1""",
+        "stream_late_rows": f"{VE} select {EVENT_COLUMNS} from {_LATE}",
+        "stream_sightings_on_time": _ON_TIME,
         "stream_poi": f"{VE} {_latest_near()}",
+        "stream_poi_after_ttl": f"""{VE}, near as ({_latest_near()}) select * from near
+            where time_stamp > (select max(time_stamp) from near) - interval 60 second""",
         "stream_archive": _ARCHIVE,
         "stream_ledger": f"""{VE} select {_PLACE}, min({_OFFSET}) as from_offset,
             max({_OFFSET}) + 1 as until_offset from ve group by all""",

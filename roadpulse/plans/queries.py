@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
@@ -25,7 +26,7 @@ from roadpulse.operators import (
 from roadpulse.operators.windows import newest_window
 from roadpulse.plans import stream_runs
 from roadpulse.plans.jobs import BatchConfig, run_batch
-from roadpulse.schemas import VIEW_KEYS
+from roadpulse.schemas import VEHICLE_EVENT, VIEW_KEYS
 from roadpulse.session import prepare, workspace
 from roadpulse.sources import archive, codec, delimited, topic, viewstore
 from roadpulse.sources.testdata import vehicle_events
@@ -34,7 +35,7 @@ from roadpulse.streaming import pipeline
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Processing time and slices the queries use, so that results can be checked.
-AS_OF = "2024-02-01 00:00:00"
+AS_OF = stream_runs.AS_OF
 INTERVAL = ("2024-01-10 00:00:00", "2024-01-20 00:00:00")
 DAY = "2024-01-15"
 VIEW_TIME = "2024-01-15 12:00:00"
@@ -422,10 +423,8 @@ def view_latest_ranked(spark, sf_dir):
 
 @_query
 def view_compacted(spark, sf_dir):
-    path = workspace(spark, "view")
-    _total_changes(spark, sf_dir).write.partitionBy("batch_id").parquet(f"{path}/log")
-    viewstore.compact(spark, path, VIEW_KEYS["total_traffic"])
-    return viewstore.read_view(spark, path, VIEW_KEYS["total_traffic"])
+    """The current rows of a view's change log as a table of their own."""
+    return _stored(spark, _total_view(spark, sf_dir), workspace(spark, "view-rows"))
 
 
 @_query
@@ -531,27 +530,73 @@ def stream_total_traffic(spark, sf_dir):
     return stream_runs.total_traffic(spark, sf_dir)
 
 
+def _live(spark: SparkSession, sf_dir: str, view: str, **how) -> DataFrame:
+    """A view of the live job after all its rounds, without the heartbeats."""
+    rows = pipeline.live_view(spark, stream_runs.live_job(spark, sf_dir), view, **how)
+    return rows.filter(F.col("route_id") != stream_runs.HEARTBEAT) if "route_id" in rows.columns else rows
+
+
+@_query
+def live_total_traffic(spark, sf_dir):
+    """Running totals as the job stores them: the last bucket per key and day."""
+    return _live(spark, sf_dir, "total_traffic")
+
+
 @_query
 def stream_window_traffic(spark, sf_dir):
-    return stream_runs.window_traffic(spark, sf_dir, AS_OF)
+    return _live(spark, sf_dir, "window_traffic", newest_only=False)
 
 
 @_query
 def stream_heatmap(spark, sf_dir):
-    return stream_runs.heat_map(spark, sf_dir, AS_OF)
+    rows = _live(spark, sf_dir, "heat_map", newest_only=False)
+    return rows.filter(F.col("latitude") != 0)
+
+
+def _late_job(spark: SparkSession, sf_dir: str) -> pipeline.LiveConfig:
+    return stream_runs.live_job(spark, sf_dir, stream_runs.DELAYED)
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Rows of the job with the event id their place in the topic stands for."""
+    event_id = F.col("offset") * 4 + F.col("kafka_partition")
+    known = rows.filter(F.col("route_id") != stream_runs.HEARTBEAT)
+    return known.select(event_id.alias("event_id"), *[f.name for f in VEHICLE_EVENT.fields])
+
+
+@_query
+def stream_late_rows(spark, sf_dir):
+    """Events that reach the job after their bucket was closed."""
+    return _numbered(pipeline.late_rows(spark, _late_job(spark, sf_dir)))
+
+
+@_query
+def stream_sightings_on_time(spark, sf_dir):
+    """First sightings among the events of the same run that were not late."""
+    return _numbered(spark.read.parquet(_late_job(spark, sf_dir).table("sightings")))
 
 
 @_query
 def stream_poi(spark, sf_dir):
-    return stream_runs.poi_traffic(spark, sf_dir).withColumn(
-        "distance_km", F.round("distance_km", 6)
-    )
+    """Every vehicle's last time near the point, before its row expires."""
+    rows = _live(spark, sf_dir, "poi_traffic", as_of="1970-01-01")
+    return rows.withColumn("distance_km", F.round("distance_km", 6))
+
+
+@_query
+def stream_poi_after_ttl(spark, sf_dir):
+    """The view a minute after its last event: what came in the minute before
+    that still shows, everything older has vanished after its 120 seconds."""
+    cfg = stream_runs.live_job(spark, sf_dir)
+    last = pipeline.live_view(spark, cfg, "poi_traffic", "1970-01-01").agg(F.max("time_stamp")).first()[0]
+    rows = pipeline.live_view(spark, cfg, "poi_traffic", last + timedelta(seconds=60))
+    return rows.withColumn("distance_km", F.round("distance_km", 6))
 
 
 @_query
 def stream_archive(spark, sf_dir):
-    cfg = stream_runs.archive(spark, sf_dir)
-    rows = codec.good(archive.read_archive(spark, cfg.table("archive")))
+    cfg = stream_runs.live_job(spark, sf_dir)
+    rows = codec.good(archive.read_archive(spark, cfg.table("archive"))).filter(F.col("route_id") != stream_runs.HEARTBEAT)
     return rows.select(
         "vehicle_id", "vehicle_type", "route_id", "latitude", "longitude", "ts", "speed",
         "fuel_level", "topic", "kafka_partition", "event_date", "day_of_week",
@@ -560,7 +605,7 @@ def stream_archive(spark, sf_dir):
 
 @_query
 def stream_ledger(spark, sf_dir):
-    return pipeline.live_view(spark, stream_runs.archive(spark, sf_dir), "ledger")
+    return _live(spark, sf_dir, "ledger").filter(F.col("kafka_partition") != stream_runs.BEAT_PARTITION)
 
 
 @_query

@@ -1,9 +1,8 @@
 """Keyed views as Parquet: an idempotent change log, read as latest row per key.
 
 A micro-batch writes its rows under ``log/batch_id=N`` and overwrites that
-folder when it is replayed.  ``compact`` folds the log into ``base/upto=N``,
-notes N in ``commits`` and removes what the base before replaced; readers start
-from the newest base noted there and skip the older part of the log.
+folder when it is replayed.  A view recomputed as a whole is a plain table, see
+``write_view``.
 """
 
 from __future__ import annotations
@@ -43,27 +42,17 @@ def read_if_exists(spark: SparkSession, path: str, schema=None) -> DataFrame | N
         raise
 
 
-def _folder(spark: SparkSession, path: str):
-    """File system and path of a folder, on whatever storage it is."""
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    files, place = _folder(spark, path)
-    files.delete(place, True)
-
-
 def upsert_batch(rows: DataFrame, path: str, batch_id: int) -> None:
     """Record the rows of one micro-batch.  Usable from ``foreachBatch``.
 
     A batch without rows leaves no folder, apart from the first one, which gives
-    the view its columns.  That is looked up in what was written, as the batch
-    itself would be computed twice."""
-    folder = f"{path}/log/batch_id={batch_id}"
-    rows.write.mode("overwrite").parquet(folder)
-    if batch_id and rows.sparkSession.read.schema(rows.schema).parquet(folder).isEmpty():
-        _remove(rows.sparkSession, folder)
+    the view its columns.  The rows are kept for the two looks at them."""
+    kept = rows.persist()
+    try:
+        if batch_id == 0 or not kept.isEmpty():
+            kept.write.mode("overwrite").parquet(f"{path}/log/batch_id={batch_id}")
+    finally:
+        kept.unpersist()
 
 
 def latest_per_key(changes: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -82,25 +71,11 @@ def latest_per_key_ranked(changes: DataFrame, keys: list[str], order: list[str])
 
 
 def read_changes(spark: SparkSession, path: str) -> DataFrame:
-    """Newest finished base plus the log written after it, with ``batch_id``."""
-    upto = _finished(spark, path)
-    if upto is None:
-        log = read_if_exists(spark, f"{path}/log")
-        if log is None:
-            raise FileNotFoundError(f"no view at {path}")
-        return log
-    rows = spark.read.parquet(f"{path}/base/upto={upto}").withColumn("batch_id", F.lit(upto).cast("int"))
-    log = read_if_exists(spark, f"{path}/log", rows.schema)
+    """All rows ever written to the view, with ``batch_id``."""
+    log = read_if_exists(spark, f"{path}/log")
     if log is None:
-        return rows
-    return rows.unionByName(log.filter(F.col("batch_id") > upto))
-
-
-def _finished(spark: SparkSession, path: str) -> int | None:
-    """Batch number of the newest base whose writing has ended, if any."""
-    commits = read_if_exists(spark, f"{path}/commits", "upto int")
-    # one value
-    return None if commits is None else commits.agg(F.max("upto")).first()[0]
+        raise FileNotFoundError(f"no view at {path}")
+    return log
 
 
 def read_view(spark: SparkSession, path: str, keys: list[str], time_column: str = "time_stamp") -> DataFrame:
@@ -109,42 +84,6 @@ def read_view(spark: SparkSession, path: str, keys: list[str], time_column: str
     return latest_per_key(changes, keys, ["batch_id", time_column]).drop("batch_id")
 
 
-def compact(spark: SparkSession, path: str, keys: list[str], time_column: str = "time_stamp") -> int | None:
-    """Fold everything written so far into a new base; returns its batch number,
-    None for a view without rows.  Batches written meanwhile stay in the log.  A
-    base counts once its commit is written, so an interrupted run changes nothing,
-    and a finished base is never written again.
-
-    What the base before made superfluous is removed: its own log and all older
-    bases.  That base itself stays with the log after it, for readers that began
-    before this commit."""
-    before = _finished(spark, path)
-    changes = read_changes(spark, path)
-    upto = changes.agg(F.max("batch_id")).first()[0]
-    if upto == before:
-        return upto
-    seen = changes.filter(F.col("batch_id") <= upto)
-    rows = latest_per_key(seen, keys, ["batch_id", time_column]).drop("batch_id")
-    rows.write.mode("overwrite").parquet(f"{path}/base/upto={upto}")
-    spark.range(1).select(F.lit(upto).cast("int").alias("upto")).write.mode("append").parquet(f"{path}/commits")
-    if before is not None:
-        _remove_numbered(spark, f"{path}/log", before + 1)
-        _remove_numbered(spark, f"{path}/base", before)
-    return upto
-
-
-def _remove_numbered(spark: SparkSession, path: str, below: int) -> None:
-    """Remove the folders ``name=N`` with N less than ``below``.  Their number is
-    bounded by the batches between two folds."""
-    files, place = _folder(spark, path)
-    if not files.exists(place):
-        return
-    for status in files.listStatus(place):
-        number = status.getPath().getName().partition("=")[2]
-        if number.isdigit() and int(number) < below:
-            files.delete(status.getPath(), True)
-
-
 def with_expiry(rows: DataFrame, ttl_seconds: int = POI_TTL_SECONDS, time_column: str = "time_stamp") -> DataFrame:
     return rows.withColumn(
         "expires_at", F.col(time_column) + F.make_dt_interval(secs=F.lit(ttl_seconds))

@@ -194,6 +194,27 @@ def test_late_rows_are_dropped_and_counted(spark, events_of, tmp_path):
     assert dropped == 1
 
 
+def test_late_rows_are_set_aside(spark, events_of, tmp_path):
+    """Rows that come after their minute was closed, over several runs: late ones
+    in a table of their own, the others counted as if there were no late ones."""
+    path, root = str(tmp_path / "topic"), str(tmp_path / "job")
+    cfg = pipeline.LiveConfig(root, available_now=True, stages=["archive", "gate", "sightings"])
+    first = [(1, "a", 0), (2, "b", 5 * HOUR), (3, "c", 5 * HOUR + 30)]
+    # the watermark stands at 5 h - 9 min 30 s: 4 and 7 are late, 5 shares its minute with it
+    later = [(4, "a", 2 * HOUR), (5, "d", 5 * HOUR - 570), (6, "a", 5 * HOUR - 500), (7, "e", 5 * HOUR - 631)]
+    last = [(8, "b", 8 * HOUR), (9, "a", 60), (10, "beat", 40 * HOUR)]
+    for batch in (first, later, last, [(11, "beat", 80 * HOUR)]):
+        records = topic.as_topic_records(codec.encode(events_of(batch)), F.lit(0), F.col("event_id"))
+        records.write.mode("append").parquet(path)
+        pipeline.run_stream(spark, topic.topic_file_stream(spark, path), cfg)
+    late = pipeline.late_rows(spark, cfg)
+    assert late.columns == pipeline.SIGHTING_COLUMNS
+    assert sorted(r.offset for r in late.collect()) == [4, 7, 9]
+    seen = spark.read.parquet(cfg.table("sightings")).filter("vehicle_id != 'beat'")
+    assert sorted((r.vehicle_id, r.offset) for r in seen.collect()) == [("a", 1), ("a", 6), ("b", 2), ("b", 8), ("c", 3), ("d", 5)]
+    assert codec.good(archive.read_archive(spark, cfg.table("archive"))).count() == 11
+
+
 def test_whole_job_with_restart(spark, events_of, tmp_path):
     rows = fleet(120)
     beats = [(900, "beat", 40 * HOUR), (901, "beat", 80 * HOUR)]
