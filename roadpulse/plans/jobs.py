@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from roadpulse.operators import heatmap, poi, serving, speed, traffic
 from roadpulse.operators.windows import newest_window
-from roadpulse.schemas import TRAFFIC_VIEW, VIEW_KEYS
+from roadpulse.schemas import TRAFFIC_VIEW
 from roadpulse.session import prepare
 from roadpulse.sources.archive import read_archive
 from roadpulse.sources.codec import good
-from roadpulse.sources.viewstore import write_view
+from roadpulse.sources.viewstore import read_changes, read_if_exists, write_view
 from roadpulse.streaming.pipeline import LiveConfig, live_view
 
 # Fixed value: seconds between two snapshots.
@@ -92,18 +92,15 @@ def start_snapshots(
     spark: SparkSession,
     cfg: LiveConfig,
     path: str,
-    day: str | None = None,
     as_of: str | None = None,
     every_seconds: int = SNAPSHOT_SECONDS,
 ) -> StreamingQuery:
-    """Write a new snapshot every 15 seconds, whichever view has changed, also
-    before the first row of any.  ``day`` defaults to the current one.  With
-    ``available_now`` there is no clock: a snapshot is written if the totals have
-    changed since the last run."""
+    """Publish what has changed every 15 seconds.  With ``available_now`` there is
+    no clock: a snapshot is published if the totals have changed since the last
+    run."""
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        shown = day or date.today().isoformat()
-        live_snapshot(spark, cfg, shown, as_of).write.mode("overwrite").json(f"{path}/batch_id={batch_id}")
+        publish_changes(spark, cfg, path, batch_id, as_of)
 
     if cfg.available_now:
         changes = spark.readStream.schema(TRAFFIC_VIEW).parquet(f"{cfg.table('total_traffic')}/log")
@@ -117,26 +114,64 @@ def start_snapshots(
     return writer.trigger(processingTime=f"{every_seconds} seconds").start()
 
 
-def live_snapshot(
-    spark: SparkSession, cfg: LiveConfig, day: str, as_of: str | None = None, rows_per_page: int = serving.ROWS_PER_PAGE
-) -> DataFrame:
-    """The four live views as JSON documents: totals and the newest traffic
-    window of one day, the other two as they stand.  A view that no batch has
-    been written to yet is an empty document."""
-
-    def shown(name: str, change: Callable[[DataFrame], DataFrame] | None = None, **how) -> tuple[DataFrame, list[str]]:
+def published(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
+    """Documents published so far, with ``upto`` (the view's batch they stand for)
+    and ``snapshot``; with ``before`` those of earlier snapshots only."""
+    schema = f"{serving.DOCUMENT}, upto bigint, snapshot int"
+    rows = read_if_exists(spark, path, schema)
+    if rows is None:
+        return spark.createDataFrame([], schema)
+    return rows if before is None else rows.filter(F.col("snapshot") < before)
+
+
+def publish_changes(spark: SparkSession, cfg: LiveConfig, path: str, number: int, as_of: str | None = None) -> None:
+    """Write the documents of the live views that differ from what snapshots
+    before ``number`` published; a repeated number overwrites itself.
+
+    A view's change log tells which tiles were written to since: rows of later
+    batches than the last published one.  Views no batch has been written to
+    yet are left out."""
+    earlier = published(spark, path, number)
+    before = serving.current_documents(earlier)
+    seen = {r["view"]: r["upto"] for r in earlier.groupBy("view").agg(F.max("upto").alias("upto")).collect()}
+    parts = []
+    for view, tiling in serving.TILINGS.items():
         try:
-            rows = live_view(spark, cfg, name, **how)
+            changes = read_changes(spark, cfg.table(view))
         except FileNotFoundError:
-            return spark.createDataFrame([], "nothing int"), []
-        return change(rows) if change else rows, VIEW_KEYS[name]
-
-    views = {
-        "totalTraffic": shown("total_traffic", lambda rows: serving.by_date(rows, day)),
-        "windowTraffic": shown(
-            "window_traffic", lambda rows: newest_window(serving.by_date(rows, day)), newest_only=False
-        ),
-        "poiTraffic": shown("poi_traffic", as_of=as_of),
-        "heatMap": shown("heat_map"),
-    }
-    return serving.snapshot(views, rows_per_page)
+            continue
+        # one number
+        newest = changes.agg(F.max("batch_id").cast("bigint")).first()[0]
+        touched = changes.filter(F.col("batch_id") > seen.get(tiling.name, -1))
+        rows = live_view(spark, cfg, view, as_of)
+        parts.append(serving.changed_documents(rows, touched, before, tiling).withColumn("upto", F.lit(newest)))
+    if not parts:
+        return
+    changed = reduce(DataFrame.unionByName, parts).persist()
+    try:
+        if not changed.isEmpty():
+            changed.write.mode("overwrite").parquet(f"{path}/snapshot={number}")
+    finally:
+        changed.unpersist()
+
+
+def live_snapshot(spark: SparkSession, cfg: LiveConfig, day: str | None = None, as_of: str | None = None) -> DataFrame:
+    """The four live views as JSON documents by date and tile: totals, and the
+    newest window, of one day or all, the other two as they stand.  A view that
+    no batch has been written to yet has no document."""
+
+    def of_day(rows: DataFrame) -> DataFrame:
+        return rows if day is None else serving.by_date(rows, day)
+
+    views = {}
+    for view, tiling in serving.TILINGS.items():
+        try:
+            if view == "window_traffic":
+                rows = newest_window(of_day(live_view(spark, cfg, view, newest_only=False)))
+            else:
+                rows = live_view(spark, cfg, view, as_of)
+                rows = of_day(rows) if view == "total_traffic" else rows
+        except FileNotFoundError:
+            continue
+        views[view] = (rows, tiling)
+    return serving.snapshot(views) if views else spark.createDataFrame([], serving.DOCUMENT)

@@ -280,7 +280,20 @@ def oracle() -> dict[str, str]:
         "traffic_pivot": _pivot(),
         "route37_slice": f"""{VE} select vehicle_type, total_count from ({_total()})
             where route_id = 'Route-37'""",
+        "snapshot_payload": f"""{_VIEW}, parts as (
+            select 'totalTraffic' as view, record_date, route_id as tile from view where record_date = '{DAY}'
+            union all select 'windowTraffic', record_date, route_id from ({_traffic_windows('ve')}) where record_date = '{DAY}'
+            union all select 'poiTraffic', {DATE.format("time_stamp")}, vehicle_type from ({_latest_near()})
+            union all select 'heatMap', {DATE.format("time_stamp")},
+              cast(floor(latitude) as integer) || '|' || cast(floor(longitude) as integer) from ({_heat_days(CELL)})
+            ) select view, record_date, tile, count(*) as rows from parts group by all""",
+        "snapshot_total_rows": f"{_VIEW} {_VIEW_COLUMNS} where record_date = '{DAY}'",
+        "snapshot_window_rows": f"""{VE} select * from ({_traffic_windows('ve')}) where record_date = '{DAY}'""",
+        "snapshot_poi_rows": f"{VE} {_latest_near()}",
         "snapshot_heatmap_rows": f"{VE} {_heat_days(CELL)}",
+        "snapshot_changed_tiles": f"""{_VIEW} select 'totalTraffic' as view, record_date, route_id as tile, count(*) as rows
+            from view where record_date = (select max(record_date) from view) group by all""",
+        "snapshot_current_rows": f"{_VIEW} {_VIEW_COLUMNS}",
         "stream_first_sightings": f"{SIGHTINGS} select {EVENT_COLUMNS} from sightings",
         "stream_total_traffic": f"{SIGHTINGS}{_running('sightings')} {_RUNNING_COLUMNS}",
         "stream_window_traffic": f"{SIGHTINGS} {_traffic_windows('sightings')}",

@@ -25,7 +25,7 @@ from roadpulse.operators import (
 )
 from roadpulse.operators.windows import newest_window
 from roadpulse.plans import stream_runs
-from roadpulse.plans.jobs import BatchConfig, run_batch
+from roadpulse.plans.jobs import BatchConfig, publish_changes, published, run_batch
 from roadpulse.schemas import VEHICLE_EVENT, VIEW_KEYS
 from roadpulse.session import prepare, workspace
 from roadpulse.sources import archive, codec, delimited, topic, viewstore
@@ -485,9 +485,9 @@ def route37_slice(spark, sf_dir):
     return serving.route_slice(traffic.total_traffic(vehicle_events(spark, sf_dir), AS_OF))
 
 
-def _snapshot(spark: SparkSession, sf_dir: str, rows_per_page: int = serving.ROWS_PER_PAGE) -> DataFrame:
+def _snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Snapshot of stored views: they are written first, as a dashboard reads
-    them, so counting and packing their rows does not recompute them."""
+    them, so packing their rows does not recompute them."""
     events = vehicle_events(spark, sf_dir)
     root = workspace(spark, "views")
 
@@ -496,25 +496,76 @@ def _snapshot(spark: SparkSession, sf_dir: str, rows_per_page: int = serving.ROW
     window = _stored(spark, traffic.window_traffic(events, AS_OF), f"{root}/window")
     near = _stored(spark, nearby, f"{root}/poi")
     heat = _stored(spark, heatmap.heatmap_daily(events), f"{root}/heat")
+    daily = serving.Tiling(
+        "heatMap", ("latitude", "longitude", "time_stamp"), "date_format(time_stamp, 'yyyy-MM-dd')", serving.DEGREE_TILE
+    )
     views = {
-        "totalTraffic": (serving.by_date(total, DAY), VIEW_KEYS["total_traffic"]),
-        "windowTraffic": (serving.by_date(window, DAY), VIEW_KEYS["window_traffic"]),
-        "poiTraffic": (near, VIEW_KEYS["poi_traffic"]),
-        "heatMap": (heat, ["latitude", "longitude", "time_stamp"]),
+        "total_traffic": (serving.by_date(total, DAY), serving.TILINGS["total_traffic"]),
+        "window_traffic": (serving.by_date(window, DAY), serving.TILINGS["window_traffic"]),
+        "poi_traffic": (near, serving.TILINGS["poi_traffic"]),
+        "heat_map": (heat, daily),
     }
-    return serving.snapshot(views, rows_per_page)
+    return serving.snapshot(views)
 
 
 @_query
 def snapshot_payload(spark, sf_dir):
-    return _snapshot(spark, sf_dir)
+    """Every document: view, date, tile and number of rows."""
+    return _snapshot(spark, sf_dir).drop("payload")
+
+
+_TRAFFIC_DDL = "route_id string, vehicle_type string, total_count bigint, time_stamp timestamp, record_date string"
+
+
+@_query
+def snapshot_total_rows(spark, sf_dir):
+    return serving.unpack_snapshot(_snapshot(spark, sf_dir), "totalTraffic", _TRAFFIC_DDL)
+
+
+@_query
+def snapshot_window_rows(spark, sf_dir):
+    schema = f"{_TRAFFIC_DDL}, window_start timestamp, window_end timestamp"
+    return serving.unpack_snapshot(_snapshot(spark, sf_dir), "windowTraffic", schema)
+
+
+@_query
+def snapshot_poi_rows(spark, sf_dir):
+    schema = "vehicle_id string, vehicle_type string, distance_km double, distance bigint, time_stamp timestamp"
+    rows = serving.unpack_snapshot(_snapshot(spark, sf_dir), "poiTraffic", schema)
+    return rows.withColumn("distance_km", F.round("distance_km", 6))
 
 
 @_query
 def snapshot_heatmap_rows(spark, sf_dir):
-    """Heat-map rows back from the pages of the snapshot."""
+    """Heat-map rows back from the documents of the snapshot."""
     schema = "latitude double, longitude double, time_stamp timestamp, total_count bigint"
-    return serving.unpack_snapshot(_snapshot(spark, sf_dir, 1000), "heatMap", schema)
+    return serving.unpack_snapshot(_snapshot(spark, sf_dir), "heatMap", schema)
+
+
+def _published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of the totals, published once before and once after the batch of
+    the last day reached their change log."""
+    root = workspace(spark, "published")
+    cfg = pipeline.LiveConfig(root)
+    log = f"{cfg.table('total_traffic')}/log"
+    changes = _stored(spark, _total_changes(spark, sf_dir), f"{root}/changes")
+    last = changes.agg(F.max("batch_id")).first()[0]
+    for number, part in enumerate((F.col("batch_id") < last, F.col("batch_id") == last)):
+        changes.filter(part).write.mode("append").partitionBy("batch_id").parquet(log)
+        publish_changes(spark, cfg, f"{root}/documents", number)
+    return published(spark, f"{root}/documents")
+
+
+@_query
+def snapshot_changed_tiles(spark, sf_dir):
+    """What the second snapshot wrote: the tiles of the last day, no others."""
+    return _published(spark, sf_dir).filter("snapshot = 1").select("view", "record_date", "tile", "rows")
+
+
+@_query
+def snapshot_current_rows(spark, sf_dir):
+    """The whole view, back from the last document of every tile."""
+    return serving.unpack_snapshot(serving.current_documents(_published(spark, sf_dir)), "totalTraffic", _TRAFFIC_DDL)
 
 
 # --- streaming -------------------------------------------------------------

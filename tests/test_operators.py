@@ -361,16 +361,35 @@ def test_pivot_fills_gaps_and_ignores_unknown_routes(spark):
     assert [r.total_count for r in serving.route_slice(totals).collect()] == [3, 6]
 
 
-def test_snapshot_pages_hold_every_row_once(spark):
-    view = spark.range(2500).select(F.concat(F.lit("v"), "id").alias("vehicle_id"), F.col("id").alias("distance"))
-    documents = serving.snapshot({"poiTraffic": (view, ["vehicle_id"])}, rows_per_page=100)
-    sizes = [r["rows"] for r in documents.collect()]
-    assert sum(sizes) == 2500 and len(sizes) == 25 and max(sizes) < 200
-    back = serving.unpack_snapshot(documents, "poiTraffic", "vehicle_id string, distance bigint")
+def places(spark, *rows):
+    schema = "latitude double, longitude double, window_start timestamp, total_count bigint"
+    return spark.createDataFrame([(lat, lon, at(second), n) for lat, lon, second, n in rows], schema)
+
+
+def test_snapshot_documents_hold_every_row_once(spark):
+    tiling = serving.TILINGS["heat_map"]
+    view = places(spark, (53.1, -6.5, 0, 1), (53.9, -6.1, 0, 2), (-0.5, 0.5, 0, 3), (53.1, -6.5, 86_400.000001, 4))
+    found = serving.snapshot({"heat_map": (view, tiling)})
+    assert sorted((r.record_date, r.tile, r["rows"]) for r in found.collect()) == [
+        ("2024-01-03", "-1|0", 1), ("2024-01-03", "53|-7", 2), ("2024-01-04", "53|-7", 1)
+    ]
+    schema = "latitude double, longitude double, window_start timestamp, total_count bigint"
+    back = serving.unpack_snapshot(found, "heatMap", schema)
     assert back.exceptAll(view).count() == 0 and view.exceptAll(back).count() == 0
-    assert serving.snapshot({"poiTraffic": (view, ["vehicle_id"])}).count() == 1
-    nothing = serving.snapshot({"poiTraffic": (view.limit(0), ["vehicle_id"])})
-    assert [tuple(r) for r in nothing.collect()] == [("poiTraffic", 0, 1, 0, "[]")]
+    assert serving.snapshot({"heat_map": (view.limit(0), tiling)}).count() == 0
+
+
+def test_only_changed_documents_are_published(spark):
+    tiling = serving.TILINGS["heat_map"]
+    old = places(spark, (53.1, -6.5, 0, 1), (50.5, -6.1, 0, 2), (40.5, 1.5, 0, 3))
+    new = places(spark, (53.1, -6.5, 0, 1), (50.5, -6.1, 0, 5), (60.5, 1.5, 0, 3))
+    touched = places(spark, (50.5, -6.1, 0, 5), (60.5, 1.5, 0, 3), (53.1, -6.5, 0, 1))
+    before = serving.documents(old, tiling)
+    changed = serving.changed_documents(new, touched, before, tiling)
+    assert {(r.tile, r["rows"]) for r in changed.collect()} == {("50|-7", 1), ("60|1", 1), ("40|1", 0)}
+    both = before.withColumn("snapshot", F.lit(0)).unionByName(changed.withColumn("snapshot", F.lit(1)))
+    now = serving.current_documents(both).select("record_date", "tile", "payload")
+    assert now.exceptAll(serving.documents(new, tiling).select(now.columns)).count() == 0 and now.count() == 3
 
 
 # --- text ---------------------------------------------------------------------------

@@ -24,7 +24,7 @@ AVOIDED = (
     "MapInPandas",
 )
 # no SQL states these
-ROWS_ONLY = {"snapshot_payload", "speed_model_metrics", "speed_predictions", "speed_model_reloaded"}
+ROWS_ONLY = {"speed_model_metrics", "speed_predictions", "speed_model_reloaded"}
 
 
 @pytest.fixture(scope="module")

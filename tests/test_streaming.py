@@ -12,11 +12,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import at
-from roadpulse.operators import heatmap, offsets, poi, running, sightings, textops, traffic
-from roadpulse.plans.jobs import live_snapshot, start_snapshots
-from roadpulse.schemas import LEDGER
+from roadpulse.operators import heatmap, offsets, poi, running, serving, sightings, textops, traffic
+from roadpulse.plans.jobs import live_snapshot, publish_changes, published, start_snapshots
+from roadpulse.schemas import LEDGER, TRAFFIC_VIEW
 from roadpulse.session import prepare
 from roadpulse.sources import archive, codec, topic
+from roadpulse.sources.viewstore import upsert_batch
 from roadpulse.streaming import pipeline, text_stream
 from roadpulse.streaming.live import first_sightings_stream, running_totals_stream
 from roadpulse.streaming.state import FirstSighting, RunningTotal
@@ -287,31 +288,46 @@ def test_whole_job_with_restart(spark, events_of, tmp_path):
         assert newest.select("window_start").distinct().count() == 1
 
     documents = live_snapshot(spark, cfg, "2024-01-03", at(last))
-    documents = {r.view: json.loads(r.payload) for r in documents.collect()}
-    assert set(documents) == {"totalTraffic", "windowTraffic", "poiTraffic", "heatMap"}
-    assert len(documents["totalTraffic"]) == totals.filter("record_date = '2024-01-03'").count()
-    assert all(documents.values())
+    found = {}
+    for r in documents.collect():
+        found.setdefault(r.view, []).extend(json.loads(r.payload))
+    assert set(found) == {"totalTraffic", "windowTraffic", "poiTraffic", "heatMap"}
+    assert len(found["totalTraffic"]) == totals.filter("record_date = '2024-01-03'").count()
+    assert all(found.values())
 
-    start_snapshots(spark, cfg, str(tmp_path / "snapshots"), "2024-01-03", at(last)).awaitTermination()
-    published = spark.read.json(str(tmp_path / "snapshots"))
-    assert {r.view: json.loads(r.payload) for r in published.collect()} == documents
+    out = str(tmp_path / "snapshots")
+    start_snapshots(spark, cfg, out, at(last)).awaitTermination()
+    first = published(spark, out)
+    whole = live_snapshot(spark, cfg, as_of=at(last))
+    same(serving.current_documents(first), whole)
+    # nothing has changed but the time: rows near the point have expired
+    publish_changes(spark, cfg, out, 7, at(last + 10_000))
+    again = published(spark, out).filter("snapshot = 7").collect()
+    assert {(r.view, r["rows"]) for r in again} == {("poiTraffic", 0)}
 
 
 def test_snapshots_do_not_wait_for_a_view(spark, tmp_path):
-    """The clock fires before any view has rows."""
+    """The clock fires before any view has rows, and a view written later shows."""
     cfg = pipeline.LiveConfig(str(tmp_path / "job"))
     out = str(tmp_path / "snapshots")
-    query = start_snapshots(spark, cfg, out, "2024-01-03", every_seconds=1)
+    query = start_snapshots(spark, cfg, out, every_seconds=1)
     try:
         for _ in range(120):
-            if list((tmp_path / "snapshots").glob("batch_id=*/_SUCCESS")):
+            if query.lastProgress:
+                break
+            time.sleep(0.5)
+        assert published(spark, out).count() == 0
+        rows = spark.createDataFrame([("Route-37", "Bus", 4, at(0), "2024-01-03")], TRAFFIC_VIEW)
+        upsert_batch(rows, cfg.table("total_traffic"), 0)
+        for _ in range(120):
+            if published(spark, out).count():
                 break
             time.sleep(0.5)
     finally:
         query.stop()
-    rows = spark.read.json(out).filter("batch_id = 1 or batch_id = 0").collect()
-    assert {r.view for r in rows} == {"totalTraffic", "windowTraffic", "poiTraffic", "heatMap"}
-    assert {(r.payload, r.pages) for r in rows} == {("[]", 1)}
+    assert [(r.view, r.record_date, r.tile, r["rows"]) for r in published(spark, out).collect()] == [
+        ("totalTraffic", "2024-01-03", "Route-37", 1)
+    ]
 
 
 def test_text_stream_results_per_batch(spark, tmp_path):
