@@ -46,9 +46,9 @@ from roadpulse.llm.work import map_batches, small_batches, texts, written
 ORDER = 2
 # of 2, 20 and 200 the best on held-out rows of the test tables
 PULL = 200.0
-BLOCK = 24 << 20
+BLOCK = 8 << 20
 # n-grams sent to one range, about
-BUCKET = 1 << 20
+BUCKET = 1 << 19
 START, END = (np.uint64(mix(np.array([k], dtype=np.uint64))[0]) for k in (0x5354415254, 0x454E44))
 LOW = np.uint64(7)
 
