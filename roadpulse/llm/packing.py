@@ -35,6 +35,7 @@ import zlib
 from collections import deque
 
 import numpy as np
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
@@ -232,6 +233,11 @@ def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, wi
                         waiting[0][2] = done + n
                 state["sequence"] += 1
                 state["tokens"] -= size
+            own = rows.pop("ids")
+            if with_ids:
+                ends = np.cumsum([0, *map(len, own)], dtype=np.int32)
+                flat = np.concatenate(own or [np.zeros(0, dtype=np.uint32)]).astype(np.int32)
+                rows["ids"] = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
             return rows
 
         def planned(last: bool):
@@ -271,4 +277,4 @@ def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, wi
 
 
 def op5_packing(spark, sf_dir: str) -> DataFrame:
-    return pack(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("ids")
+    return pack(spark.read.parquet(f"{sf_dir}/documents.parquet"), with_ids=False)

@@ -57,7 +57,10 @@ def map_batches(
         step = make()
 
         def rows(columns):
-            arrays = [pa.array(columns[f.name], type=f.type, from_pandas=False) for f in arrow]
+            arrays = [
+                c.cast(f.type) if isinstance(c := columns[f.name], pa.Array) else pa.array(c, type=f.type, from_pandas=False)
+                for f in arrow
+            ]
             return pa.RecordBatch.from_arrays(arrays, schema=arrow)
 
         for batch in batches:
