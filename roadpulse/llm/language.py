@@ -45,6 +45,8 @@ FOREIGN = 0.5
 SHORTFALL, SPREAD = 1.5, 10.0
 # characters looked at together; a text is never cut
 CHUNK = 1 << 18
+# words of a block of the search for the best path
+BLOCK = 64
 # Code point ranges of scripts (first, last).
 SCRIPTS = {
     "latin": [(0x41, 0x24F), (0x1E00, 0x1EFF)],
@@ -159,31 +161,74 @@ def learn(labelled: DataFrame) -> dict:
     return {"names": names, "logs": logs, "uses": uses.T.copy(), "known": known, "typical": typical}
 
 
+def blocks(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Texts cut into blocks of at most ``BLOCK`` words: first word and number of
+    words of each block, and the range of blocks of each text."""
+    count = -(-np.diff(first) // BLOCK)
+    edges = np.concatenate(([0], np.cumsum(count)))
+    place = np.arange(edges[-1]) - np.repeat(edges[:-1], count)
+    start = np.repeat(first[:-1], count) + BLOCK * place
+    return start, np.minimum(BLOCK, np.repeat(first[1:], count) - start), edges
+
+
+def together(size: np.ndarray):
+    """Steps over sequences of these sizes, longest first: (step, those that have it)."""
+    order = np.argsort(-size, kind="stable")
+    ends = np.searchsorted(-size[order], -np.arange(int(size.max())), side="left")
+    for t, n in enumerate(ends.tolist()):
+        yield t, order[:n]
+
+
 def viterbi(scores: np.ndarray, first: np.ndarray, penalty: float) -> np.ndarray:
     """Best language of each word; ``first`` has the word range of each text.
-    All texts advance together, longest first."""
-    length = np.diff(first)
-    order = np.argsort(-length, kind="stable")
-    length, start = length[order], first[:-1][order]
-    n, steps = len(order), int(length[0])
+
+    A long text would be as many steps as it has words.  So the best sum of each
+    block from every language it is entered in to every language it is left in
+    comes first, for all blocks together; then the best way through the blocks
+    of each text; then the way through each block, all together again."""
+    k = scores.shape[1]
+    start, size, edges = blocks(first)
+    own = np.eye(k, dtype=bool)
+    # through[block, entered, left]: the first word is read in ``left``
+    through = np.where(own, 0.0, -penalty)[None] + scores[start][:, None, :]
+    for t, at in together(size):
+        if t:
+            now = through[at]
+            through[at] = np.maximum(now, now.max(axis=2, keepdims=True) - penalty) + scores[start[at] + t][:, None, :]
+    number = np.diff(edges)
+    best = np.zeros((len(number), k))
+    entered, left = np.zeros(len(start), dtype=np.int64), np.zeros(len(start), dtype=np.int64)
+    came = np.zeros((len(start), k), dtype=np.int64)
+    for t, at in together(number):
+        # a text's first word costs no change, whichever language it enters in
+        sums = best[at][:, :, None] + through[edges[at] + t]
+        came[edges[at] + t] = sums.argmax(axis=1)
+        best[at] = sums.max(axis=1)
+    last = best.argmax(axis=1)
+    for t, at in reversed(list(together(number))):
+        where = edges[at] + t
+        # the text's last block is left in the best language, others as the next is entered
+        final = number[at] == t + 1
+        left[where] = np.where(final, last[at], entered[np.minimum(where + 1, len(start) - 1)])
+        entered[where] = came[where, left[where]]
     path = np.zeros(len(scores), dtype=np.int64)
-    came = np.zeros((len(scores), scores.shape[1]), dtype=np.int16)
-    best = scores[start].copy()
-    stay = np.arange(scores.shape[1], dtype=np.int16)
-    for t in range(1, steps):
-        n = int(np.searchsorted(-length, -t, side="left"))
-        now = best[:n]
-        top = now.argmax(axis=1)
-        switch = now[np.arange(n), top][:, None] - penalty
-        move = switch > now
-        came[start[:n] + t] = np.where(move, top[:, None].astype(np.int16), stay)
-        best[:n] = np.where(move, switch, now) + scores[start[:n] + t]
-    at = best.argmax(axis=1)
-    for t in range(steps - 1, -1, -1):
-        n = int(np.searchsorted(-length, -t, side="left"))
-        where = start[:n] + t
-        path[where] = at[:n]
-        at[:n] = came[where, at[:n]] if t else at[:n]
+    moved = np.zeros(scores.shape, dtype=np.int16)
+    sums = np.where(own[entered], 0.0, -penalty) + scores[start]
+    stay = np.arange(k, dtype=np.int16)
+    for t, at in together(size):
+        if t:
+            now = sums[at]
+            top = now.argmax(axis=1)
+            switch = now.max(axis=1, keepdims=True) - penalty
+            move = switch > now
+            moved[start[at] + t] = np.where(move, top[:, None], stay)
+            sums[at] = np.where(move, switch, now) + scores[start[at] + t]
+    here = left.copy()
+    for t, at in reversed(list(together(size))):
+        where = start[at] + t
+        path[where] = here[at]
+        if t:
+            here[at] = moved[where, here[at]]
     return path
 
 
@@ -282,10 +327,9 @@ def learned(docs: DataFrame) -> dict:
     return learn(rows.filter((fold(4) != 2) & F.col("lang").isNotNull() & F.col("text").isNotNull()))
 
 
-def accepted(docs: DataFrame, least: float = 0.25, penalty: float = PENALTY) -> DataFrame:
+def accepted(docs: DataFrame, penalty: float = PENALTY) -> DataFrame:
     """The documents whose language is found, as they are; out go those without
-    a letter, those where no language has the share ``least`` of the letters and
-    those whose letters aren't such as the learned texts have."""
+    a letter and those whose letters aren't such as the learned texts have."""
     model = learned(docs)
     small_batches(docs.sparkSession)
 
@@ -295,8 +339,8 @@ def accepted(docs: DataFrame, least: float = 0.25, penalty: float = PENALTY) ->
             texts = [t or "" for t in batch.column("text").to_pylist()]
             keep: list[bool] = []
             for low, high in chunks(texts):
-                pred, score, _, fits = read(texts[low:high])
-                keep += [p != "und" and s >= least and bool(f) for p, s, f in zip(pred, score, fits)]
+                pred, _, _, fits = read(texts[low:high])
+                keep += [p != "und" and bool(f) for p, f in zip(pred, fits)]
             yield batch.filter(pa.array(keep, type=pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
