@@ -8,7 +8,7 @@ joins for the points of interest.
 from __future__ import annotations
 
 from roadpulse.operators.poi import BATCH_POI, LIVE_POI, PointOfInterest
-from roadpulse.operators.speed import SEED, TRAINING_SHARE
+from roadpulse.operators.speed import ELASTIC_NET_PARAM, REG_PARAM, SEED, TRAINING_SHARE
 from roadpulse.plans.queries import (
     AS_OF,
     DAY,
@@ -17,6 +17,7 @@ from roadpulse.plans.queries import (
     TEST_POI,
     TOPIC_PARTITIONS,
     VIEW_TIME,
+    LIGHT_PENALTY,
     VIEW_TTL_SECONDS,
 )
 from roadpulse.schemas import ROUTES, VEHICLE_TYPES
@@ -52,6 +53,59 @@ _ON_TIME = f"""
 ) select {EVENT_COLUMNS} from gaps where previous is null or ts > previous + interval 3600 second"""
 
 
+def _speed_model(reg: float) -> str:
+    """The elastic net by coordinate descent on covariances, 300 rounds."""
+    x = ["lat", "lon", "dow"]
+    names = [*x, "label"]
+    sums = [f"avg({a}) as mean_{a}, stddev_pop({a}) as sd_{a}" for a in names]
+    sums += [f"covar_pop({a}, {b}) as {a}_{b}" for i, a in enumerate(names) for b in names[i:]]
+    pair = {(a, b): f"{a}_{b}" for i, a in enumerate(names) for b in names[i:]}
+
+    def scaled(a: str, b: str) -> str:
+        return f"{pair.get((a, b)) or pair[b, a]} / sd_{a} / sd_{b}"
+
+    l1, l2 = (f"({reg * share!r} / sd_label)" for share in (ELASTIC_NET_PARAM, 1 - ELASTIC_NET_PARAM))
+    step, turns = "select i, b_lat, b_lon, b_dow from descent where i < 300", "descent"
+    for a in x:
+        rest = " - ".join([f"({scaled(a, 'label')})", *[f"({scaled(a, b)}) * b_{b}" for b in x if b != a]])
+        others = ", ".join(f"b_{b}" for b in x if b != a)
+        new = f"sign({rest}) * greatest(abs({rest}) - {l1}, 0) / (({scaled(a, a)}) + {l2})"
+        step = f"select i, {others}, {new} as b_{a} from ({step}), moments"
+    return f"""with recursive ve as ({VEHICLE_EVENTS_SQL}), rows as (
+  select event_id, speed as label, cast(trunc(latitude) as integer)::double as lat,
+    cast(trunc(longitude) as integer)::double as lon, isodow(ts)::double as dow,
+    cast('0x' || substr(md5(concat_ws('|', {SEED}, vehicle_id, epoch_us(ts), event_id)), 1, 8) as bigint) % 1000000
+      < {int(TRAINING_SHARE * 1_000_000)} as training from ve
+), moments as (select {", ".join(sums)} from rows where training
+), descent as (
+  select 0 as i, 0::double as b_lat, 0::double as b_lon, 0::double as b_dow
+  union all select i + 1, b_lat, b_lon, b_dow from ({step})
+), own as (
+  select {", ".join(f"b_{a} * sd_label / sd_{a} as w_{a}" for a in x)}, mean_label, {", ".join(f"mean_{a}" for a in x)}
+  from descent, moments where i = 300
+), model as (select *, mean_label - {" - ".join(f"w_{a} * mean_{a}" for a in x)} as intercept from own
+), scored as (select rows.*, intercept + {" + ".join(f"w_{a} * {a}" for a in x)} as prediction from rows, model
+)"""
+
+
+def _speed_report(reg: float, digits: int) -> str:
+    parts = []
+    for part, where in (("training", "training"), ("test", "not training")):
+        missed = f"sum(pow(label - prediction, 2)) filter ({where})"
+        count = f"count(*) filter ({where})"
+        parts.append(f"round(sqrt({missed} / {count}), {digits}) + 0 as {part}_rmse")
+        parts.append(f"round(1 - {missed} / ({count} * var_pop(label) filter ({where})), {digits}) + 0 as {part}_r2")
+    weights = [f"round((select {w} from model), {digits}) + 0 as {name}" for w, name in (
+        ("w_lat", "lat_coefficient"), ("w_lon", "long_coefficient"), ("w_dow", "day_coefficient"), ("intercept", "intercept")
+    )]
+    return f"{_speed_model(reg)} select {', '.join(weights + parts)} from scored"
+
+
+def _speed_rows(reg: float, digits: int, where: str = "not training") -> str:
+    return f"""{_speed_model(reg)} select [lat, lon, dow] as features, label,
+  round(prediction, {digits}) as prediction from scored where {where}"""
+
+
 def _distance(lat: str, lon: str) -> str:
     """Kilometres from an event to a point."""
     a = (
@@ -326,6 +380,12 @@ def oracle() -> dict[str, str]:
               % 1000000 as draw from ve)
             select event_id, label, case when draw < {int(TRAINING_SHARE * 1_000_000)} then 'training' else 'test' end as part
             from draws""",
+        "speed_model_metrics": _speed_report(REG_PARAM, 4),
+        "speed_predictions": _speed_rows(REG_PARAM, 4),
+        "speed_model_reloaded": _speed_rows(REG_PARAM, 4, "true"),
+        "speed_moment_model": _speed_report(REG_PARAM, 7),
+        "speed_moment_model_light": _speed_report(LIGHT_PENALTY, 7),
+        "speed_moment_predictions": _speed_rows(LIGHT_PENALTY, 7),
         "text_lines": f"{_LINES} select value from lines",
         "word_lengths": f"{_LINES} select cast(length(value) as integer) as length from lines",
         "words": f"{_WORDS} select word from words",

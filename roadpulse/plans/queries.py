@@ -41,6 +41,7 @@ DAY = "2024-01-15"
 VIEW_TIME = "2024-01-15 12:00:00"
 VIEW_TTL_SECONDS = 86_400
 TOPIC_PARTITIONS = 6
+LIGHT_PENALTY = 0.001
 
 TEST_POI = poi.PointOfInterest(53.877495, -6.50238, 100.0, "Truck", "Route-37", "test_filtered")
 POINTS = [
@@ -703,12 +704,39 @@ def speed_split(spark, sf_dir):
 
 @_query
 def speed_model_metrics(spark, sf_dir):
-    return speed.report(spark, speed.train(vehicle_events(spark, sf_dir)))
+    """Coefficients and errors of the Spark ML pipeline, to the tolerance of its
+    optimiser; how that got there (``speed.report``) is left out."""
+    report = speed.report(spark, speed.train(vehicle_events(spark, sf_dir)))
+    return _rounded_report(report.drop("iterations", "objective_history"), 4)
 
 
-def _plain_prediction(rows: DataFrame) -> DataFrame:
+def _rounded_report(report: DataFrame, digits: int) -> DataFrame:
+    # adding 0 makes a negative zero a zero
+    return report.select(*[(F.round(c, digits) + 0.0).alias(c) for c in report.columns])
+
+
+@_query
+def speed_moment_model(spark, sf_dir):
+    """The same model from one pass over the training rows."""
+    return _rounded_report(speed.moment_report(vehicle_events(spark, sf_dir)), 7)
+
+
+@_query
+def speed_moment_model_light(spark, sf_dir):
+    """A weaker penalty, under which every feature has a coefficient."""
+    return _rounded_report(speed.moment_report(vehicle_events(spark, sf_dir), LIGHT_PENALTY), 7)
+
+
+@_query
+def speed_moment_predictions(spark, sf_dir):
+    training, test = speed.split(speed.speed_features(vehicle_events(spark, sf_dir)))
+    scored = speed.fit_moments(training, LIGHT_PENALTY).transform(test)
+    return _plain_prediction(scored, 7)
+
+
+def _plain_prediction(rows: DataFrame, digits: int = 4) -> DataFrame:
     return rows.select(
-        vector_to_array("features").alias("features"), "label", "prediction"
+        vector_to_array("features").alias("features"), "label", F.round("prediction", digits).alias("prediction")
     )
 
 

@@ -15,7 +15,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from conftest import MIDDAY, at
-from roadpulse.operators import heatmap, poi, running, serving, sightings, textops, traffic
+from roadpulse.operators import heatmap, poi, running, serving, sightings, speed, textops, traffic
 from roadpulse.operators.windows import newest_window, sliding_counts
 from roadpulse.schemas import POI
 from roadpulse.sources.viewstore import latest_per_key, latest_per_key_ranked
@@ -443,3 +443,34 @@ def test_as_of_is_stamped(events_of):
     row = traffic.total_traffic(events_of([(1, "a", 0)]), "2024-05-06 07:08:09").first()
     assert (row.time_stamp, row.record_date) == (datetime(2024, 5, 6, 7, 8, 9), "2024-05-06")
     assert traffic.total_traffic(events_of([(1, "a", 0)])).first().time_stamp > MIDDAY
+
+
+# --- speed model --------------------------------------------------------------------
+
+
+def test_moment_model_is_the_pipelines(spark):
+    rng = random.Random(8)
+    rows = []
+    for i in range(600):
+        lat, lon, day = rng.randint(50, 60), rng.randint(-9, 3), rng.randint(1, 7)
+        rows.append((i, float(5 * lat - 2 * lon + day + rng.gauss(0, 6)), lat, lon, day))
+    table = spark.createDataFrame(rows, "event_id int, label double, lat int, long int, dayOfWeek int")
+    fitted = speed.speed_pipeline().fit(table).stages[-1]
+    model = speed.fit_moments(table)
+    assert model.coefficients == pytest.approx(list(fitted.coefficients), abs=1e-6)
+    assert model.intercept == pytest.approx(fitted.intercept, abs=1e-4)
+    scored = model.transform(table).withColumn("part", F.lit("all"))
+    rmse, r2 = scored.agg(*speed.errors("all")).first()
+    assert (rmse, r2) == pytest.approx((fitted.summary.rootMeanSquaredError, fitted.summary.r2), abs=1e-6)
+    assert len(model.transform(table).first().features) == 3
+
+
+def test_moment_model_of_odd_tables(spark):
+    table = spark.createDataFrame([(3.0, 1, 2, 3)] * 4, "label double, lat int, long int, dayOfWeek int")
+    flat = speed.fit_moments(table)
+    assert flat == speed.MomentModel((0.0, 0.0, 0.0), 3.0)
+    assert speed.fit_moments(table.filter("false")) == speed.MomentModel((0.0, 0.0, 0.0), 0.0)
+    # one feature varies, two are constant
+    rows = [(float(2 * k), k, 5, 1) for k in range(20)]
+    line = speed.fit_moments(spark.createDataFrame(rows, "label double, lat int, long int, dayOfWeek int"), 0.0)
+    assert line.coefficients == pytest.approx((2.0, 0.0, 0.0)) and line.intercept == pytest.approx(0.0, abs=1e-9)
