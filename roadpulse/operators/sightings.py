@@ -36,18 +36,34 @@ def reduce_per_vehicle(events: DataFrame, bucket: Column) -> DataFrame:
     )
 
 
-def _reduced(events: DataFrame, seconds: int) -> DataFrame:
-    timed = events.filter(F.col("ts").isNotNull())
-    return reduce_per_vehicle(timed, bucket_of(F.col("ts"), seconds))
+def bucket_bounds(events: DataFrame, seconds: int) -> DataFrame:
+    """``vehicle_id, bucket, first_us, last_us``: first and last time of each
+    vehicle and bucket.  The aggregates are plain longs, so Spark hashes the
+    events and sorts none of them."""
+    micros = F.unix_micros("ts")
+    return events.groupBy("vehicle_id", bucket_of(F.col("ts"), seconds).alias("bucket")).agg(
+        F.min(micros).alias("first_us"), F.max(micros).alias("last_us")
+    )
 
 
-def first_per_vehicle(events: DataFrame, every_seconds: int = 5) -> DataFrame:
-    """One event per vehicle and batch interval, the earliest."""
-    return _reduced(events, every_seconds).select([f"first.{c}" for c in events.columns])
+def events_at(events: DataFrame, places: DataFrame) -> DataFrame:
+    """The event of each vehicle at each time of ``places`` (``vehicle_id,
+    first_us``), of several the first in ``event_order``.  The join key holds the
+    time, so a vehicle with much of the data is spread over the tasks; only
+    events that are wanted are compared with each other."""
+    wanted = places.select(F.col("vehicle_id").alias("__vehicle"), F.col("first_us").alias("__us"))
+    same = F.col("vehicle_id").eqNullSafe(F.col("__vehicle")) & (F.unix_micros("ts") == F.col("__us"))
+    order = event_order(events)
+    rest = [c for c in events.columns if c not in (*order, "vehicle_id")]
+    found = events.join(wanted, same, "left_semi").groupBy("vehicle_id", "ts")
+    least = found.agg(F.min(F.struct(*order, *rest)).alias("first"))
+    return least.select([F.col(c) if c in ("vehicle_id", "ts") else F.col(f"first.{c}") for c in events.columns])
 
 
-def _silent_for(previous: Column, ts: Column, idle_seconds: int) -> Column:
-    return previous.isNull() | (ts > previous + F.make_dt_interval(secs=F.lit(idle_seconds)))
+def first_per_vehicle(events: DataFrame, every_seconds: int = 5) -> DataFrame:
+    """One event per vehicle and batch interval, the earliest."""
+    timed = events.filter(F.col("ts").isNotNull())
+    return events_at(timed, bucket_bounds(timed, every_seconds))
 
 
 def first_sightings(
@@ -60,14 +76,15 @@ def first_sightings(
 
     Two events in one bucket of ``idle_seconds`` are never that far apart, so
     only the earliest event of a bucket can qualify, and the event before it is
-    the last one of the vehicle's previous bucket.  The window therefore sees
-    one row per vehicle and bucket instead of every event.
+    the last one of the vehicle's previous bucket.  So times are reduced to one
+    row per vehicle and bucket, the window that looks for gaps sees those rows
+    only, and the events themselves are fetched for the times that qualify.
     """
     if carry is not None:
         wanted = {"vehicle_id", *event_order(events), *carry}
         events = events.select([c for c in events.columns if c in wanted])
-    buckets = _reduced(events, idle_seconds)
+    timed = events.filter(F.col("ts").isNotNull())
     w = Window.partitionBy("vehicle_id").orderBy("bucket")
-    marked = buckets.withColumn("previous", F.lag("last_ts").over(w))
-    new = _silent_for(F.col("previous"), F.col("first.ts"), idle_seconds)
-    return marked.filter(new).select([f"first.{c}" for c in events.columns])
+    marked = bucket_bounds(timed, idle_seconds).withColumn("previous", F.lag("last_us").over(w))
+    silent = F.col("previous").isNull() | (F.col("first_us") > F.col("previous") + idle_seconds * 1_000_000)
+    return events_at(timed, marked.filter(silent))

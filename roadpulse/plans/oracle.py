@@ -277,6 +277,8 @@ def oracle() -> dict[str, str]:
         "first_sightings": f"{SIGHTINGS} select {EVENT_COLUMNS} from sightings",
         "first_per_vehicle_batch": f"""{VE} select {EVENT_COLUMNS} from ve qualify row_number() over (
             partition by vehicle_id, time_bucket(interval 5 second, ts) order by ts, event_id) = 1""",
+        "first_per_vehicle_day": f"""{VE} select {EVENT_COLUMNS} from ve qualify row_number() over (
+            partition by vehicle_id, date_trunc('day', ts) order by ts, event_id) = 1""",
         "total_traffic_running": f"{SIGHTINGS}{_running('sightings')} {_RUNNING_COLUMNS}",
         "total_traffic_running_all_events": f"{VE}{_running('ve')} {_RUNNING_COLUMNS}",
         "total_traffic_running_daily": VE

@@ -235,6 +235,12 @@ def first_per_vehicle_batch(spark, sf_dir):
     return sightings.first_per_vehicle(vehicle_events(spark, sf_dir))
 
 
+@_query
+def first_per_vehicle_day(spark, sf_dir):
+    """The same per day, of which several events of a vehicle share one."""
+    return sightings.first_per_vehicle(vehicle_events(spark, sf_dir), 86_400)
+
+
 @_query
 def total_traffic_running(spark, sf_dir):
     events = sightings.first_sightings(vehicle_events(spark, sf_dir), carry=running.KEYS)

@@ -77,9 +77,20 @@ def test_carry_reads_only_what_is_asked(events_of):
 
 
 def test_hot_vehicle_is_reduced_before_the_shuffle(events_of):
+    """Times are hashed, before the shuffle and after it; nothing below the join
+    that fetches the events sorts to aggregate."""
     plan = plan_of(sightings.first_sightings(events_of([(1, "a", 0)])))
+    below = plan[plan.index("Join") :]
+    assert "SortAggregate" not in below and below.count("HashAggregate") == 2
     last_exchange = plan.rindex("Exchange hashpartitioning")
-    assert "partial_min(struct" in plan[last_exchange:]
+    assert "partial_min(" in plan[last_exchange:] and "partial_max(" in plan[last_exchange:]
+
+
+def test_equal_times_and_null_vehicles(spark, events_of):
+    rows = [(5, "a", 0, "Route-82"), (4, "a", 0), (6, "b", 10), (7, "b", 4000), (8, "b", 4000)]
+    events = events_of(rows).unionByName(events_of([(9, None, 50), (3, None, 20), (2, None, 9000)]))
+    found = {(r.event_id, r.route_id) for r in sightings.first_sightings(events).collect()}
+    assert found == {(4, "Route-37"), (6, "Route-37"), (7, "Route-37"), (3, "Route-37"), (2, "Route-37")}
 
 
 def test_first_per_vehicle_and_interval(events_of):
