@@ -240,7 +240,13 @@ def components_of(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) ->
     signed = written(signatures(docs, size), "signatures")
     held = signed.filter("n_shingles > 0")
     # one row per class; the bits are a function of the set
-    classes = held.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("packed").alias("packed"), F.first("bands").alias("bands"))
+    classes = held.groupBy("node").agg(
+        F.min("doc_id").alias("doc_id"),
+        # the text of that document, of any if all ids are null
+        F.coalesce(F.min_by("text_hash", "doc_id"), F.min("text_hash")).alias("text_hash"),
+        F.first("packed").alias("packed"),
+        F.first("bands").alias("bands"),
+    )
     classes = written(classes, "classes")
     keyed = written(classes.select("node", F.posexplode("bands").alias("band", "key")), "bands")
     groups = keyed.groupBy("key").agg(F.min("node").alias("least"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("sum"))
@@ -250,7 +256,7 @@ def components_of(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) ->
     members = written(
         keyed.join(groups, "key").select("key", "band", "n", "least", "node").join(classes.select("node", "packed"), "node"), "members"
     )
-    known = classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "doc_id")
+    known = classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "doc_id", "text_hash")
     sets = written(full_sets(docs, known, size), "sets")
 
     bits = members.filter("node = least").select("key", F.col("packed").alias("their"))
@@ -279,7 +285,9 @@ def components_of(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) ->
 
 def full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """``node, set``: all shingle hashes of the classes in ``wanted``
-    (``node, doc_id`` of one document each), recomputed from its text."""
+    (``node, doc_id, text_hash`` of one document each), recomputed from its text.
+    The text hash is part of the key, so rows without an id meet their own class
+    only."""
 
     def make():
         tokeniser, powers = Tokeniser("space", True), Powers()
@@ -297,8 +305,9 @@ def full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 
         return step
 
-    wanted = wanted.withColumnRenamed("doc_id", "wanted_id")
-    hits = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted_id"))).select("node", "text")
+    wanted = wanted.withColumnsRenamed({"doc_id": "wanted_id", "text_hash": "wanted_hash"})
+    same = F.col("doc_id").eqNullSafe(F.col("wanted_id")) & (F.col("text_hash") == F.col("wanted_hash"))
+    hits = docs.join(wanted, same).select("node", "text")
     # rows that share an id and the text give a set twice
     return map_batches(hits, make, "node long, set binary").dropDuplicates(["node"])
 

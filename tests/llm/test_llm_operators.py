@@ -86,6 +86,19 @@ def test_near_dedup(docs, nothing):
     assert neardup.components_of(nothing).count() == 0
 
 
+def test_classes_of_rows_without_ids(spark):
+    """Each class is read once, whatever number of rows has no id."""
+    rng = random.Random(2)
+    rows = [(None, " ".join(rng.choices("abcdefgh", k=12)) + f" {i // 2}") for i in range(300)]
+    table = spark.createDataFrame(rows + rows[:5], "doc_id long, text string")
+    found = neardup.components_of(table, size=2).groupBy("node").count()
+    assert found.count() == len(set(rows))
+    docs = table.select("*", neardup.text_hash(table))
+    classes = neardup.signatures(docs, 2).groupBy("node", "doc_id").agg(neardup.F.min("text_hash").alias("text_hash"))
+    sets = neardup.full_sets(docs, classes, 2)
+    assert sets.count() == len(set(rows))
+
+
 def test_near_duplicates_keep_one(docs, nothing):
     kept = neardup.near_duplicates(docs, size=2)
     assert kept.columns == docs.columns
