@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from roadpulse.schemas import ARCHIVE
+from roadpulse.sources.footers import archived_offsets
 from roadpulse.sources.viewstore import read_if_exists
 
 
@@ -22,7 +23,8 @@ def saved_offsets(
     spark: SparkSession, path: str, schema: StructType | str = ARCHIVE
 ) -> dict[str, dict[int, int]]:
     """``{topic: {partition: next offset}}`` of an archive, empty if there is no
-    archive yet.  One row per topic partition comes to the driver.
+    archive yet.  One row per topic partition comes to the driver, and of an
+    archive only file footers are read.
 
     With ``schema=schemas.LEDGER`` the path is the log of the job's ledger, which holds a
     row per batch instead of one per event."""
@@ -30,6 +32,7 @@ def saved_offsets(
     if rows is None:
         return {}
     offsets: dict[str, dict[int, int]] = {}
-    for row in latest_offsets(rows).collect():
+    latest = archived_offsets(spark, path) if schema == ARCHIVE else latest_offsets(rows)
+    for row in latest.collect():
         offsets.setdefault(row.topic, {})[row.kafka_partition] = row.until_offset
     return offsets

@@ -20,8 +20,9 @@ CELLS_PER_POINT = 4
 # Points up to this number are broadcast (some 100 bytes per cell); above it
 # both sides are shuffled.
 BROADCAST_POINTS = 100_000
-# Tasks that share one cell when both sides are shuffled.
-SALTS = 32
+# When both sides are shuffled, a cell with more than one part in so many of the
+# events is cut into pieces of about that size.
+PARTS = 2_000
 
 
 @dataclass(frozen=True)
@@ -112,6 +113,8 @@ def _covering_cells(pois: DataFrame) -> DataFrame:
         .withColumn("cell_x", F.explode(span("lon_min", "lon_max")))
         .select(
             "level",
+            "cell_y",
+            "cell_x",
             _cell_key(F.col("level"), F.col("cell_y"), F.col("cell_x")).alias("cell"),
             "poi_id",
             "radius_km",
@@ -123,8 +126,63 @@ def _covering_cells(pois: DataFrame) -> DataFrame:
     )
 
 
+def _tile(lat: Column, lon: Column) -> Column:
+    """Number of the square degree of a place: 181 rows of 361 at most."""
+    return ((F.floor(lat) + 90) * 512 + F.floor(lon) + 180).cast("int")
+
+
+def _occupied_levels(cells: DataFrame) -> DataFrame:
+    """``tile, levels``: for each square degree the levels (as bits) that have a
+    cell with a point in it.  There are at most 181 * 361 rows, whatever the
+    number of points, so they can always be broadcast.  Cells larger than a
+    degree are made distinct before they are spread over their degrees."""
+    distinct = cells.select("level", "cell_y", "cell_x").distinct()
+    size = F.pow(F.lit(2.0), "level")
+
+    def degrees(cell: str, least: int, most: int) -> Column:
+        low = F.floor(F.col(cell) * size)
+        high = F.greatest(low, F.ceil((F.col(cell) + 1) * size) - 1)
+        return F.sequence(F.greatest(low, F.lit(least)), F.least(high, F.lit(most)))
+
+    spread = distinct.withColumn("y", F.explode(degrees("cell_y", -90, 90))).withColumn(
+        "x", F.explode(degrees("cell_x", -180, 180))
+    )
+    bit = F.expr(f"shiftleft(1, level - ({MIN_LEVEL}))")
+    return spread.groupBy(_tile(F.col("y"), F.col("x")).alias("tile")).agg(F.bit_or(bit).alias("levels"))
+
+
+def _pieces(placed: DataFrame, parts: int) -> DataFrame:
+    """``cell, pieces`` of the cells with more than one part in ``parts`` of the
+    rows: fewer than ``parts`` of them, so they can be broadcast."""
+    counts = placed.groupBy("cell").agg(F.count("*").alias("n"))
+    total = placed.agg(F.count("*").alias("total"))
+    # one row of totals
+    share = F.greatest(F.lit(1.0), F.lit(total.first().total / parts))
+    return counts.filter(F.col("n") > share).select("cell", F.ceil(F.col("n") / share).cast("int").alias("pieces"))
+
+
+def placed_events(events: DataFrame, cells: DataFrame, levels: list[int]) -> DataFrame:
+    """Events with the ``cell`` they are in, once for each level that has a point
+    in the event's square degree; the others drop out without being copied."""
+    lat = F.col("latitude").cast("double")
+    lon = F.col("longitude").cast("double")
+    wrapped = lon - 360.0 * F.floor((lon + 180.0) / 360.0)
+    lon_in_range = F.when((lon >= -180) & (lon <= 180), lon).otherwise(wrapped)
+    # turns around the globe are taken off; NaN is larger than any number
+    on_earth = events.filter((lat >= -90) & (lat <= 90) & (F.abs(lon) <= MOST_TURNED))
+    near = on_earth.withColumn("tile", _tile(lat, lon_in_range)).join(F.broadcast(_occupied_levels(cells)), "tile")
+    places = [
+        F.when(
+            F.col("levels").bitwiseAND(F.lit(1 << (level - MIN_LEVEL))) != 0,
+            _cell_key(F.lit(level), F.floor(lat / 2.0**level), F.floor(lon_in_range / 2.0**level)),
+        )
+        for level in levels or [0]
+    ]
+    return near.withColumn("cell", F.explode(F.array_compact(F.array(*places)))).drop("tile", "levels")
+
+
 def near_points(
-    events: DataFrame, pois: DataFrame, broadcast_points: int = BROADCAST_POINTS, salts: int = SALTS
+    events: DataFrame, pois: DataFrame, broadcast_points: int = BROADCAST_POINTS, parts: int = PARTS
 ) -> DataFrame:
     """Events joined to every point (``schemas.POI``) they are within the radius
     of, after the point's route and type filters: the event columns, ``poi_id``
@@ -132,11 +190,13 @@ def near_points(
 
     An equi-join on grid cells narrows the candidates and the exact distance
     decides.  Every point lives on one level, so an event meets it in one cell
-    only and no pair comes out twice.  Up to ``broadcast_points`` points the
-    events are not shuffled at all; beyond that events of a cell are spread over
-    ``salts`` tasks, so a crowded cell does not end up in one.  Events without a
-    place on the globe are near nothing.  Points as wide as the globe meet every
-    event: that many rows are the result.
+    only and no pair comes out twice.  A broadcast table of the square degrees
+    that points reach drops far events first and names the levels the others are
+    looked up on.  Up to ``broadcast_points`` points the events are not shuffled
+    at all; beyond that the events per cell are counted, and a crowded cell is cut
+    into as many pieces as it needs, so it does not end up in one task.  Events
+    without a place on the globe are near nothing.  Points as wide as the globe
+    meet every event: that many rows are the result.
     """
     cells = _covering_cells(pois)
     # at most MAX_LEVEL - MIN_LEVEL + 1 rows
@@ -144,26 +204,19 @@ def near_points(
     levels = sorted(r.level for r in per_level)
     few = sum(r.n for r in per_level) <= CELLS_PER_POINT * broadcast_points
 
-    lat = F.col("latitude").cast("double")
-    lon = F.col("longitude").cast("double")
-    wrapped = lon - 360.0 * F.floor((lon + 180.0) / 360.0)
-    lon_in_range = F.when((lon >= -180) & (lon <= 180), lon).otherwise(wrapped)
+    placed = placed_events(events, cells, levels)
+    cells = cells.drop("level", "cell_y", "cell_x")
     keys = ["cell"]
-    places = [
-        _cell_key(F.lit(level), F.floor(lat / 2.0**level), F.floor(lon_in_range / 2.0**level))
-        for level in levels or [0]
-    ]
-    # turns around the globe are taken off; NaN is larger than any number
-    on_earth = events.filter((lat >= -90) & (lat <= 90) & (F.abs(lon) <= MOST_TURNED))
-    placed = on_earth.withColumn("cell", F.explode(F.array(*places)))
-    cells = cells.drop("level")
     if few:
         right = F.broadcast(cells)
     else:
+        pieces = F.broadcast(_pieces(placed.select("cell"), parts))
+        number = F.coalesce("pieces", F.lit(1))
         spread = F.xxhash64(*event_order(events), "vehicle_id", "latitude", "longitude")
-        placed = placed.withColumn("salt", F.pmod(spread, F.lit(salts)).cast("int"))
-        right = cells.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        keys = [*keys, "salt"]
+        placed = placed.join(pieces, "cell", "left").withColumn("piece", F.pmod(spread, number).cast("int")).drop("pieces")
+        right = cells.join(pieces, "cell", "left").withColumn("piece", F.explode(F.sequence(F.lit(0), number - 1))).drop("pieces")
+        keys = [*keys, "piece"]
+    lat, lon = F.col("latitude").cast("double"), F.col("longitude").cast("double")
     distance = haversine_km(lat, lon, F.col("poi_latitude"), F.col("poi_longitude"))
     matched = F.col("poi_route").isNull() | (F.col("route_id") == F.col("poi_route"))
     matched = matched & (

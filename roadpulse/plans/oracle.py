@@ -309,6 +309,14 @@ def oracle() -> dict[str, str]:
         "archive_pruned_scan": f"""{VE} select cast(event_id % 4 as integer) as kafka_partition,
             cast(ts as date) as event_date, count(*) as n, round(avg(speed), 6) as avg_speed
             from ve where isodow(ts) = 3 group by all""",
+        "archive_compacted": f"""{VE}, d as (select cast(event_id % 4 as integer) as kafka_partition,
+                cast(ts as date) as event_date, count(*) as n from ve group by all),
+            l as (select *, event_date = date '{DAY}' - 1 and kafka_partition = 1 as late from d)
+            select kafka_partition, event_date, case when late then 2 * n else n end as n,
+                cast(case when event_date < date '{DAY}' and not late then 1 end as bigint) as files from l""",
+        "archive_time_span": f"""{VE} select min(ts) as min_ts, max(ts) as max_ts,
+            cast(floor((epoch_ms(max(ts)) - epoch_ms(min(ts))) / 86400000) as bigint) as span_days from ve""",
+        "archived_offsets": f"{VE} {_NEXT_OFFSETS}",
         "latest_offsets": f"{VE} {_NEXT_OFFSETS}",
         "starting_offsets": f"""{VE}, o as ({_NEXT_OFFSETS}),
             p as (select cast(unnest(range({TOPIC_PARTITIONS})) as integer) as number)

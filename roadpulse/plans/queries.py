@@ -28,7 +28,7 @@ from roadpulse.plans import stream_runs
 from roadpulse.plans.jobs import BatchConfig, publish_changes, published, run_batch
 from roadpulse.schemas import VEHICLE_EVENT, VIEW_KEYS
 from roadpulse.session import prepare, workspace
-from roadpulse.sources import archive, codec, delimited, topic, viewstore
+from roadpulse.sources import archive, codec, compaction, delimited, footers, topic, viewstore
 from roadpulse.sources.testdata import vehicle_events
 from roadpulse.streaming import pipeline
 
@@ -212,7 +212,7 @@ def poi_multi_join(spark, sf_dir):
 def poi_multi_join_salted(spark, sf_dir):
     """The join for point tables too large to broadcast."""
     points = poi.poi_table(spark, POINTS)
-    joined = poi.near_points(vehicle_events(spark, sf_dir), points, broadcast_points=0, salts=8)
+    joined = poi.near_points(vehicle_events(spark, sf_dir), points, broadcast_points=0, parts=8)
     return _near(joined, "poi_id")
 
 
@@ -371,6 +371,46 @@ def archive_pruned_scan(spark, sf_dir):
     )
 
 
+def _archive_in_batches(spark: SparkSession, sf_dir: str, batches: int = 4) -> str:
+    """An archive as a stream leaves it: files of every batch in every folder."""
+    path = workspace(spark, "archive")
+    rows = _decoded(spark, sf_dir)
+    for batch in range(batches):
+        archive.write_archive(rows.filter(F.pmod(F.col("offset"), F.lit(batches)) == batch), path)
+    return path
+
+
+@_query
+def archive_compacted(spark, sf_dir):
+    """Days before ``DAY`` compacted, then one topic partition's rows of a day
+    once more as late ones: that folder is read from the archive again."""
+    path, packed = _archive_in_batches(spark, sf_dir), workspace(spark, "compacted")
+    compaction.compact(spark, path, packed, DAY)
+    late = _decoded(spark, sf_dir).filter(F.to_date("ts") == F.date_sub(F.lit(DAY).cast("date"), 1))
+    archive.write_archive(late.filter("kafka_partition = 1"), path)
+    rows = compaction.read_compacted(spark, path, packed)
+    files = rows.withColumn("file", F.input_file_name()).groupBy("kafka_partition", "event_date")
+    # a compacted folder is one file at this size, one of the archive has several
+    counts = files.agg(F.count("*").alias("n"), F.countDistinct("file").alias("files"))
+    closed = F.col("event_date") < F.lit(DAY).cast("date")
+    again = (F.col("event_date") == F.date_sub(F.lit(DAY).cast("date"), 1)) & (F.col("kafka_partition") == 1)
+    return counts.select(
+        "kafka_partition", "event_date", "n", F.when(closed & ~again, F.col("files")).alias("files")
+    )
+
+
+@_query
+def archive_time_span(spark, sf_dir):
+    """First and last event time of an archive from footers and two days."""
+    return footers.archived_span(spark, _written_archive(spark, sf_dir))
+
+
+@_query
+def archived_offsets(spark, sf_dir):
+    """Next offsets of an archive from file footers alone."""
+    return footers.archived_offsets(spark, _archive_in_batches(spark, sf_dir))
+
+
 @_query
 def latest_offsets(spark, sf_dir):
     return offsets.latest_offsets(_decoded(spark, sf_dir))

@@ -293,12 +293,13 @@ def test_join_matches_brute_force(spark, events_of, broadcast_points):
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1" if broadcast_points == 0 else threshold)
     try:
-        joined = poi.near_points(events_of(rows), poi.poi_table(spark, POINTS), broadcast_points, salts=3)
+        joined = poi.near_points(events_of(rows), poi.poi_table(spark, POINTS), broadcast_points, parts=3)
         found = [(r.event_id, r.poi_id) for r in joined.collect()]
         plan = plan_of(joined)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-    assert ("BroadcastHashJoin" in plan) == (broadcast_points > 0)
+    # beyond the limit the points' side is shuffled, only the square degrees are not
+    assert ("SortMergeJoin" in plan) == (broadcast_points == 0)
     assert len(found) == len(set(found))
     assert set(found) == brute_pairs(rows, POINTS)
 
@@ -320,6 +321,25 @@ def test_radius_is_inclusive(events_of):
     assert poi.near_point(events_of(rows), outside).count() == 0
 
 
+def test_far_events_are_not_copied(spark, events_of):
+    rows = [(i, "a", i, "Route-37", "Bus", lat, lon) for i, (lat, lon) in enumerate([(53.0, -7.0), (53.4, -7.2), (10.0, 10.0), (-89.9, 179.9)])]
+    points = poi.poi_table(
+        spark, [poi.PointOfInterest(53.0, -7.0, 1.0, poi_id="a"), poi.PointOfInterest(53.1, -7.1, 1.1, poi_id="b"), poi.PointOfInterest(10.2, 10.2, 40.0, poi_id="c")]
+    )
+    cells = poi._covering_cells(points)
+    levels = sorted(r.level for r in cells.select("level").distinct().collect())
+    assert len(levels) > 1
+    placed = poi.placed_events(events_of(rows), cells, levels)
+    copies = Counter(r.event_id for r in placed.collect())
+    assert copies[3] == 0 and copies[2] == 1 and all(copies[i] <= len(levels) for i in (0, 1))
+
+
+def test_crowded_cells_are_cut(spark):
+    placed = spark.range(1000).select(F.when(F.col("id") < 500, F.lit(7)).otherwise(F.col("id")).alias("cell"))
+    assert [tuple(r) for r in poi._pieces(placed, 10).collect()] == [(7, 5)]
+    assert poi._pieces(placed.filter("false"), 10).collect() == []
+
+
 def test_join_without_points(spark, events_of):
     assert poi.near_points(events_of([(1, "a", 0)]), poi.poi_table(spark, [])).count() == 0
 

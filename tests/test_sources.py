@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from conftest import at
 from roadpulse import session
-from roadpulse.operators import offsets, poi
+from roadpulse.operators import offsets, poi, traffic
 from roadpulse.schemas import ARCHIVE, LEDGER, TOPIC_RECORD, VIEW_KEYS
-from roadpulse.sources import archive, codec, delimited, topic, viewstore
+from roadpulse.sources import archive, codec, compaction, delimited, footers, topic, viewstore
 
 MESSAGE = {
     "vehicleId": "v1",
@@ -287,3 +287,54 @@ def test_workspace_needs_a_shared_folder_on_a_cluster(spark):
     with pytest.raises(RuntimeError, match="checkpoint"):
         session.workspace(Cluster(), "x")
     assert "/roadpulse/x-" in session.workspace(spark, "x")
+
+
+def test_footers_answer_for_offsets(spark, records_of, tmp_path):
+    path = str(tmp_path / "archive")
+    archive.write_archive(codec.decode(records_of([message(), "{bad"])), path)
+    archive.write_archive(codec.decode(records_of([message()], partition=1, first=12)), path)
+    want = {(r.kafka_partition, r.until_offset) for r in offsets.latest_offsets(archive.read_archive(spark, path)).collect()}
+    assert {(r.kafka_partition, r.until_offset) for r in footers.archived_offsets(spark, path).collect()} == want == {(0, 2), (1, 13)}
+    text = io.StringIO()
+    before = spark.conf.get("spark.sql.sources.useV1SourceList")
+    with footers.footers_only(spark), contextlib.redirect_stdout(text):
+        footers.folder_aggregates(spark, path, F.max("until_offset").alias("until_offset")).explain(mode="formatted")
+    assert "PushedAggregation: [MAX(until_offset)]" in text.getvalue()
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == before
+
+
+def test_span_of_an_archive(spark, records_of, tmp_path):
+    path = str(tmp_path / "archive")
+    archive.write_archive(codec.decode(records_of([message(), "{bad"])), path)
+    rows = codec.good(archive.read_archive(spark, path))
+    assert footers.archived_span(spark, path).collect() == traffic.event_time_span(rows).collect()
+    empty = str(tmp_path / "dead")
+    archive.write_archive(codec.decode(records_of(["{bad"])), empty)
+    assert footers.archived_span(spark, empty).first().min_ts is None
+
+
+def test_finished_days_are_compacted(spark, records_of, tmp_path):
+    path, packed = str(tmp_path / "archive"), str(tmp_path / "packed")
+
+    def files(table):
+        return table.select(F.input_file_name()).distinct().count()
+
+    for batch in range(5):
+        archive.write_archive(codec.decode(records_of([message(), "{bad"], first=2 * batch)), path)
+    rows = archive.read_archive(spark, path)
+    day = codec.good(rows).agg(F.max("event_date")).first()[0]
+    assert compaction.compact(spark, path, packed, str(day)) == 0
+    assert compaction.read_compacted(spark, path, packed).count() == 10
+    following = str(day + timedelta(days=1))
+    assert compaction.compact(spark, path, packed, following) == 1
+    assert compaction.compact(spark, path, packed, following) == 0
+    both = compaction.read_compacted(spark, path, packed)
+    assert sorted(both.select("offset", "status").collect()) == sorted(rows.select("offset", "status").collect())
+    assert files(codec.good(both)) == 1 and files(codec.good(rows)) == 5
+    # a late row: the folder is read from the archive until the next run
+    archive.write_archive(codec.decode(records_of([message()], first=50)), path)
+    late = compaction.read_compacted(spark, path, packed)
+    assert late.filter("offset = 50").count() == 1 and late.count() == 11 and files(codec.good(late)) == 6
+    assert compaction.compact(spark, path, packed, following) == 1
+    again = compaction.read_compacted(spark, path, packed)
+    assert again.count() == 11 and files(codec.good(again)) == 1
