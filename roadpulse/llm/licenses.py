@@ -2,10 +2,13 @@
 
 Every licence template is a list of words.  Word frequencies come from all
 documents; a template is indexed by its rarest words (highest inverse document
-frequency) with their positions.  A file's occurrences of an indexed word vote
-for the alignment ``place in file - place in template``; alignments that
-gather enough distinct words are compared word by word, and a label is given
-if the template's mandatory key phrase stands there in full.
+frequency) with their positions.  The index is one list of postings, word to
+template and position.  Each word of a file is looked up in it once; postings
+vote for the alignment ``place in file - place in template``.  Alignments that
+gather enough distinct words are compared word by word, those of all templates
+together, and a label is given if the template's mandatory key phrase stands
+there in full.  The work depends on the words of the files and the postings
+they hit, not on the number of templates.
 
 A phrase (the base labels) is a template whose key phrase is all of it: its
 rarest word finds every occurrence, the other words verify it.
@@ -17,6 +20,7 @@ gives an empty result.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -38,7 +42,11 @@ class Template:
 
 
 def template(label: str, sentence: str, key: str) -> Template:
-    return Template(label, tuple(sentence.split()), tuple(key.split()))
+    return Template(label, plain_words(sentence), plain_words(key))
+
+
+def plain_words(text: str) -> tuple[str, ...]:
+    return tuple(re.findall(r"[a-z0-9]+", text.lower()))
 
 
 BASE_PHRASES = (
@@ -46,6 +54,38 @@ BASE_PHRASES = (
     template("gpl", "general public license", "general public license"),
     template("reserved", "all rights reserved", "all rights reserved"),
 )
+# Texts of short licences, without the lines that name the holders.
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
+associated documentation files (the "Software"), to deal in the Software without restriction, including without
+limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the
+Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of
+the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT
+LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT
+SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF
+CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN
+THE SOFTWARE."""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is
+hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE
+SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT,
+INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN
+AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR
+PERFORMANCE OF THIS SOFTWARE."""
+BSD_2 = """Redistribution and use in source and binary forms, with or without modification, are permitted provided
+that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice,
+this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above
+copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials
+provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY
+EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS
+FOR A PARTICULAR PURPOSE ARE DISCLAIMED."""
+APACHE_NOTICE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except
+in compliance with the License. You may obtain a copy of the License at
+http://www.apache.org/licenses/LICENSE-2.0"""
+UNLICENSE = """This is free and unencumbered software released into the public domain. Anyone is free to copy,
+modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled
+binary, for any purpose, commercial or non-commercial, and by any means."""
+
 # Notices as projects write them in file headers.
 TEMPLATES = (
     template("apache-2.0", "licensed under the apache license version 2 0", "apache license"),
@@ -56,10 +96,17 @@ TEMPLATES = (
     template("lgpl", "under the terms of the gnu lesser general public license", "lesser general public license"),
     template("mit", "released under the mit license", "mit license"),
     template("mit", "permission is hereby granted free of charge to any person obtaining a copy", "permission is hereby granted free of charge"),
+    template("apache-2.0", APACHE_NOTICE, "licensed under the apache license version 2 0"),
+    template("bsd-2-clause", BSD_2, "redistribution and use in source and binary forms"),
+    template("isc", ISC, "permission to use copy modify and or distribute this software"),
+    template("mit", MIT, "permission is hereby granted free of charge"),
+    template("unlicense", UNLICENSE, "free and unencumbered software"),
     template("mpl-2.0", "subject to the terms of the mozilla public license", "mozilla public license"),
 )
 RARE = 4
 COVER = 0.6
+# words compared in one pass over alignments
+COMPARED = 1 << 20
 
 
 def hash_words(words) -> np.ndarray:
@@ -99,6 +146,91 @@ def document_frequencies(docs: DataFrame, vocabulary: list[str]) -> tuple[int, d
     return found.get(len(vocabulary), 0), {w: found.get(i, 0) for i, w in enumerate(vocabulary)}
 
 
+@dataclass(frozen=True)
+class Index:
+    """Postings sorted by word, and the templates' words one after the other.
+
+    ``posting_word`` has each indexed word once; its postings are
+    ``first_posting[i] .. first_posting[i + 1]`` of ``template`` and ``position``."""
+
+    labels: list[str]
+    phrase: np.ndarray
+    needed: np.ndarray
+    first_word: np.ndarray
+    words: np.ndarray
+    weights: np.ndarray
+    in_key: np.ndarray
+    posting_word: np.ndarray
+    first_posting: np.ndarray
+    template: np.ndarray
+    position: np.ndarray
+
+    @classmethod
+    def of(cls, phrases, templates, idf: dict[str, float], code: dict[str, int], rare: int) -> Index:
+        """A phrase is indexed by its rarest word, a template by its ``rare`` rarest."""
+        both = (*phrases, *templates)
+        postings, in_key, needed = [], [], []
+        for number, t in enumerate(both):
+            most = 1 if number < len(phrases) else rare
+            order = sorted(range(len(t.words)), key=lambda i: (-idf[t.words[i]], i))[:most]
+            postings += [(code[t.words[i]], number, i) for i in order]
+            needed.append(min(2, len(order)) if number >= len(phrases) else 1)
+            key = next(i for i in range(len(t.words)) if t.words[i : i + len(t.key)] == t.key)
+            in_key += [key <= i < key + len(t.key) for i in range(len(t.words))]
+        postings.sort()
+        word, number, position = (np.array(x) for x in zip(*postings))
+        unique, first = np.unique(word.astype(np.uint64), return_index=True)
+        return cls(
+            labels=[t.label for t in both],
+            phrase=np.arange(len(both)) < len(phrases),
+            needed=np.array(needed),
+            first_word=np.cumsum([0] + [len(t.words) for t in both]),
+            words=np.array([code[w] for t in both for w in t.words], dtype=np.uint64),
+            weights=np.array([idf[w] for t in both for w in t.words]),
+            in_key=np.array(in_key),
+            posting_word=unique,
+            first_posting=np.append(first, len(postings)),
+            template=number,
+            position=position,
+        )
+
+    def alignments(self, words, of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Document, template and start of every alignment with enough votes."""
+        at = np.minimum(np.searchsorted(self.posting_word, words.hashes), len(self.posting_word) - 1)
+        hit = np.flatnonzero(self.posting_word[at] == words.hashes)
+        low, number = self.first_posting[at[hit]], np.diff(self.first_posting)[at[hit]]
+        place = np.repeat(hit, number)
+        posting = np.repeat(low - np.cumsum(number) + number, number) + np.arange(number.sum())
+        votes = np.stack([of[place], self.template[posting], place - self.position[posting]])
+        found, count = np.unique(votes, axis=1, return_counts=True)
+        doc, template, start = found[:, count >= self.needed[found[1]]]
+        return doc, template, start
+
+    def compared(self, words, doc: np.ndarray, template: np.ndarray, start: np.ndarray):
+        """For each alignment: is the key phrase there, how many words stand at
+        their place, and what share of the weight they have."""
+        size = np.diff(self.first_word)[template]
+        key, equal, share = np.zeros(len(doc), bool), np.zeros(len(doc), np.int64), np.zeros(len(doc))
+        ends = np.cumsum(size)
+        low = 0
+        while low < len(doc):
+            before = ends[low] - size[low]
+            high = max(low + 1, int(np.searchsorted(ends, before + COMPARED, side="right")))
+            n = size[low:high]
+            head = np.cumsum(n) - n
+            shift = np.arange(n.sum()) - np.repeat(head, n)
+            word = np.repeat(self.first_word[template[low:high]], n) + shift
+            spot, text = np.repeat(start[low:high], n) + shift, np.repeat(doc[low:high], n)
+            same = (spot >= words.first[text]) & (spot < words.first[text + 1])
+            same &= words.hashes[np.where(same, spot, 0)] == self.words[word]
+            weight = self.weights[word]
+            key[low:high] = np.logical_and.reduceat(same | ~self.in_key[word], head)
+            equal[low:high] = np.add.reduceat(same.astype(np.int64), head)
+            share[low:high] = np.add.reduceat(weight * same, head) / np.add.reduceat(weight, head)
+            low = high
+        return key, equal, share
+
+
 def scan(
     docs: DataFrame,
     phrases: tuple[Template, ...] = BASE_PHRASES,
@@ -118,66 +250,33 @@ def scan(
     total, frequency = document_frequencies(docs, vocabulary)
     idf = {w: float(np.log((1 + total) / (1 + n)) + 1) for w, n in frequency.items()}
     code = dict(zip(vocabulary, hash_words(vocabulary).tolist()))
-
-    def entry(t: Template, most: int):
-        """Word codes, weights, indexed places, place of the key phrase."""
-        order = sorted(range(len(t.words)), key=lambda i: (-idf[t.words[i]], i))[:most]
-        key = next(i for i in range(len(t.words)) if t.words[i : i + len(t.key)] == t.key)
-        return t.label, [code[w] for w in t.words], [idf[w] for w in t.words], order, (key, key + len(t.key))
-
-    base_index = [entry(t, 1) for t in phrases]
-    index = [entry(t, rare) for t in templates]
+    index = Index.of(phrases, templates, idf, code, rare)
 
     def make():
         tokeniser = Tokeniser("alnum", True)
 
-        def places(words, doc, codes, at, where):
-            """Does the word ``codes[at]`` stand ``at`` words after ``where``, in the same text?"""
-            spot = where + at
-            inside = (spot >= words.first[doc]) & (spot < words.first[doc + 1])
-            return inside & (words.hashes[np.where(inside, spot, 0)] == np.uint64(codes[at]))
-
         def step(batch: pa.RecordBatch):
             for low, high, data, offsets in slices(batch.column("text")):
                 words = tokeniser.words(data, offsets)
-                n, of = high - low, words.doc_of()
-                wanted = {codes[i] for _, codes, _, order, _ in (*base_index, *index) for i in order}
-                known = np.array(sorted(wanted), dtype=np.uint64)
-                some = np.flatnonzero(np.isin(words.hashes, known))
-                found = {c: some[words.hashes[some] == np.uint64(c)] for c in wanted}
-                n_base, first, last = np.zeros(n, np.int64), np.full(n, np.iinfo(np.int64).max), np.full(n, -1)
-                base, labels = [set() for _ in range(n)], [set() for _ in range(n)]
-                matches, score = [[] for _ in range(n)], np.zeros(n)
-                for label, codes, _, order, _ in base_index:
-                    where = found[codes[order[0]]] - order[0]
-                    doc = of[where + order[0]]
-                    for i in range(len(codes)):
-                        keep = places(words, doc, codes, i, where)
-                        where, doc = where[keep], doc[keep]
-                    at = where - words.first[doc]
-                    np.add.at(n_base, doc, 1)
-                    np.minimum.at(first, doc, at)
-                    np.maximum.at(last, doc, at)
-                    score[doc] = 1.0
-                    for d, a in zip(doc.tolist(), at.tolist()):
-                        base[d].add(label)
-                        matches[d].append((label, a, len(codes)))
-                for label, codes, weights, order, (key, key_end) in index:
-                    votes = np.concatenate([found[codes[i]] - i for i in order])
-                    doc = np.concatenate([of[found[codes[i]]] for i in order])
-                    # alignments before the first text would wrap around: kept apart by text
-                    pair, count = np.unique(np.stack([doc, votes]), axis=1, return_counts=True)
-                    pair = pair[:, count >= min(2, len(order))]
-                    if not pair.shape[1]:
-                        continue
-                    doc, where = pair
-                    equal = np.stack([places(words, doc, codes, i, where) for i in range(len(codes))])
-                    share = np.array(weights) @ equal / sum(weights)
-                    good = equal[key:key_end].all(axis=0) & (share >= cover)
-                    np.maximum.at(score, doc[good], share[good])
-                    for d, w, e in zip(doc[good].tolist(), where[good].tolist(), equal.sum(axis=0)[good].tolist()):
-                        labels[d].add(label)
-                        matches[d].append((label, max(0, int(w - words.first[d])), int(e)))
+                n = high - low
+                doc, template, start = index.alignments(words, words.doc_of())
+                key, equal, share = index.compared(words, doc, template, start)
+                good = key & (share >= cover)
+                doc, template, start, equal, share = (x[good] for x in (doc, template, start, equal, share))
+                at = start - words.first[doc]
+                base = index.phrase[template]
+                first, last, score = np.full(n, np.iinfo(np.int64).max), np.full(n, -1), np.zeros(n)
+                n_base = np.bincount(doc[base], minlength=n)
+                np.minimum.at(first, doc[base], at[base])
+                np.maximum.at(last, doc[base], at[base])
+                np.maximum.at(score, doc, np.where(base, 1.0, share))
+                base_labels, labels, matches = [set() for _ in range(n)], [set() for _ in range(n)], [[] for _ in range(n)]
+                for d, t, a, e in zip(doc.tolist(), template.tolist(), at.tolist(), equal.tolist()):
+                    label = index.labels[t]
+                    labels[d].add(label)
+                    matches[d].append((label, max(0, a), e))
+                    if index.phrase[t]:
+                        base_labels[d].add(label)
                 none = n_base == 0
                 yield {
                     "doc_id": batch.column("doc_id").slice(low, n),
@@ -185,8 +284,8 @@ def scan(
                     "n_base": n_base,
                     "first_word": pa.array(first, mask=none),
                     "last_word": pa.array(last, mask=none),
-                    "base_labels": [sorted(x) for x in base],
-                    "labels": [sorted(a | b) for a, b in zip(base, labels)],
+                    "base_labels": [sorted(x) for x in base_labels],
+                    "labels": [sorted(x) for x in labels],
                     "matches": [[{"label": a, "word": b, "equal": c} for a, b, c in sorted(m)] for m in matches],
                     "score": np.minimum(score, 1.0),
                 }

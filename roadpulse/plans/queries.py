@@ -371,7 +371,7 @@ def archive_pruned_scan(spark, sf_dir):
     )
 
 
-def _archive_in_batches(spark: SparkSession, sf_dir: str, batches: int = 4) -> str:
+def _archive_in_batches(spark: SparkSession, sf_dir: str, batches: int = 2) -> str:
     """An archive as a stream leaves it: files of every batch in every folder."""
     path = workspace(spark, "archive")
     rows = _decoded(spark, sf_dir)
