@@ -178,8 +178,8 @@ class Index:
             key = next(i for i in range(len(t.words)) if t.words[i : i + len(t.key)] == t.key)
             in_key += [key <= i < key + len(t.key) for i in range(len(t.words))]
         postings.sort()
-        word, number, position = (np.array(x) for x in zip(*postings))
-        unique, first = np.unique(word.astype(np.uint64), return_index=True)
+        word, number, position = (np.array(x, dtype=t) for x, t in zip(zip(*postings), (np.uint64, np.int64, np.int64)))
+        unique, first = np.unique(word, return_index=True)
         return cls(
             labels=[t.label for t in both],
             phrase=np.arange(len(both)) < len(phrases),

@@ -123,6 +123,7 @@ def tile_bounds(queries, candidates) -> tuple[np.ndarray, np.ndarray]:
     q, t, nq, e = candidates
     # as float32 for the matrix product, which is exact for integers below 2**24:
     # 127 * 127 * 1040 components
+    p, q = (x.astype(np.float32, copy=False) for x in (p, q))
     step = 1024
     product = sum((p[:, i : i + step] @ q[:, i : i + step].T).astype(np.float64) for i in range(0, p.shape[1], step))
     near = product * s[:, None] * t[None, :]

@@ -338,7 +338,7 @@ def test_neighbours(spark):
     odd += [(300, []), (320, [1.0, 2.0]), (321, [2.0, 1.0]), (None, [1.0] * 8), (20, rows[20][1]), (400, [1e-310] * 8)]
     table = spark.createDataFrame([(*r, 3) for r in rows + odd], "vec_id long, embedding array<double>, score int")
     got = defaultdict(list)
-    for r in neighbours.nearest(table, table["vec_id"] % 20 == 0, k=5, groups=3).orderBy("query_id", "rank").collect():
+    for r in neighbours.nearest(table, table["vec_id"] % 20 == 0, k=5, block=16, query_block=4, candidate_blocks=2, query_blocks=2).orderBy("query_id", "rank").collect():
         got[r["query_id"]].append((r["vec_id"], r["score"]))
     valid = [(i, v) for i, v in rows + odd if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)]
     for q, v in {i: v for i, v in valid if i % 20 == 0}.items():
@@ -346,6 +346,68 @@ def test_neighbours(spark):
         assert got.pop(q) == [(i, -s) for s, i in scores[:5]]
     assert not got
     assert neighbours.nearest(table.limit(0), table["vec_id"] % 20 == 0).count() == 0
+    single = table.withColumn("embedding", table["embedding"].cast("array<float>"))
+    double = single.withColumn("embedding", single["embedding"].cast("array<double>"))
+    found = [sorted(neighbours.nearest(t, t["vec_id"] % 20 == 0, k=5).collect()) for t in (single, double)]
+    assert found[0] == found[1] and neighbours.usable(single).schema["embedding"].dataType.simpleString() == "array<float>"
+
+
+def test_blocks_hold_int8(spark):
+    vectors = np.random.default_rng(6).normal(size=(300, 16))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>")
+    rows = neighbours.blocks(neighbours.usable(table), 64).collect()
+    assert sum(len(r["codes"]) for r in rows) == 300 * 16 and sum(len(r["data"]) for r in rows) == 300 * 16 * 4
+    left = neighbours.quantised(vectors[:40])
+    assert left[0].dtype == np.int8
+    low, high = neighbours.tile_bounds(left, neighbours.quantised(vectors))
+    product = vectors[:40] @ vectors.T
+    assert (low <= product).all() and (product <= high).all()
+    query, other, scores = np.array([0, 0, 0, 1, 1]), np.array([9, 4, 7, 2, 3]), np.array([1.0, 1.0, 2.0, 5.0, 6.0])
+    assert neighbours.best_of(query, other, scores, 2).tolist() == [2, 1, 4, 3]
+
+
+def test_whole_licences_and_many_templates(spark):
+    lead = "Copyright 2020 somebody\n\n"
+    damaged = licenses.MIT.replace("merge", "combine").replace("deal in", "trade in")
+    texts = [lead + licenses.MIT, lead + licenses.ISC + " x " + licenses.MIT, damaged, licenses.MIT[300:], "mit license", licenses.BSD_2]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in licenses.scan(table).collect()}
+    assert [got[i]["labels"] for i in range(6)] == [["mit"], ["isc", "mit"], ["mit"], [], [], ["bsd", "bsd-2-clause"]]
+    # the short notice is in it unchanged, of the whole text two words differ
+    assert max(m["equal"] for m in got[2]["matches"]) == len(licenses.plain_words(licenses.MIT)) - 2
+    whole = max(got[1]["matches"], key=lambda m: m["equal"])
+    assert whole["word"] == 3 + len(licenses.plain_words(licenses.ISC)) + 1 and whole["equal"] == len(licenses.plain_words(licenses.MIT))
+    # other templates change nothing but the weights of words
+    more = tuple(licenses.template(f"t{i}", f"terms number {i} of the licence {i + 1} are special", "of the licence") for i in range(300))
+    again = {r["doc_id"]: r for r in licenses.scan(table, templates=licenses.TEMPLATES + more).collect()}
+    assert {i: r["labels"] for i, r in again.items()} == {i: r["labels"] for i, r in got.items()}
+
+
+def test_alignments_against_brute_force():
+    rng = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(12)]
+    templates = tuple(licenses.Template(f"t{i}", tuple(w), tuple(w[2:4])) for i, w in enumerate(rng.choices(vocabulary, k=rng.randint(4, 9)) for _ in range(30)))
+    code = dict(zip(vocabulary, licenses.hash_words(vocabulary).tolist()))
+    idf = {w: 1.0 + i for i, w in enumerate(vocabulary)}
+    index = licenses.Index.of((), templates, idf, code, 3)
+    texts = [rng.choices(vocabulary, k=rng.randint(0, 60)) for _ in range(20)]
+    data = [" ".join(t).encode() for t in texts]
+    offsets = np.cumsum([0] + [len(d) for d in data])
+    words = textbytes.Tokeniser("alnum", True).words(np.frombuffer(b"".join(data), dtype=np.uint8), offsets)
+    doc, number, start = index.alignments(words, words.doc_of())
+    key, equal, share = index.compared(words, doc, number, start)
+    got = {(d, t, s - words.first[d]): (k, e, round(x, 9)) for d, t, s, k, e, x in zip(doc, number, start, key, equal, share)}
+    want = {}
+    for d, text in enumerate(texts):
+        for n, t in enumerate(templates):
+            rare = sorted(range(len(t.words)), key=lambda i: (-idf[t.words[i]], i))[:3]
+            begin = next(i for i in range(len(t.words)) if t.words[i : i + 2] == t.key)
+            for s in range(-len(t.words), len(text)):
+                same = [0 <= s + i < len(text) and text[s + i] == w for i, w in enumerate(t.words)]
+                if sum(same[i] for i in rare) >= 2:
+                    weights = [idf[w] for w in t.words]
+                    want[d, n, s] = (all(same[begin : begin + 2]), sum(same), round(sum(w for w, x in zip(weights, same) if x) / sum(weights), 9))
+    assert got == want and len(want) > 50
 
 
 def test_viterbi_finds_the_best_path():
