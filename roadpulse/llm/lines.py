@@ -2,21 +2,22 @@
 
 1. Every line is hashed.  In each window of ``run`` neighbouring lines the
    leftmost line of least hash is selected; the selected lines are a document's
-   fingerprints.  Equal windows select equal lines, so a run of ``run`` equal
-   lines is guaranteed to share a fingerprint.
+   fingerprints, and only they go on, each with the ``run - 1`` hashes on either
+   side.  Equal windows select equal lines, so a run of ``run`` equal lines is
+   guaranteed to share a fingerprint.
 2. Fingerprints are counted (combined before the shuffle); those found twice
    or more are joined with their positions.
-3. A match is extended both ways: around a shared fingerprint, all windows that
-   selected it are compared by the hash of their lines.  Overlapping windows
-   found elsewhere make up the longest matching runs.
-4. The first occurrence of a window stays, in the order of doc_id, text hash
+3. A match is extended from the shared line both ways, over the hashes beside
+   it, to the windows that selected it.  An extension's first position is joined
+   back to the others.  Matches of neighbouring fingerprints overlap and make up
+   the longest matching runs.
+4. The first occurrence of an extension stays, in the order of doc_id, text hash
    and line; lines covered by a later one are deleted.
 
 With ``long`` given, a line of that many characters or more is a window of its
 own as well, whatever stands beside it, and its own fingerprint: a passage
 planted as one line goes although its neighbours differ, and so does a document
-that is nothing else.  The pipeline takes ``LONG``; ``op4_line_dedup`` is held
-to its SQL, which knows runs of ``RUN`` lines only.
+that is nothing else.  Both the pipeline and ``op4_line_dedup`` take ``LONG``.
 
 Nothing is paired: a window's occurrences are compared with the first one, so a
 line held by a third of all documents costs its occurrences.  All windows are
@@ -28,7 +29,7 @@ equal results.  Further columns are kept.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.llm.substrings import same_place
@@ -40,36 +41,68 @@ LONG = 200
 PLACE = ["doc_id", "text_hash"]
 
 
-def windows(docs: DataFrame, run: int, long: int | None = None) -> DataFrame:
-    """``doc_id, text_hash, low`` (first line), ``number`` (of lines), ``mark``
-    (the selected line's hash), ``shift`` (its place) and ``whole`` (hash of the
-    window's lines)."""
-    span = "array<struct<low:int,number:int>>"
-    lines = docs.select(*PLACE, F.split("text", "\n").alias("lines"))
-    runs = F.transform(F.sequence(F.lit(0), F.size("lines") - run), lambda x: F.struct(x.alias("low"), F.lit(run).alias("number")))
-    spans = F.when(F.size("lines") >= run, runs.cast(span)).otherwise(F.array().cast(span))
+def fingerprints(docs: DataFrame, run: int, long: int | None = None) -> DataFrame:
+    """``doc_id, text_hash, line, mark`` (its hash), ``near`` (the hashes of the
+    lines around it), ``at`` (its place among them) and ``number`` (of lines in a
+    window): one row for each selected line, and one for each long line."""
+    hashed = docs.select(
+        *PLACE,
+        F.transform(F.split("text", "\n"), lambda x: F.xxhash64(x)).alias("hashes"),
+        F.transform(F.split("text", "\n"), F.length).alias("sizes"),
+    )
+    last = F.size("hashes") - run
+
+    def least(low: Column) -> Column:
+        window = F.slice("hashes", low + 1, run)
+        return low + F.array_position(window, F.array_min(window)).cast("int") - 1
+
+    none = F.array().cast("array<int>")
+    picked = hashed.withColumn("picked", F.when(last >= 0, F.array_distinct(F.transform(F.sequence(F.lit(0), last), least))).otherwise(none))
+
+    def around(line: Column) -> Column:
+        low = F.greatest(line - (run - 1), F.lit(0))
+        near = F.slice("hashes", low + 1, line - low + run)
+        return F.struct(line.alias("line"), near.alias("near"), (line - low).alias("at"), F.lit(run).alias("number"))
+
+    prints = F.transform("picked", around)
     if long is not None:
-        each = F.transform("lines", lambda x, i: F.struct(F.when(F.length(x) >= long, i).alias("low"), F.lit(1).alias("number")))
-        spans = F.concat(spans, F.filter(each, lambda x: x["low"].isNotNull()).cast(span))
-    hashed = lines.select(*PLACE, spans.alias("spans"), F.transform("lines", lambda x: F.xxhash64(x)).alias("hashes"))
-    starts = hashed.select(*PLACE, "hashes", F.inline("spans"))
-    cut = starts.select(*PLACE, "low", "number", F.slice("hashes", F.col("low") + 1, F.col("number")).alias("lines"))
-    least = cut.withColumn("mark", F.array_min("lines"))
-    return least.select(
-        *PLACE, "low", "number", "mark", F.array_position("lines", F.col("mark")).cast("int").alias("shift"), F.xxhash64("lines").alias("whole")
+        alone = F.transform("sizes", lambda x, i: F.when(x >= long, i))
+        alone = F.transform(
+            F.array_compact(alone),
+            lambda i: F.struct(i.alias("line"), F.slice("hashes", i + 1, 1).alias("near"), F.lit(0).alias("at"), F.lit(1).alias("number")),
+        )
+        prints = F.concat(prints, alone)
+    rows = picked.select(*PLACE, F.inline(prints))
+    return rows.select(*PLACE, "line", F.element_at("near", F.col("at") + 1).alias("mark"), "near", "at", "number")
+
+
+def extended(prints: DataFrame) -> DataFrame:
+    """``doc_id, text_hash, mark, number, low`` and ``whole`` (hash of the lines)
+    of the windows around a fingerprint that select it."""
+
+    def selects(shift: Column) -> Column:
+        window = F.slice("near", shift + 1, F.col("number"))
+        return shift + F.array_position(window, F.array_min(window)) - 1 == F.col("at")
+
+    shifts = F.filter(F.sequence(F.lit(0), F.size("near") - F.col("number")), selects)
+    rows = prints.select(*PLACE, "line", "mark", "near", "at", "number", F.explode(shifts).alias("shift"))
+    lines = F.slice("near", F.col("shift") + 1, F.col("number"))
+    return rows.select(
+        *PLACE, "mark", "number", (F.col("line") - F.col("at") + F.col("shift")).alias("low"), F.xxhash64(lines).alias("whole")
     )
 
 
 def later_windows(docs: DataFrame, run: int, long: int | None = None) -> DataFrame:
-    """``doc_id, text_hash, low, number`` of the windows whose lines stand earlier too."""
-    found = written(windows(docs, run, long), "line_windows")
-    prints = found.select(*PLACE, "mark", (F.col("low") + F.col("shift")).alias("line")).distinct()
-    shared = prints.groupBy("mark").agg(F.count("*").alias("n")).filter("n > 1").select("mark")
-    near = written(found.join(shared, "mark").distinct(), "line_matches")
-    key = ["mark", "shift", "whole", "number"]
+    """``doc_id, text_hash, low, number`` of the windows whose lines stand earlier
+    too, and ``first``, the position where they do."""
+    prints = written(fingerprints(docs, run, long), "line_prints")
+    shared = prints.groupBy("mark", "number").agg(F.count("*").alias("n")).filter("n > 1").select("mark", "number")
+    # rows equal in id and text are one document
+    near = written(extended(prints.join(shared, ["mark", "number"])).distinct(), "line_matches")
+    key = ["mark", "number", "whole"]
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", "low")
-    first = near.groupBy(*key).agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    return near.join(first, key).filter(~place.eqNullSafe(F.col("first"))).select(*PLACE, "low", "number")
+    first = near.groupBy(*key).agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    return near.join(first, key).filter(~place.eqNullSafe(F.col("first"))).select(*PLACE, "low", "number", "first")
 
 
 def cleaned(docs: DataFrame, run: int, long: int | None = None) -> DataFrame:
@@ -126,7 +159,7 @@ def without_repeated_lines(docs: DataFrame, run: int = RUN, long: int | None = L
 
 
 def op4_line_dedup(spark, sf_dir: str) -> DataFrame:
-    found = remove_repeated_lines(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    found = remove_repeated_lines(spark.read.parquet(f"{sf_dir}/documents.parquet"), RUN, LONG)
     return found.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
@@ -139,8 +172,10 @@ with l as (
         lead(k) over (partition by doc_id order by k) as k2 from l
 ), f as (
     select doc_id, k, row_number() over (partition by line, next order by doc_id, k) as n from w where k2 is not null
+), g as (
+    select doc_id, k, row_number() over (partition by line order by doc_id, k) as n from l where length(line) >= 200
 ), c as (
-    select distinct doc_id, k + d as k from f, (values (0), (1)) t(d) where n > 1
+    select doc_id, k from f where n > 1 union select doc_id, k + 1 from f where n > 1 union select doc_id, k from g where n > 1
 ), j as (
     select l.doc_id, count(*) as n_lines, count(c.k) as n_removed,
         sha256(coalesce(string_agg(case when c.k is null then line end, chr(10) order by l.k), '')) as kept_sha256

@@ -177,6 +177,31 @@ def test_decontamination(spark, docs, nothing, monkeypatch, most):
     assert leaks.without_leaks(docs, table.limit(0)).count() == docs.count()
 
 
+def test_fingerprints_are_selected_lines(spark):
+    """Every window has its least line among the fingerprints, and only such lines are."""
+    rng = random.Random(3)
+    texts = ["\n".join(f"l{rng.randrange(40)}" for _ in range(n)) for n in (0, 1, 2, 3, 4, 50, 300)] + [None]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").selectExpr("*", "xxhash64(text) as text_hash")
+    hashes = {r["l"]: r["h"] for r in spark.createDataFrame([(f"l{i}",) for i in range(40)] + [("",)], "l string").selectExpr("l", "xxhash64(l) as h").collect()}
+    for run in (2, 4):
+        got = defaultdict(dict)
+        for r in lines.fingerprints(table, run).collect():
+            got[r["doc_id"]][r["line"]] = r
+        for i, text in enumerate(texts):
+            h = [hashes[x] for x in text.split("\n")] if text is not None else []
+            want = {s + h[s : s + run].index(min(h[s : s + run])) for s in range(len(h) - run + 1)}
+            assert set(got[i]) == want
+            for p, r in got[i].items():
+                assert r["mark"] == h[p] == r["near"][r["at"]] and r["near"] == h[max(p - run + 1, 0) : p + run]
+        assert len(got[6]) < 0.8 * 299 if run == 2 else len(got[6]) < 0.55 * 297
+
+
+def test_source_of_a_later_run(spark):
+    table = spark.createDataFrame([(1, "a\nb\nc\nd"), (2, "x\nb\nc\nd\ny"), (3, "c\nd")], "doc_id long, text string")
+    got = lines.later_windows(table.selectExpr("*", "xxhash64(text) as text_hash"), 2).collect()
+    assert sorted((r["doc_id"], r["low"], r["first"]["doc_id"], r["first"]["low"]) for r in got) == [(2, 1, 1, 1), (2, 2, 1, 2), (3, 0, 1, 2)]
+
+
 @pytest.mark.parametrize("run", [1, 2, 3])
 def test_line_dedup(docs, nothing, run):
     rows = [(i, t) for i, t in corpus()]
