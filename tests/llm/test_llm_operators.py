@@ -225,8 +225,8 @@ def test_line_dedup(docs, nothing, run):
     assert lines.remove_repeated_lines(nothing, run).count() == 0
 
 
-@pytest.mark.parametrize("window, gram", [(35, 8), (5, 2), (3, 3)])
-def test_substring_dedup(docs, nothing, window, gram):
+@pytest.mark.parametrize("window, gram, crowd", [(35, 8, 4096), (35, 8, 1), (5, 2, 4096), (5, 2, 2), (3, 3, 4096)])
+def test_substring_dedup(docs, nothing, window, gram, crowd):
     rows = corpus()
     count = Counter(tuple(w[i : i + window]) for w in (spaced(t) for _, t in rows) for i in range(len(w) - window + 1))
     want = Counter()
@@ -234,11 +234,42 @@ def test_substring_dedup(docs, nothing, window, gram):
         w = spaced(t)
         gone = {k for s in range(len(w) - window + 1) if count[tuple(w[s : s + window])] > 1 for k in range(s, s + window)}
         want[(i, len(w), len(gone), " ".join(x for k, x in enumerate(w) if k not in gone))] += 1
-    got = substrings.remove_repeats(docs, window, gram).collect()
+    got = substrings.remove_repeats(docs, window, gram, crowd).collect()
     assert by_row(got, "doc_id", "n_words", "n_removed", "kept") == want
     assert substrings.remove_repeats(nothing).count() == 0
 
 
+def test_parse_is_greedy_and_longest():
+    rng = np.random.default_rng(3)
+    window, gram = 6, 2
+    reach, width = window - gram, 2 * window - gram
+    for _ in range(40):
+        n = int(rng.integers(1, 12))
+        anchors = rng.integers(1, 3, n)
+        table = rng.integers(1, 3, (n, width))
+        first = rng.integers(0, reach + 1, n)
+        count = np.array([int(rng.integers(1, reach + 2 - f)) for f in first])
+        for i in range(n):
+            table[i, : first[i]] = 0
+            table[i, first[i] + count[i] + window - 1 :] = 0
+        want = []
+        for i in range(n):
+            at = first[i]
+            while at < first[i] + count[i]:
+                long = 0
+                for j in range(n):
+                    if j != i and anchors[j] == anchors[i] and first[j] <= at < first[j] + count[j]:
+                        k = 0
+                        while at + k < width and table[i, at + k] == table[j, at + k] != 0:
+                            k += 1
+                        long = max(long, k)
+                if long >= window:
+                    want.append((i, at, long - window + 1))
+                at += long - window + 1 if long >= window else 1
+        got = substrings.parse(anchors.astype(">u8"), table.astype(">u8"), first, count, window)
+        assert sorted(zip(*map(list, got))) == sorted(want)
+
+
 def test_plan_is_cheapest():
     rng = np.random.default_rng(0)
     for _ in range(60):
