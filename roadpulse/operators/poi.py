@@ -12,7 +12,7 @@ from roadpulse.functions.times import event_time
 from roadpulse.operators.sightings import event_order
 from roadpulse.operators.traffic import AsOf
 from roadpulse.schemas import POI, POI_VIEW
-from roadpulse.sources.viewstore import latest_per_key
+from roadpulse.sources.viewstore import POI_TTL_SECONDS, latest_per_key
 
 # Cells of the many-points join are 2**level degrees wide.
 MIN_LEVEL, MAX_LEVEL = -7, 9
@@ -53,6 +53,25 @@ def near_point(events: DataFrame, poi: PointOfInterest) -> DataFrame:
     The point is a literal, so there is no join; its bounding box consists of
     plain comparisons that reach the Parquet scan of an archive.
     """
+    inside, distance = _inside(poi)
+    return (
+        events.filter(inside)
+        .withColumn("distance_km", distance)
+        .filter(F.col("distance_km") <= poi.radius_km)
+    )
+
+
+def near_point_on_clock(events: DataFrame, poi: PointOfInterest) -> DataFrame:
+    """The same rows of a stream with a watermark.  A plain filter is moved below
+    the watermark, whose clock would then stand still while nobody is near; rows
+    left out by a generator carry it on."""
+    inside, distance = _inside(poi)
+    near = F.when(inside & (distance <= poi.radius_km), F.array(distance))
+    return events.select("*", F.explode(near).alias("distance_km"))
+
+
+def _inside(poi: PointOfInterest) -> tuple[Column, Column]:
+    """Bounding box and filters of a point, and the distance to it."""
     lat, lon = F.col("latitude").cast("double"), F.col("longitude").cast("double")
     lat_min, lat_max, lon_min, lon_max = bounding_box(poi.latitude, poi.longitude, poi.radius_km)
     inside = (lat >= lat_min) & (lat <= lat_max)
@@ -63,12 +82,7 @@ def near_point(events: DataFrame, poi: PointOfInterest) -> DataFrame:
         inside = inside & (F.col("route_id") == poi.route)
     if poi.vehicle is not None:
         inside = inside & F.col("vehicle_type").contains(poi.vehicle)
-    distance = haversine_km(lat, lon, F.lit(poi.latitude), F.lit(poi.longitude))
-    return (
-        events.filter(inside)
-        .withColumn("distance_km", distance)
-        .filter(F.col("distance_km") <= poi.radius_km)
-    )
+    return inside, haversine_km(lat, lon, F.lit(poi.latitude), F.lit(poi.longitude))
 
 
 # Longitudes up to this many degrees are turned back into range.
@@ -250,3 +264,27 @@ def latest_per_vehicle(near: DataFrame) -> DataFrame:
     )
     rows = latest_per_key(kept, ["vehicle_id"], order)
     return poi_rows(rows, F.col("ts")).select([f.name for f in POI_VIEW.fields])
+
+
+def visits(near: DataFrame, ttl_seconds: int = POI_TTL_SECONDS) -> DataFrame:
+    """When each vehicle's row appears on the view and when it vanishes:
+    ``vehicle_id, appeared_at, vanished_at, events``.
+
+    A row vanishes ``ttl_seconds`` after the vehicle's last event near the point
+    unless another one comes before or at that moment.  Works on batch and, with
+    a watermark on ``ts``, on streaming input, where a visit is written once the
+    watermark has passed its end.  Sessions are merged per task before the
+    shuffle if ``spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition``
+    is set, which suits a vehicle with a large part of the events.  Events without
+    a vehicle are one visitor; those without a time are left out."""
+    stay = F.session_window("ts", f"{ttl_seconds} seconds").alias("stay")
+    counted = near.groupBy("vehicle_id", stay).agg(F.count("*").alias("events"))
+    return counted.select(
+        "vehicle_id", F.col("stay.start").alias("appeared_at"), F.col("stay.end").alias("vanished_at"), "events"
+    )
+
+
+def present(rows: DataFrame, as_of: AsOf | Column) -> DataFrame:
+    """Visits whose row shows at a time."""
+    moment = event_time(as_of)
+    return rows.filter((F.col("appeared_at") <= moment) & (F.col("vanished_at") > moment))

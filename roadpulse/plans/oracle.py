@@ -18,11 +18,13 @@ from roadpulse.plans.queries import (
     TOPIC_PARTITIONS,
     VIEW_TIME,
     LIGHT_PENALTY,
+    LONG_VISIT_SECONDS,
     VIEW_TTL_SECONDS,
 )
 from roadpulse.schemas import ROUTES, VEHICLE_TYPES
 from roadpulse.sources.testdata import VEHICLE_EVENTS_SQL
 from roadpulse.sources.topic import TOPIC
+from roadpulse.sources.viewstore import POI_TTL_SECONDS
 
 VE = f"with ve as ({VEHICLE_EVENTS_SQL})"
 EVENT_COLUMNS = (
@@ -154,6 +156,15 @@ def _latest_near(where: str = "true", point: PointOfInterest = LIVE_POI) -> str:
   from ({_near(point)}) where {where}) where rn = 1"""
 
 
+def _visits(seconds: int) -> str:
+    return f"""{VE}, near as (select vehicle_id, ts from ({_near(LIVE_POI)})), marked as (
+  select *, ts > lag(ts) over (partition by vehicle_id order by ts) + interval {seconds} second as apart from near
+), numbered as (
+  select *, sum(case when apart then 1 else 0 end) over (partition by vehicle_id order by ts range unbounded preceding) as n from marked
+) select vehicle_id, min(ts) as appeared_at, max(ts) + interval {seconds} second as vanished_at, count(*) as events
+from numbered group by vehicle_id, n"""
+
+
 def _windows(source: str, keys: str, length: int, slide: int) -> str:
     """Counts per key and window that covers the event."""
     copies = length // slide
@@ -371,6 +382,12 @@ def oracle() -> dict[str, str]:
         "stream_poi": f"{VE} {_latest_near()}",
         "stream_poi_after_ttl": f"""{VE}, near as ({_latest_near()}) select * from near
             where time_stamp > (select max(time_stamp) from near) - interval 60 second""",
+        "poi_visits": _visits(POI_TTL_SECONDS),
+        "poi_visits_long": _visits(LONG_VISIT_SECONDS),
+        "stream_poi_visits": _visits(POI_TTL_SECONDS),
+        # two heartbeats come after the events, in a round of their own
+        "stream_progress": f"""{VE} select 'archive' as stage, 3 as batches, count(*) + 2 as input_rows,
+            0 as dropped_rows, 0 as gaps from ve""",
         "stream_archive": _ARCHIVE,
         "stream_ledger": f"""{VE} select {_PLACE}, min({_OFFSET}) as from_offset,
             max({_OFFSET}) + 1 as until_offset from ve group by all""",

@@ -30,7 +30,7 @@ from roadpulse.schemas import VEHICLE_EVENT, VIEW_KEYS
 from roadpulse.session import prepare, workspace
 from roadpulse.sources import archive, codec, compaction, delimited, footers, topic, viewstore
 from roadpulse.sources.testdata import vehicle_events
-from roadpulse.streaming import pipeline
+from roadpulse.streaming import pipeline, progress
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,6 +40,7 @@ INTERVAL = ("2024-01-10 00:00:00", "2024-01-20 00:00:00")
 DAY = "2024-01-15"
 VIEW_TIME = "2024-01-15 12:00:00"
 VIEW_TTL_SECONDS = 86_400
+LONG_VISIT_SECONDS = 21_600
 TOPIC_PARTITIONS = 6
 LIGHT_PENALTY = 0.001
 
@@ -691,6 +692,32 @@ def stream_poi_after_ttl(spark, sf_dir):
     return rows.withColumn("distance_km", F.round("distance_km", 6))
 
 
+@_query
+def poi_visits(spark, sf_dir):
+    """When vehicles' rows appear near the point and vanish, in batch."""
+    return poi.visits(poi.near_point(vehicle_events(spark, sf_dir), poi.LIVE_POI))
+
+
+@_query
+def poi_visits_long(spark, sf_dir):
+    """The same with rows that last six hours, so that most visits have several events."""
+    return poi.visits(poi.near_point(vehicle_events(spark, sf_dir), poi.LIVE_POI), LONG_VISIT_SECONDS)
+
+
+@_query
+def stream_poi_visits(spark, sf_dir):
+    """Visits as the live job's state let them appear and vanish."""
+    return pipeline.poi_visits(spark, stream_runs.live_job(spark, sf_dir))
+
+
+@_query
+def stream_progress(spark, sf_dir):
+    """What the first stage read in all rounds and restarts, by its own reports."""
+    cfg = stream_runs.live_job(spark, sf_dir)
+    done = progress.progress_summary(progress.read_progress(spark, cfg.table("progress")))
+    return done.filter(F.col("stage") == "archive")
+
+
 @_query
 def stream_archive(spark, sf_dir):
     cfg = stream_runs.live_job(spark, sf_dir)

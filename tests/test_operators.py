@@ -505,3 +505,13 @@ def test_moment_model_of_odd_tables(spark):
     rows = [(float(2 * k), k, 5, 1) for k in range(20)]
     line = speed.fit_moments(spark.createDataFrame(rows, "label double, lat int, long int, dayOfWeek int"), 0.0)
     assert line.coefficients == pytest.approx((2.0, 0.0, 0.0)) and line.intercept == pytest.approx(0.0, abs=1e-9)
+
+
+def test_visits_end_with_the_row(spark, events_of):
+    near = events_of([(0, "a", 0), (1, "a", 120), (2, "a", 240.5), (3, "a", 250), (3, "a", 250), (4, "b", 5)])
+    got = {(r.vehicle_id, r.appeared_at, r.vanished_at, r.events) for r in poi.visits(near).collect()}
+    # an event at the moment the row would vanish keeps it
+    assert got == {("a", at(0), at(240), 2), ("a", at(240.5), at(370), 3), ("b", at(5), at(125), 1)}
+    assert {r.vehicle_id for r in poi.present(poi.visits(near), at(125)).collect()} == {"a"}
+    assert poi.present(poi.visits(near), at(240)).count() == 0
+    assert poi.visits(near.limit(0)).count() == 0

@@ -18,7 +18,7 @@ from roadpulse.schemas import LEDGER, TRAFFIC_VIEW
 from roadpulse.session import prepare
 from roadpulse.sources import archive, codec, topic
 from roadpulse.sources.viewstore import upsert_batch
-from roadpulse.streaming import pipeline, text_stream
+from roadpulse.streaming import pipeline, progress, text_stream
 from roadpulse.streaming.live import first_sightings_stream, running_totals_stream
 from roadpulse.streaming.state import FirstSighting, RunningTotal
 
@@ -264,6 +264,16 @@ def test_whole_job_with_restart(spark, events_of, tmp_path):
     twin = sightings.first_sightings(real)
     same(seen.filter("vehicle_id != 'beat'"), twin)
 
+    done = progress.read_progress(spark, cfg.table("progress"))
+    report = {r.stage: r for r in progress.progress_summary(done).collect()}
+    assert set(report) == set(cfg.stages)
+    assert report["archive"].input_rows == len(rows) + 3
+    assert report["archive"].batches == 5
+    assert all(r.gaps == 0 and r.dropped_rows == 0 for r in report.values())
+
+    stays = pipeline.poi_visits(spark, cfg)
+    same(stays.filter("vehicle_id != 'beat'"), poi.visits(poi.near_point(real, poi.LIVE_POI)))
+
     near = poi.latest_per_vehicle(poi.near_point(good.filter("vehicle_id != 'beat'"), poi.LIVE_POI))
     last = max(r[2] for r in rows)
     shown = pipeline.live_view(spark, cfg, "poi_traffic", at(last))
@@ -306,6 +316,34 @@ def test_whole_job_with_restart(spark, events_of, tmp_path):
     assert {(r.view, r["rows"]) for r in again} == {("poiTraffic", 0)}
 
 
+def test_progress_of_foreign_and_ended_queries_is_left_out(spark, tmp_path):
+    recorder = progress.ProgressRecorder(spark, str(tmp_path / "p"), ["mine"], flush_seconds=0)
+
+    def report(run, name, rows, dropped=0, batch=0):
+        source = SimpleNamespace(numInputRows=rows, startOffset=None, endOffset='{"logOffset":1}')
+        state = SimpleNamespace(numRowsDroppedByWatermark=dropped, numRowsTotal=4)
+        recorder.onQueryProgress(SimpleNamespace(progress=SimpleNamespace(
+            runId=run, name=name, batchId=batch, sources=[source], stateOperators=[state],
+            durationMs={"triggerExecution": 7}, timestamp="2024-01-03T12:00:00.000Z")))
+
+    report("r1", "mine", 9)
+    recorder.onQueryStarted(SimpleNamespace(runId="r1", name="mine"))
+    recorder.onQueryStarted(SimpleNamespace(runId="r2", name="other"))
+    report("r2", "other", 9)
+    report("r1", "mine", 0)
+    report("r1", "mine", 5)
+    report("r1", "mine", 0, dropped=2, batch=1)
+    recorder.onQueryTerminated(SimpleNamespace(runId="r1"))
+    recorder.onQueryStarted(SimpleNamespace(runId="r3", name="mine"))
+    report("r3", "mine", 9, batch=2)
+    assert recorder.done.is_set()
+    kept = progress.read_progress(spark, str(tmp_path / "p")).orderBy("batch_id").collect()
+    assert [(r.batch_id, r.input_rows, r.dropped_rows, r.state_rows, r.from_offset) for r in kept] == [
+        (0, 5, 0, 4, None), (1, 0, 2, 4, None)
+    ]
+    assert progress.read_progress(spark, str(tmp_path / "none")).count() == 0
+
+
 def test_snapshots_do_not_wait_for_a_view(spark, tmp_path):
     """The clock fires before any view has rows, and a view written later shows."""
     cfg = pipeline.LiveConfig(str(tmp_path / "job"))
