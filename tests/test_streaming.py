@@ -216,6 +216,25 @@ def test_late_rows_are_set_aside(spark, events_of, tmp_path):
     assert codec.good(archive.read_archive(spark, cfg.table("archive"))).count() == 11
 
 
+def test_state_partitions_follow_the_cores(spark, events_of, tmp_path):
+    """Each state partition costs a store, a worker and files in every batch."""
+    setting, before = "spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions")
+    cores = spark.sparkContext.defaultParallelism
+    events = events_of(fleet(30))
+    path = str(tmp_path / "topic")
+    topic.as_topic_records(codec.encode(events), F.lit(0), F.col("event_id")).write.parquet(path)
+    cfg = pipeline.LiveConfig(str(tmp_path / "live"), available_now=True, stages=["archive", "gate", "sightings"])
+    try:
+        spark.conf.set(setting, 7 * cores)
+        pipeline.run_stream(spark, topic.topic_file_stream(spark, path), cfg)
+        assert spark.conf.get(setting) == str(7 * cores)
+    finally:
+        spark.conf.set(setting, before)
+    for stage in ("gate", "sightings"):
+        state = tmp_path / "live" / "checkpoints" / stage / "state" / "0"
+        assert sorted(p.name for p in state.iterdir() if p.name.isdigit()) == sorted(map(str, range(cores)))
+
+
 def test_whole_job_with_restart(spark, events_of, tmp_path):
     rows = fleet(120)
     beats = [(900, "beat", 40 * HOUR), (901, "beat", 80 * HOUR)]
