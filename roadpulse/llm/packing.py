@@ -172,8 +172,13 @@ def cuts(ids: np.ndarray, doc_ends: np.ndarray, marks: np.ndarray, stride: int)
 def plan(places: np.ndarray, penalty: np.ndarray, length: int) -> list[int]:
     """Cuts of the cheapest packing from 0 to the last place."""
     spots, prices = [0, *places.tolist()], [0, *penalty.tolist()]
-    index = {p: k for k, p in enumerate(spots)}
-    powers = [1 << k for k in range(length.bit_length()) if length // 8 <= 1 << k < length]
+    line = np.array(spots)
+    # by place: places a power of two before it, nearest first
+    exact: dict[int, list[int]] = {}
+    for w in [1 << k for k in range(length.bit_length()) if length // 8 <= 1 << k < length]:
+        at = np.searchsorted(line, line - w)
+        for i in np.flatnonzero(line[at] == line - w).tolist():
+            exact.setdefault(i, []).append(int(at[i]))
     cost, came = [0] * len(spots), [0] * len(spots)
     queue: deque[tuple[int, int]] = deque([(0, 0)])
     for i in range(1, len(spots)):
@@ -181,9 +186,8 @@ def plan(places: np.ndarray, penalty: np.ndarray, length: int) -> list[int]:
         while spots[queue[0][1]] < p - length:
             queue.popleft()
         least, j = queue[0][0] + length - p, queue[0][1]
-        for w in powers:
-            k = index.get(p - w)
-            if k is not None and cost[k] < least:
+        for k in exact.get(i, ()):
+            if cost[k] < least:
                 least, j = cost[k], k
         cost[i], came[i] = least + prices[i] + SEQUENCE, j
         value = cost[i] + p
