@@ -235,6 +235,55 @@ def test_state_partitions_follow_the_cores(spark, events_of, tmp_path):
         assert sorted(p.name for p in state.iterdir() if p.name.isdigit()) == sorted(map(str, range(cores)))
 
 
+def test_stages_that_read_the_same_table_run_side_by_side(spark, tmp_path, monkeypatch):
+    log, listening = [], []
+    cfg = pipeline.LiveConfig(str(tmp_path / "live"), available_now=True)
+
+    def starter(name):
+        def ended():
+            if ("ended", name) not in log:
+                log.append(("ended", name))
+            if name == failing:
+                raise RuntimeError(name)
+
+        def start(*_):
+            log.append(("started", name))
+            return SimpleNamespace(awaitTermination=ended, stop=lambda: log.append(("stopped", name)))
+
+        return start
+
+    recorder = SimpleNamespace(finish=lambda: None)
+    monkeypatch.setattr(pipeline, "ProgressRecorder", lambda *_: recorder)
+    monkeypatch.setattr(type(spark.streams), "addListener", lambda _, x: listening.append(x))
+    monkeypatch.setattr(type(spark.streams), "removeListener", lambda _, x: listening.remove(x))
+    for stage in cfg.stages:
+        monkeypatch.setattr(pipeline, f"start_{stage}", starter(stage))
+    failing = None
+    assert len(pipeline.run_stream(spark, None, cfg)) == len(cfg.stages)
+    for stage, read in pipeline.READS.items():
+        assert log.index(("ended", read)) < log.index(("started", stage))
+    for beside in (["ledger", "poi_traffic", "gate"], ["poi_visits", "sightings"], ["total_traffic", "window_traffic", "heat_map"]):
+        ends = [log.index(("ended", stage)) for stage in beside]
+        assert max(log.index(("started", stage)) for stage in beside) < min(ends)
+    log.clear()
+    listening.clear()
+    failing = "gate"
+    with pytest.raises(RuntimeError):
+        pipeline.run_stream(spark, None, cfg)
+    assert ("stopped", "ledger") in log and ("started", "sightings") not in log and not listening
+
+
+def test_a_backlog_leaves_no_log_of_changes(spark, events_of, tmp_path):
+    """A restart would read and apply it before its first row."""
+    events, path = events_of(fleet(30)), str(tmp_path / "topic")
+    topic.as_topic_records(codec.encode(events), F.lit(0), F.col("event_id")).write.parquet(path)
+    cfg = pipeline.LiveConfig(str(tmp_path / "live"), available_now=True, stages=["archive", "gate", "sightings"])
+    pipeline.run_stream(spark, topic.topic_file_stream(spark, path), cfg)
+    state = tmp_path / "live" / "checkpoints" / "sightings" / "state"
+    assert list(state.rglob("*.zip")) and not list(state.rglob("*.changelog"))
+    assert spark.conf.get("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled") == "true"
+
+
 def test_whole_job_with_restart(spark, events_of, tmp_path):
     rows = fleet(120)
     beats = [(900, "beat", 40 * HOUR), (901, "beat", 80 * HOUR)]
