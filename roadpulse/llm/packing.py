@@ -49,6 +49,8 @@ SEQUENCE, SENTENCE, INSIDE = 16, 4, 48
 HORIZON = 256 * LENGTH
 CACHED = 700_000
 TEXTS = 1 << 20
+# words tokenized in one call
+TOGETHER = 200
 
 
 def default_tokenizer() -> str:
@@ -71,10 +73,19 @@ class WordIds:
         self.words = Tokeniser("space", True)
         special = sorted(self.model.get_added_tokens_decoder().items())
         self.marks = [t.content.encode() for _, t in special]
-        # a special token between words keeps their ids apart
-        self.mark = special[-1] if special else None
+        # one of these between words keeps their ids apart: a rare word of one
+        # token, which costs half as much, or a special token, which no word has
+        self.apart = self.rare_word() + [(number, token.content) for number, token in special[-1:]]
         self.clear()
 
+    def rare_word(self) -> list[tuple[int, str]]:
+        """The last word of the vocabulary that is one token, with its id."""
+        for token, number in sorted(self.model.get_vocab(False).items(), key=lambda x: -x[1]):
+            word = token.removesuffix("</w>")
+            if word.isascii() and word.isalpha() and self.model.encode(f" {word} ", add_special_tokens=False).ids == [number]:
+                return [(number, word)]
+        return []
+
     def clear(self) -> None:
         self.hashes = np.zeros(0, dtype=np.uint64)
         self.size, self.start = np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64)
@@ -83,16 +94,23 @@ class WordIds:
     def tokenized(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words, one after the other, and how many each has."""
         joined = b" ".join(found)
-        if self.mark and not any(m in joined for m in self.marks):
-            number, token = self.mark[0], self.mark[1].content
+        if any(m in joined for m in self.marks):
+            return self.tokenized_each(found)
+        parts = [self.tokenized_apart([w.decode() for w in found[k : k + TOGETHER]]) for k in range(0, len(found), TOGETHER)]
+        return np.concatenate([ids for ids, _ in parts]), np.concatenate([size for _, size in parts])
+
+    def tokenized_apart(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        for number, token in self.apart:
             between = f" {token} "
-            parts = []
-            for k in range(0, len(found), 500):
-                text = between.join([w.decode() for w in found[k : k + 500]]) + between
-                parts.append(np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.uint32))
-            ids = np.concatenate(parts)
+            text = between.join(found) + between
+            ids = np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.uint32)
             ends = np.flatnonzero(ids == number)
-            return ids[ids != number], np.diff(np.concatenate(([-1], ends))) - 1
+            # more, if a word holds the rare one
+            if len(ends) == len(found):
+                return ids[ids != number], np.diff(ends, prepend=-1) - 1
+        return self.tokenized_each([w.encode() for w in found])
+
+    def tokenized_each(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         all_ids = [e.ids for e in self.model.encode_batch_fast([w.decode() for w in found], add_special_tokens=False)]
         return np.array([i for ids in all_ids for i in ids], dtype=np.uint32), np.array([len(ids) for ids in all_ids])
 

@@ -10,6 +10,7 @@ import zlib
 from collections import Counter, defaultdict
 from functools import reduce
 from operator import add
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -543,3 +544,28 @@ def test_pipeline(spark):
         docs = stage(spark, docs, SMALL)
         assert docs.columns == table.columns
     assert {r["doc_id"] for r in out.select("doc_id").distinct().collect()} == {r["doc_id"] for r in docs.select("doc_id").collect()}
+
+
+def test_words_are_tokenized_apart_by_a_rare_word():
+    lookup = packing.WordIds(packing.default_tokenizer())
+    (number, rare), (special, _) = lookup.apart
+    assert rare.isalpha() and number != special
+    calls = []
+    # separators of a special token cost half of all the time
+    encode = lookup.model.encode_batch_fast
+    lookup.model = SimpleNamespace(
+        encode_batch_fast=lambda found, **how: calls.append(found) or encode(found, **how)
+    )
+    for words in (
+        ["don't", "x<y", "K", "́abc", "a　b", "\U0001f642!!", "日本語", "Ab1", "\x00"],
+        # the rare word itself, alone, as a part and in capitals
+        ["one", rare, f"{rare}s", f"({rare.upper()})", "two"],
+        ["one", "<|endoftext|>two"],
+    ):
+        calls.clear()
+        ids, size = lookup.tokenized([w.encode() for w in words])
+        alone = [e.ids for e in encode(words, add_special_tokens=False)]
+        assert ids.tolist() == [i for one in alone for i in one]
+        assert size.tolist() == [len(one) for one in alone]
+        if words[0] == "don't":
+            assert len(calls) == 1 and "<|" not in calls[0][0]
