@@ -8,6 +8,7 @@ import time
 from datetime import timedelta
 from types import SimpleNamespace
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -18,9 +19,9 @@ from roadpulse.schemas import LEDGER, TRAFFIC_VIEW
 from roadpulse.session import prepare
 from roadpulse.sources import archive, codec, topic
 from roadpulse.sources.viewstore import upsert_batch
-from roadpulse.streaming import pipeline, progress, text_stream
+from roadpulse.streaming import pipeline, progress, state, text_stream
 from roadpulse.streaming.live import first_sightings_stream, running_totals_stream
-from roadpulse.streaming.state import FirstSighting, RunningTotal
+from roadpulse.streaming.state import FirstSighting, FirstSightings, RunningTotal, RunningTotals
 
 HOUR = 3600
 
@@ -148,6 +149,61 @@ def test_running_total_state():
     list(processor.handleExpiredTimer(("x",), None, SimpleNamespace(getExpiryTimeInMs=lambda: 1)))
 
 
+def test_blocks_give_the_rows_of_single_keys(monkeypatch):
+    """A group of vehicles in one state, in blocks of rows, against one state a
+    vehicle; the same for totals."""
+    monkeypatch.setattr(state, "HELD_ROWS", 8)
+    monkeypatch.setattr(state, "BLOCK_ROWS", 3)
+    rng = random.Random(4)
+    for _ in range(60):
+        group, handle = started(FirstSightings(100, 5))
+        single = {v: started(FirstSighting(100, 5, ["event"]))[0] for v in ("", "=a", "=b")}
+        totals, _ = started(RunningTotals(100, 5, ["k", "l"]))
+        total, _ = started(RunningTotal(100, 5, ["k", "l"]))
+        clock = 0
+        for _ in range(4):
+            rows = []
+            for _ in range(rng.randrange(1, 30)):
+                clock += rng.choice([5, 50, 100, 101, 200])
+                last = clock + rng.randrange(4)
+                rows.append({"vehicle": rng.choice(list(single)), "first_us": clock, "last_us": last, "event": str(clock)})
+            rng.shuffle(rows)
+            want = [
+                r.event
+                for v, p in single.items()
+                for r in p.handleInputRows((v,), (BucketRow(**r) for r in rows if r["vehicle"] == v), None)
+            ]
+            blocks = (pd.DataFrame(rows[i : i + 4]) for i in range(0, len(rows), 4))
+            mark = SimpleNamespace(getCurrentWatermarkInMs=lambda: rng.choice([0, clock // 1000]))
+            found = [e for block in group.handleInputRows((7,), blocks, mark) for e in block["event"]]
+            assert sorted(found) == sorted(want)
+            counts = [{"bucket_us": r["first_us"], "n": rng.randrange(1, 9), "k": "x", "l": None} for r in rows]
+            want = [r.asDict() for r in total.handleInputRows(("x", None), (BucketRow(**r) for r in counts), None)]
+            blocks = (pd.DataFrame(counts[i : i + 4]) for i in range(0, len(counts), 4))
+            found = [r for block in totals.handleInputRows(("x", None), blocks, None) for r in block.to_dict("records")]
+            assert found == want
+            assert totals.state.value == total.state.value
+
+
+def test_a_group_forgets_silent_vehicles():
+    group, handle = started(FirstSightings(3600_000_000, 60_000_000))
+    s, mark = 1_000_000, SimpleNamespace(getCurrentWatermarkInMs=lambda: 4000 * 1000)
+
+    def feed(*rows):
+        block = pd.DataFrame(rows, columns=["vehicle", "first_us", "last_us", "event"])
+        return [e for found in group.handleInputRows((7,), iter([block]), mark) for e in found["event"]]
+
+    assert feed(("=a", 0, 0, "a"), ("=b", 900 * s, 1000 * s, "b")) == ["a", "b"]
+    assert handle.state.value == (["=b"], [1000 * s])
+    assert handle.timers == [(1000 + 3600 + 60) * 1000 + 1]
+    assert feed(("=b", 4600 * s, 4600 * s, "b")) == []
+    fired = SimpleNamespace(getExpiryTimeInMs=lambda: handle.timers[-1])
+    list(group.handleExpiredTimer((7,), mark, fired))
+    assert len(handle.timers) == 2 and handle.state.value is not None
+    list(group.handleExpiredTimer((7,), mark, fired))
+    assert handle.state.value is None
+
+
 # --- streams -------------------------------------------------------------------------
 
 
