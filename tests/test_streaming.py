@@ -236,6 +236,28 @@ def test_sightings_and_totals_do_not_depend_on_the_split(spark, events_of, tmp_p
     same(totals, running.running_totals(twin))
 
 
+def test_sightings_keep_every_value(spark, events_of, tmp_path):
+    prepare(spark)
+    rows = [(1, "a", 0.000001), (2, None, 1.234567), (3, 'q"\\\n', 2), (4, "", 3), (5, "beat", 40 * HOUR), (6, "beat", 80 * HOUR)]
+    odd = {
+        "route_id": "case when event_id = 1 then null when event_id = 2 then '' else route_id end",
+        "speed": "case event_id when 1 then double('NaN') when 2 then double('-Infinity') when 3 then -0.1e0 end",
+        "fuel_level": "event_id / 3",
+        "sent_at": "ts + interval 1 microsecond",
+        "local": "cast(ts as timestamp_ntz)",
+        "day": "to_date(ts)",
+        "amount": "cast(event_id / 7 as decimal(30, 20))",
+        "raw": "cast(vehicle_id as binary)",
+        "parts": "array(named_struct('at', ts, 'n', event_id), null)",
+    }
+    events = events_of(rows).withColumns({name: F.expr(sql) for name, sql in odd.items()})
+    events.coalesce(1).write.parquet(str(tmp_path / "events"))
+    stream = spark.readStream.schema(events.schema).parquet(str(tmp_path / "events"))
+    drain(first_sightings_stream(stream), tmp_path)
+    # rows after the watermark stay in the state
+    same(spark.read.parquet(f"{tmp_path}/rows"), events.filter("event_id < 6"))
+
+
 def test_late_rows_are_dropped_and_counted(spark, events_of, tmp_path):
     prepare(spark)
     source = str(tmp_path / "events")
