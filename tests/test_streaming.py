@@ -362,6 +362,33 @@ def test_a_backlog_leaves_no_log_of_changes(spark, events_of, tmp_path):
     assert spark.conf.get("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled") == "true"
 
 
+def test_no_batches_without_rows_where_they_would_do_nothing(spark, events_of, tmp_path, monkeypatch):
+    """The gate keeps no state and the window views emit what rows have changed;
+    sightings need the batch that the watermark closes.  Tables are made once."""
+    made, make = [], pipeline._ensure_tables
+    monkeypatch.setattr(pipeline, "_ensure_tables", lambda *a: (made.append(1), make(*a)))
+    path = str(tmp_path / "topic")
+    cfg = pipeline.LiveConfig(
+        str(tmp_path / "live"), available_now=True, stages=["archive", "gate", "sightings", "window_traffic", "heat_map"]
+    )
+    for batch in (fleet(30), [(900, "beat", 40 * HOUR), (901, "beat2", 80 * HOUR)]):
+        records = topic.as_topic_records(codec.encode(events_of(batch)), F.lit(0), F.col("event_id"))
+        records.coalesce(1).write.mode("append").parquet(path)
+        pipeline.run_stream(spark, topic.topic_file_stream(spark, path), cfg)
+    batches = {
+        stage: sorted(int(p.name) for p in (tmp_path / "live" / "checkpoints" / stage / "commits").iterdir() if p.name.isdigit())
+        for stage in cfg.stages
+    }
+    assert batches == {
+        "archive": [0, 1], "gate": [0, 1], "sightings": [0, 1, 2, 3], "window_traffic": [0, 1], "heat_map": [0, 1],
+    }
+    assert made == [1]
+    assert spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled") == "true"
+    seen = spark.read.parquet(cfg.table("sightings")).drop("event_date").filter("vehicle_id not like 'beat%'")
+    twin = sightings.first_sightings(codec.good(archive.read_archive(spark, cfg.table("archive"))).select(pipeline.SIGHTING_COLUMNS))
+    same(seen, twin.filter("vehicle_id not like 'beat%'"))
+
+
 def test_whole_job_with_restart(spark, events_of, tmp_path):
     rows = fleet(120)
     beats = [(900, "beat", 40 * HOUR), (901, "beat", 80 * HOUR)]
